@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.session import broadcast_limit, plan_bytes
+from tradeloom.session import broadcast_limit, source_bytes
 
 # A key with more rows than this is spread over several tasks.
 HOT_ROWS = 2_000_000
@@ -26,8 +26,8 @@ def lookup_join(
 ) -> DataFrame:
     """Left join `facts` to `lookup`, which has at most one row per key.
 
-    Small inputs take Spark's own join, which broadcasts the lookup when its size allows.
-    Otherwise the rows of a key held by more than `hot_rows` facts are dealt out over
+    A lookup made from tables within Spark's broadcast limit is broadcast, and facts that
+    are small enough are joined by key. Otherwise the rows of a key held by more than `hot_rows` facts are dealt out over
     several tasks, each with its own copy of the one lookup row. The list of hot keys has
     at most rows / hot_rows entries, which is what makes broadcasting it safe. It is
     counted in `keys_from`, a stored table with the key columns of `facts`, or in `facts`.
@@ -35,9 +35,11 @@ def lookup_join(
     keys = [on] if isinstance(on, str) else list(on)
     columns = [*facts.columns, *[c for c in lookup.columns if c not in keys]]
     counted = facts if keys_from is None else keys_from
-    limit = broadcast_limit(facts.sparkSession)
-    if skew_free_bytes and (plan_bytes(lookup) <= limit or plan_bytes(counted) <= skew_free_bytes):
-        return facts.join(lookup, keys, "left").select(*columns)
+    if skew_free_bytes:
+        if source_bytes(lookup) <= broadcast_limit(facts.sparkSession):
+            return facts.join(F.broadcast(lookup), keys, "left").select(*columns)
+        if source_bytes(counted) <= skew_free_bytes:
+            return facts.join(lookup, keys, "left").select(*columns)
 
     hot = F.broadcast(
         counted.groupBy(*keys)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.operators.joins import lookup_join
-from tradeloom.session import ONE_TASK_BYTES, plan_bytes, stage
+from tradeloom.session import ONE_TASK_BYTES, source_bytes, stage
 
 # Ids are unique integers, so a range of this width holds at most this many rows, and two
 # levels of it leave at most 2^64 / 2^40 groups.
@@ -23,7 +23,7 @@ def surrogate_key(
     df: DataFrame, key: str, order_column: str, *, one_task_bytes: int = ONE_TASK_BYTES, id_range: int = ID_RANGE
 ) -> DataFrame:
     """Number the rows 1..n by a unique integer column; equal input gives equal keys."""
-    if plan_bytes(df) <= one_task_bytes:
+    if source_bytes(df) <= one_task_bytes:
         return df.withColumn(key, F.row_number().over(Window.orderBy(order_column)).cast("bigint"))
 
     ranged = df.withColumn("_range", F.floor(F.col(order_column) / id_range))
@@ -60,7 +60,7 @@ def dense_ranks(
     group. `bound` is a table with at least as many rows as `df` (the dimension that it
     describes), by default `df` itself.
     """
-    if plan_bytes(df if bound is None else bound) <= one_task_bytes:
+    if source_bytes(df if bound is None else bound) <= one_task_bytes:
         groups = Window.partitionBy(*within)
         return df.withColumns(
             {r: F.dense_rank().over(groups.orderBy(F.col(m).desc_nulls_last())) for r, m in ranks.items()}

@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Below this estimated size a frame may be sorted by one task.
+# A frame made from tables smaller than this may be sorted by one task.
 ONE_TASK_BYTES = 4 * 1024 * 1024
 
 
@@ -53,9 +53,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate; joins without statistics only ever overstate it."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def source_bytes(df: DataFrame) -> int:
+    """Size of all tables that a plan reads.
+
+    The operators here filter, aggregate, number and look up; none multiplies rows, so
+    the result is no larger than what it is made from. An unknown size counts as huge.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:
