@@ -1,0 +1,149 @@
+"""A full refresh of the stored layers, each from the tables of the layer before it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tradeloom.plans import diamond, gold
+from tradeloom.plans.bronze import SOURCE_TABLES
+from tradeloom.plans.silver import RULES, write_silver_table
+from tradeloom.sources.layers import read_layer, table_path, write_table
+
+GOLD_TABLES = [
+    "dim_region",
+    "dim_payment_method",
+    "dim_customer",
+    "dim_product",
+    "dim_salesperson",
+    "dim_date",
+    "fact_sales",
+    "fact_returns",
+    "fact_sales_targets",
+]
+DIAMOND_TABLES = [
+    "monthly_sales",
+    "product_ranking",
+    "customer_ranking",
+    "salesperson_performance",
+    "target_vs_actual",
+    "commercial_kpis",
+]
+LAYER_TABLES = {
+    "bronze": [t.bronze for t in SOURCE_TABLES],
+    "silver": list(RULES),
+    "gold": GOLD_TABLES,
+    "diamond": DIAMOND_TABLES,
+}
+
+
+class CheckFailed(RuntimeError):
+    """A refreshed layer does not reconcile with the one before it."""
+
+
+def refresh_silver(spark: SparkSession, root: str, as_of: datetime | None = None) -> dict[str, dict[str, int]]:
+    """Check and write all nine tables; returns valid and rejected rows per table."""
+    bronze = {t.bronze: read_layer(spark, root, "bronze", t.bronze) for t in SOURCE_TABLES}
+    return {table: write_silver_table(rules, bronze, root, as_of) for table, rules in RULES.items()}
+
+
+def refresh_gold(spark: SparkSession, root: str, check: bool = True) -> dict[str, int]:
+    """Write dimensions, then facts that read them back; returns rows per table."""
+    silver = {table: read_layer(spark, root, "silver", table) for table in RULES}
+    rows: dict[str, int] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        return _store(spark, root, "gold", name, df, rows)
+
+    header, items = silver["sales_invoice_header"], silver["sales_invoice_items"]
+    returns, targets = silver["sales_returns"], silver["sales_targets"]
+    region = store("dim_region", gold.dim_region(silver["regions"]))
+    payment = store("dim_payment_method", gold.dim_payment_method(silver["payment_methods"]))
+    customer = store("dim_customer", gold.dim_customer(silver["customers"], silver["regions"]))
+    product = store("dim_product", gold.dim_product(silver["products"]))
+    person = store("dim_salesperson", gold.dim_salesperson(silver["salespersons"], silver["regions"]))
+    calendar = store("dim_date", gold.dim_date(header, returns, targets))
+    dims = [customer, product, person, payment, region]
+    sales = store("fact_sales", gold.fact_sales(items, header, returns, *dims))
+    returned = store("fact_returns", gold.fact_returns(returns, header, *dims))
+    aims = store("fact_sales_targets", gold.fact_sales_targets(targets, person, region))
+
+    if check:
+        counts = gold.count_check(
+            {
+                "dim_region": (silver["regions"], region),
+                "dim_payment_method": (silver["payment_methods"], payment),
+                "dim_customer": (silver["customers"], customer),
+                "dim_product": (silver["products"], product),
+                "dim_salesperson": (silver["salespersons"], person),
+                "fact_sales": (items, sales),
+                "fact_returns": (returns, returned),
+                "fact_sales_targets": (targets, aims),
+            }
+        )
+        _require("row counts", counts.filter(~F.col("ok")))
+        facts = {"fact_sales": sales, "fact_returns": returned, "fact_sales_targets": aims}
+        _require("calendar", gold.missing_dates(facts, calendar).filter("missing_dates > 0"))
+    return rows
+
+
+def orphan_report(spark: SparkSession, root: str) -> DataFrame:
+    """Rows with missing dimension keys; known ones belong to quarantined invoices."""
+    quarantined = read_layer(spark, root, "silver", "sales_invoice_header_quarantine").select("invoice_id")
+    facts = {name: read_layer(spark, root, "gold", name) for name in GOLD_TABLES[-3:]}
+    return (
+        gold.orphan_counts(facts["fact_sales"], "fact_sales", gold.SALES_KEYS, quarantined)
+        .unionByName(gold.orphan_counts(facts["fact_returns"], "fact_returns", gold.RETURN_KEYS, quarantined))
+        .unionByName(gold.orphan_counts(facts["fact_sales_targets"], "fact_sales_targets", gold.TARGET_KEYS))
+    )
+
+
+def refresh_diamond(spark: SparkSession, root: str, check: bool = True) -> dict[str, int]:
+    """Write the six executive tables from the stored star schema; returns rows per table."""
+    stars = {name: read_layer(spark, root, "gold", name) for name in GOLD_TABLES}
+    rows: dict[str, int] = {}
+
+    def store(name: str, build: Callable[..., DataFrame], *inputs: str) -> DataFrame:
+        return _store(spark, root, "diamond", name, build(base, *[stars[i] for i in inputs]), rows)
+
+    base = diamond.sales_base(stars["fact_sales"])
+    monthly = store("monthly_sales", diamond.monthly_sales, "dim_date", "dim_region")
+    product = store("product_ranking", diamond.product_ranking, "fact_returns", "dim_product")
+    customer = store("customer_ranking", diamond.customer_ranking, "fact_returns", "dim_customer")
+    person = store("salesperson_performance", diamond.salesperson_performance, "fact_returns", "dim_salesperson")
+    targets = store(
+        "target_vs_actual",
+        diamond.target_vs_actual,
+        "dim_date",
+        "fact_sales_targets",
+        "dim_salesperson",
+        "dim_region",
+    )
+    kpis = store("commercial_kpis", diamond.commercial_kpis, "dim_date", "fact_returns", "fact_sales_targets")
+
+    if check:
+        tables = {
+            "monthly_sales": monthly,
+            "product_ranking": product,
+            "customer_ranking": customer,
+            "salesperson_performance": person,
+        }
+        _require("net revenue", diamond.revenue_check(base, tables).filter(~F.col("ok")))
+        _require("invoice counts", diamond.invoice_count_check(base, monthly).filter(~F.col("ok")))
+        _require("monthly totals", diamond.kpi_check(kpis, monthly).filter("mismatched_months > 0"))
+        _require("attainment", diamond.attainment_check(targets).filter("without_attainment > 0"))
+    return rows
+
+
+def _store(spark: SparkSession, root: str, layer: str, name: str, df: DataFrame, rows: dict[str, int]) -> DataFrame:
+    rows[name] = write_table(df, table_path(root, layer, name))
+    return read_layer(spark, root, layer, name)
+
+
+def _require(what: str, failures: DataFrame) -> None:
+    bad = failures.take(5)
+    if bad:
+        raise CheckFailed(f"{what} do not agree: {bad}")

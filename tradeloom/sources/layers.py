@@ -85,7 +85,9 @@ def write_upsert(
         else:
             touched = target.join(ranges, KEY_RANGE, "left_semi")
         merged = upsert(touched, keyed, [key])
-    writer = merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # gathers each range in few files, and splits a range that is too large for one task
+    gathered = merged.hint("rebalance", KEY_RANGE)
+    writer = gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(KEY_RANGE).parquet(path)
     return source.count()
 
