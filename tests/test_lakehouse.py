@@ -73,6 +73,17 @@ def test_refresh_is_idempotent_and_reconciles(spark, lake):
     assert before == {layer: prints(spark, lake["root"], layer) for layer in ("silver", "gold", "diamond")}
 
 
+def test_snapshots_and_catalog(spark, lake, tmp_path):
+    lakehouse.refresh_diamond(spark, lake["root"])
+    results = lakehouse.export_diamond(spark, lake["root"], str(tmp_path))
+    assert [r["table"] for r in results] == lakehouse.DIAMOND_TABLES and all(r["ok"] for r in results)
+    names = lakehouse.register_lakehouse(spark, lake["root"])
+    assert len(names) == 33
+    assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == lake["gold"]["fact_sales"]
+    for name in names:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_a_check_that_fails_stops_the_refresh(spark, lake):
     with pytest.raises(lakehouse.CheckFailed, match="row counts"):
         lakehouse._require("row counts", spark.range(1).withColumn("ok", F.lit(False)))

@@ -135,11 +135,11 @@ def sales_lines(
     items: DataFrame,
     header: DataFrame,
     returns: DataFrame,
-    dim_customer: DataFrame,
+    dim_customer: DataFrame | None,
     dim_product: DataFrame,
-    dim_salesperson: DataFrame,
-    dim_payment_method: DataFrame,
-    dim_region: DataFrame,
+    dim_salesperson: DataFrame | None,
+    dim_payment_method: DataFrame | None,
+    dim_region: DataFrame | None,
     *,
     numbered: DataFrame | None = None,
     **skew: int,
@@ -148,27 +148,24 @@ def sales_lines(
 
     Everything known per invoice (status, date, customer, salesperson, payment, region of
     the salesperson) is looked up at invoice grain, before the one join to the items.
-    Left joins keep items whose invoice is missing, with NULL keys. `numbered` is the
-    items with a `sales_key`, which is then kept.
+    Left joins keep items whose invoice is missing, with NULL keys. A dimension that is
+    None is left out, with its key. `numbered` is the items with a `sales_key`, which is
+    then kept.
     """
     rows = items if numbered is None else numbered
-    attributes = _invoice_attributes(header, dim_customer, dim_salesperson, dim_payment_method, dim_region, **skew)
-    invoices = invoice_gross(items).join(
-        attributes.select(
-            "invoice_id",
-            "invoice_number",
-            "invoice_series",
-            "customer_key",
-            "salesperson_key",
-            "payment_method_key",
-            "region_key",
-            date_key("issue_date").alias("date_key"),
-            "invoice_status",
-            F.col("discount_value").alias("header_discount"),
-        ),
+    attributes, keys = _invoice_attributes(
+        header, dim_customer, dim_salesperson, dim_payment_method, dim_region, **skew
+    )
+    attributes = attributes.select(
         "invoice_id",
-        "left",
+        "invoice_number",
+        "invoice_series",
+        *keys,
+        date_key("issue_date").alias("date_key"),
+        "invoice_status",
+        F.col("discount_value").alias("header_discount"),
     )
+    invoices = invoice_gross(items).join(attributes, "invoice_id", "left")
     rows = rows.withColumnRenamed("discount_value", "item_discount")
     lines = _with_allocation(rows, invoices, keys_from=items, **skew)
     lines = lookup_join(lines, returns_per_item(returns), "invoice_item_id", keys_from=items, **skew)
@@ -200,11 +197,9 @@ def sales_lines(
             "invoice_number",
             "invoice_series",
             "item_sequence",
-            "customer_key",
+            *[k for k in keys if k == "customer_key"],
             "product_key",
-            "salesperson_key",
-            "payment_method_key",
-            "region_key",
+            *[k for k in keys if k != "customer_key"],
             "date_key",
             "invoice_status",
             "quantity",
@@ -229,35 +224,44 @@ def fact_sales(items: DataFrame, *others: DataFrame, **skew: int) -> DataFrame:
     return sales_lines(items, *others, numbered=numbered, **skew)
 
 
-def fact_returns(
+def return_lines(
     returns: DataFrame,
     header: DataFrame,
-    dim_customer: DataFrame,
-    dim_product: DataFrame,
-    dim_salesperson: DataFrame,
-    dim_payment_method: DataFrame,
-    dim_region: DataFrame,
+    dim_customer: DataFrame | None,
+    dim_product: DataFrame | None,
+    dim_salesperson: DataFrame | None,
+    dim_payment_method: DataFrame | None,
+    dim_region: DataFrame | None,
+    *,
+    numbered: DataFrame | None = None,
     **skew: int,
 ) -> DataFrame:
-    """One row per return; customer and product are the return's own, the rest is the invoice's."""
-    invoices = _invoice_attributes(header, None, dim_salesperson, dim_payment_method, dim_region, **skew).select(
-        "invoice_id", "salesperson_key", "payment_method_key", "region_key"
+    """`fact_returns` without its own surrogate key.
+
+    Customer and product are the return's own, the rest is the invoice's. A dimension
+    that is None is left out, and the invoices with it if none of theirs is wanted.
+    """
+    rows = returns if numbered is None else numbered
+    invoices, invoice_keys = _invoice_attributes(
+        header, None, dim_salesperson, dim_payment_method, dim_region, **skew
     )
-    keyed = surrogate_key(returns, "return_key", "return_id")
-    rows = lookup_join(keyed, invoices, "invoice_id", keys_from=returns, **skew)
-    rows = lookup_join(rows, dim_customer.select("customer_id", "customer_key"), "customer_id", keys_from=returns, **skew)
-    rows = lookup_join(rows, dim_product.select("product_id", "product_key"), "product_id", keys_from=returns, **skew)
+    if invoice_keys:
+        invoices = invoices.select("invoice_id", *invoice_keys)
+        rows = lookup_join(rows, invoices, "invoice_id", keys_from=returns, **skew)
+    own_keys = []
+    for dimension, entity in ((dim_customer, "customer"), (dim_product, "product")):
+        if dimension is not None:
+            keyed = dimension.select(f"{entity}_id", f"{entity}_key")
+            rows = lookup_join(rows, keyed, f"{entity}_id", keys_from=returns, **skew)
+            own_keys.append(f"{entity}_key")
     return rows.select(
-        "return_key",
+        *([] if numbered is None else ["return_key"]),
         "return_id",
         "return_number",
         "invoice_id",
         "invoice_item_id",
-        "customer_key",
-        "product_key",
-        "salesperson_key",
-        "payment_method_key",
-        "region_key",
+        *own_keys,
+        *invoice_keys,
         date_key("return_date").alias("date_key"),
         "quantity",
         "unit_value",
@@ -266,6 +270,12 @@ def fact_returns(
     )
 
 
+def fact_returns(returns: DataFrame, header: DataFrame, *dims: DataFrame, **skew: int) -> DataFrame:
+    """One row per return; arguments as for `return_lines`."""
+    numbered = surrogate_key(returns, "return_key", "return_id")
+    return return_lines(returns, header, *dims, numbered=numbered, **skew)
+
+
 def fact_sales_targets(
     targets: DataFrame, dim_salesperson: DataFrame, dim_region: DataFrame, **skew: int
 ) -> DataFrame:
@@ -299,22 +309,32 @@ def _with_allocation(items: DataFrame, invoices: DataFrame, **options: object) -
 def _invoice_attributes(
     header: DataFrame,
     dim_customer: DataFrame | None,
-    dim_salesperson: DataFrame,
-    dim_payment_method: DataFrame,
-    dim_region: DataFrame,
+    dim_salesperson: DataFrame | None,
+    dim_payment_method: DataFrame | None,
+    dim_region: DataFrame | None,
     **skew: int,
-) -> DataFrame:
-    """The header with dimension keys; the region is where the salesperson works."""
-    regions = dim_region.select("region_id", "region_key")
-    people = dim_salesperson.select("salesperson_id", "salesperson_key", "region_id")
-    territories = lookup_join(people, regions, "region_id").drop("region_id")
-    payments = dim_payment_method.select("payment_method_id", "payment_method_key")
-    rows = header
+) -> tuple[DataFrame, list[str]]:
+    """The header with the keys of the dimensions given; the region is where the salesperson works."""
+    rows, keys = header, []
     if dim_customer is not None:
         customers = dim_customer.select("customer_id", "customer_key")
         rows = lookup_join(rows, customers, "customer_id", keys_from=header, **skew)
-    rows = lookup_join(rows, territories, "salesperson_id", keys_from=header, **skew)
-    return lookup_join(rows, payments, "payment_method_id", keys_from=header, **skew)
+        keys.append("customer_key")
+    territory = []
+    if dim_salesperson is not None:
+        people = dim_salesperson.select("salesperson_id", "salesperson_key", "region_id")
+        territory = ["salesperson_key"]
+        if dim_region is not None:
+            regions = dim_region.select("region_id", "region_key")
+            people = lookup_join(people, regions, "region_id")
+            territory.append("region_key")
+        rows = lookup_join(rows, people.drop("region_id"), "salesperson_id", keys_from=header, **skew)
+    keys += territory[:1]
+    if dim_payment_method is not None:
+        payments = dim_payment_method.select("payment_method_id", "payment_method_key")
+        rows = lookup_join(rows, payments, "payment_method_id", keys_from=header, **skew)
+        keys.append("payment_method_key")
+    return rows, keys + territory[1:]
 
 
 # --- checks of the star schema ---

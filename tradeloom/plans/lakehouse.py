@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 from tradeloom.plans import diamond, gold
 from tradeloom.plans.bronze import SOURCE_TABLES
 from tradeloom.plans.silver import RULES, write_silver_table
-from tradeloom.sources.layers import read_layer, table_path, write_table
+from tradeloom.sources.jdbc import Database, publish_table
+from tradeloom.sources.layers import (
+    export_snapshot,
+    read_layer,
+    register_tables,
+    require_ok,
+    table_path,
+    write_table,
+)
 
 GOLD_TABLES = [
     "dim_region",
@@ -147,3 +155,29 @@ def _require(what: str, failures: DataFrame) -> None:
     bad = failures.take(5)
     if bad:
         raise CheckFailed(f"{what} do not agree: {bad}")
+
+
+# --- handing the executive tables on ---
+
+
+def export_diamond(spark: SparkSession, root: str, target: str) -> list[dict]:
+    """A snapshot of every executive table for other tools; fails if one differs from its source."""
+    results = [
+        export_snapshot(read_layer(spark, root, "diamond", t), f"{target.rstrip('/')}/{t}") for t in DIAMOND_TABLES
+    ]
+    require_ok(results)
+    return results
+
+
+def publish_diamond(spark: SparkSession, root: str, database: Database, schema: str = "dbo") -> list[dict]:
+    """Replace every executive table in a database; fails if a count differs there."""
+    results = [
+        publish_table(read_layer(spark, root, "diamond", t), database, f"{schema}.{t}") for t in DIAMOND_TABLES
+    ]
+    require_ok(results)
+    return results
+
+
+def register_lakehouse(spark: SparkSession, root: str) -> list[str]:
+    """Enter all layers' tables in the catalog for ad-hoc SQL."""
+    return [name for layer, tables in LAYER_TABLES.items() for name in register_tables(spark, root, layer, tables)]

@@ -87,33 +87,55 @@ class Model(Tables):
 
     @cached_property
     def base(self) -> DataFrame:
-        return diamond.sales_base(self.lines)
+        """Issued sales with the keys that the executive tables group by."""
+        dims = [self.dim_customer, self.dim_product, self.dim_salesperson, None, self.dim_region]
+        return self._issued(dims)
+
+    # Narrower bases, for tables that need fewer keys.
+    @cached_property
+    def base_by_region(self) -> DataFrame:
+        return self._issued([None, self.dim_product, self.dim_salesperson, None, self.dim_region])
+
+    @cached_property
+    def base_by_product(self) -> DataFrame:
+        return self._issued([None, self.dim_product, None, None, None])
+
+    def _issued(self, dims: list[DataFrame | None]) -> DataFrame:
+        return diamond.sales_base(gold.sales_lines(self._business_items(), self.header, self.returns, *dims))
+
+    def _returned(self, **wanted: DataFrame) -> DataFrame:
+        """The returns with only the keys that are wanted."""
+        names = ["customer", "product", "salesperson", "payment_method", "region"]
+        return gold.return_lines(self.returns, self.header, *[wanted.get(n) for n in names])
 
     @cached_property
     def monthly_sales(self) -> DataFrame:
-        return diamond.monthly_sales(self.base, self.dim_date, self.dim_region)
+        return diamond.monthly_sales(self.base_by_region, self.dim_date, self.dim_region)
 
     @cached_property
     def product_ranking(self) -> DataFrame:
-        return diamond.product_ranking(self.base, self.fact_returns, self.dim_product)
+        returned = self._returned(product=self.dim_product)
+        return diamond.product_ranking(self.base_by_product, returned, self.dim_product)
 
     @cached_property
     def customer_ranking(self) -> DataFrame:
-        return diamond.customer_ranking(self.base, self.fact_returns, self.dim_customer)
+        returned = self._returned(customer=self.dim_customer)
+        return diamond.customer_ranking(self.base, returned, self.dim_customer)
 
     @cached_property
     def salesperson_performance(self) -> DataFrame:
-        return diamond.salesperson_performance(self.base, self.fact_returns, self.dim_salesperson)
+        returned = self._returned(salesperson=self.dim_salesperson)
+        return diamond.salesperson_performance(self.base_by_region, returned, self.dim_salesperson)
 
     @cached_property
     def target_vs_actual(self) -> DataFrame:
         return diamond.target_vs_actual(
-            self.base, self.dim_date, self.fact_sales_targets, self.dim_salesperson, self.dim_region
+            self.base_by_region, self.dim_date, self.fact_sales_targets, self.dim_salesperson, self.dim_region
         )
 
     @cached_property
     def commercial_kpis(self) -> DataFrame:
-        return diamond.commercial_kpis(self.base, self.dim_date, self.fact_returns, self.fact_sales_targets)
+        return diamond.commercial_kpis(self.base, self.dim_date, self._returned(), self.targets)
 
 
 def query(*staged: str, name: str | None = None) -> Callable[[Callable[[Model], DataFrame]], Callable[[Model], DataFrame]]:
@@ -524,6 +546,7 @@ for _name in DIAMOND:
 
 @query("items", "header", "returns", "base")
 def revenue_reconciliation(m: Model) -> DataFrame:
+    m.base_by_region = m.base_by_product = m.base
     tables = {
         "monthly_sales": m.monthly_sales,
         "product_ranking": m.product_ranking,
@@ -535,11 +558,13 @@ def revenue_reconciliation(m: Model) -> DataFrame:
 
 @query("items", "header", "returns", "base")
 def invoice_count_check(m: Model) -> DataFrame:
+    m.base_by_region = m.base
     return diamond.invoice_count_check(m.base, m.monthly_sales)
 
 
 @query("items", "header", "returns", "base")
 def kpi_vs_monthly_check(m: Model) -> DataFrame:
+    m.base_by_region = m.base
     return diamond.kpi_check(m.commercial_kpis, m.monthly_sales)
 
 

@@ -7,6 +7,7 @@ tables with their own names, repeated versions and rows that break the rules.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import cached_property
 from typing import Self
@@ -204,9 +205,21 @@ class Tables:
         )
 
     def staged(self, *names: str) -> Self:
-        """Store the named entities, so that a query that uses them often reads them."""
-        for name in names:
+        """Store the named entities, so that a query that uses them often reads them.
+
+        Items and header come straight from the raw tables and are stored at the same time.
+        """
+
+        def store(name: str) -> None:
             setattr(self, name, stage(getattr(self, name), name))
+
+        independent = [n for n in names if n in ("items", "header")]
+        if independent:
+            with ThreadPoolExecutor(len(independent)) as threads:
+                list(threads.map(store, independent))
+        for name in names:
+            if name not in independent:
+                store(name)
         return self
 
     def _with_region(self, table: str, nation_key: str) -> DataFrame:
