@@ -30,10 +30,12 @@ def repair_encoding(column: str | Column) -> Column:
     """
     value = F.col(column) if isinstance(column, str) else column
     latin = F.translate(value, _SPECIALS, _CONTROLS)
+    # as many bytes as characters: plain ASCII, which has nothing to repair
+    plain = F.octet_length(value) == F.char_length(value)
     encodable = ~value.rlike("[\\x{80}-\\x{9F}]") & ~latin.rlike("[^\\x{00}-\\x{FF}]")
     # the bytes are taken only where every character fits, as encode() raises otherwise
     octets = F.encode(F.when(encodable, latin), "ISO-8859-1")
-    return F.coalesce(F.try_validate_utf8(octets.cast("string")), value)
+    return F.when(plain, value).otherwise(F.coalesce(F.try_validate_utf8(octets.cast("string")), value))
 
 
 def misread_as_cp1252(column: str | Column) -> Column:
@@ -41,7 +43,8 @@ def misread_as_cp1252(column: str | Column) -> Column:
     value = F.col(column) if isinstance(column, str) else column
     latin = F.decode(F.encode(value, "UTF-8"), "ISO-8859-1")
     unassigned = latin.rlike("[\\x{81}\\x{8D}\\x{8F}\\x{90}\\x{9D}]")
-    return F.when(~unassigned, F.translate(latin, _CONTROLS, _SPECIALS))
+    plain = F.octet_length(value) == F.char_length(value)
+    return F.when(plain, value).when(~unassigned, F.translate(latin, _CONTROLS, _SPECIALS))
 
 
 def kpi_card(amount: str | Column, change: str | Column, currency: str = "R$") -> Column:

@@ -31,15 +31,15 @@ def lookup_join(
     several tasks, each with its own copy of the one lookup row. The list of hot keys has
     at most rows / hot_rows entries, which is what makes broadcasting it safe. It is
     counted in `keys_from`, a stored table with the key columns of `facts`, or in `facts`.
+    As in any join on names, the key columns come first in the result.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    columns = [*facts.columns, *[c for c in lookup.columns if c not in keys]]
     counted = facts if keys_from is None else keys_from
     if skew_free_bytes:
         if source_bytes(lookup) <= broadcast_limit(facts.sparkSession):
-            return facts.join(F.broadcast(lookup), keys, "left").select(*columns)
+            return facts.join(F.broadcast(lookup), keys, "left")
         if source_bytes(counted) <= skew_free_bytes:
-            return facts.join(lookup, keys, "left").select(*columns)
+            return facts.join(lookup, keys, "left")
 
     hot = F.broadcast(
         counted.groupBy(*keys)
@@ -65,7 +65,7 @@ def lookup_join(
         .withColumn("_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_shares", F.lit(1)) - 1)))
         .drop("_shares")
     )
-    return dealt.join(copies, [*keys, "_share"], "left").select(*columns)
+    return dealt.join(copies, [*keys, "_share"], "left").drop("_share")
 
 
 def existence_flag(

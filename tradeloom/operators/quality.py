@@ -68,7 +68,7 @@ def check_foreign_key(
 ) -> DataFrame:
     """The value must occur in the reference. NULL does not; an empty reference rejects all."""
     flagged = existence_flag(df, column, reference, reference_column, "_found", **skew)
-    return add_reasons(flagged, [F.when(~F.col("_found"), F.lit(f"{column}_not_found"))]).drop("_found")
+    return _judge(df, flagged, f"{column}_not_found")
 
 
 def check_has_related(
@@ -76,8 +76,13 @@ def check_has_related(
 ) -> DataFrame:
     """At least one related row must exist."""
     flagged = existence_flag(df, column, related, related_column, "_found", **skew)
-    reason = F.lit(f"no_related_records_via_{related_column}")
-    return add_reasons(flagged, [F.when(~F.col("_found"), reason)]).drop("_found")
+    return _judge(df, flagged, f"no_related_records_via_{related_column}")
+
+
+def _judge(df: DataFrame, flagged: DataFrame, reason: str) -> DataFrame:
+    """Give the reason to rows not found; the columns keep their order, the reasons come last."""
+    judged = add_reasons(flagged, [F.when(~F.col("_found"), F.lit(reason))])
+    return judged.select(*[c for c in df.columns if c != REASONS], REASONS)
 
 
 def split_valid_rejected(df: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -137,22 +137,19 @@ def check_table(
     rules: TableRules, bronze: Mapping[str, DataFrame], as_of: datetime | Column | None = None, **skew: int
 ) -> DataFrame:
     """All checks of a table: one join per reference and one projection for the reasons."""
-    df = bronze[rules.bronze]
+    rows = bronze[rules.bronze]
+    df = rows
     reasons = [null_reason(c) for c in rules.not_null]
     reasons += [sign_reason(c) for c in rules.above_zero]
     reasons += [sign_reason(c, allow_zero=True) for c in rules.not_negative]
     reasons += [future_reason(c, as_of) for c in rules.not_future]
     lookups = [(*fk, f"{fk[0]}_not_found") for fk in rules.foreign_keys]
     lookups += [(*rel, f"no_related_records_via_{rel[2]}") for rel in rules.related]
-    flags = []
-    for column, reference, reference_column, reason in lookups:
-        flag = f"_found_{len(flags)}"
-        df = existence_flag(
-            df, column, bronze[reference], reference_column, flag, keys_from=bronze[rules.bronze], **skew
-        )
+    for number, (column, reference, reference_column, reason) in enumerate(lookups):
+        flag = f"_found_{number}"
+        df = existence_flag(df, column, bronze[reference], reference_column, flag, keys_from=rows, **skew)
         reasons.append(F.when(~F.col(flag), F.lit(reason)))
-        flags.append(flag)
-    return add_reasons(df, reasons).drop(*flags)
+    return add_reasons(df, reasons).select(*rows.columns, REASONS)
 
 
 def finish(rules: TableRules, valid: DataFrame, rejected: DataFrame) -> tuple[DataFrame, DataFrame]:
