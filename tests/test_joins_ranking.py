@@ -61,16 +61,22 @@ def test_join_on_several_keys(spark, rows):
 
 
 @FIXTURE
-@given(st.sets(st.integers(-(2**40), 2**40), max_size=30), st.integers(1, 1 << 20))
-def test_two_step_key_equals_row_number(spark, rows, ids, id_range):
+@given(st.sets(st.one_of(st.integers(-99, 99), st.integers(-(2**62), 2**62)), max_size=30), st.integers(2, 20))
+def test_two_step_key_equals_row_number(spark, rows, ids, id_bits):
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    keyed = surrogate_key(df, "k", "id", one_task_bytes=0, id_range=id_range)
+    keyed = surrogate_key(df, "k", "id", one_task_bytes=0, id_bits=id_bits)
     assert rows(keyed, "id", "k") == sorted(((v, n + 1) for n, v in enumerate(sorted(ids))), key=repr)
 
 
+def test_a_missing_id_comes_first(spark, rows):
+    df = spark.createDataFrame([(5,), (None,), (-7,)], "id bigint")
+    for size in (0, 1 << 40):
+        assert rows(surrogate_key(df, "k", "id", one_task_bytes=size), "k", "id") == [(1, None), (2, -7), (3, 5)]
+
+
 def test_key_is_equal_on_both_ways_and_stable(spark, rows):
     df = spark.range(0, 50_000, 7).repartition(5)
-    large = surrogate_key(df, "k", "id", one_task_bytes=0, id_range=1000)
+    large = surrogate_key(df, "k", "id", one_task_bytes=0, id_bits=10)
     assert rows(large, "id", "k") == rows(surrogate_key(df, "k", "id", one_task_bytes=1 << 40), "id", "k")
     assert fingerprint(large).collect() == fingerprint(surrogate_key(df.repartition(3), "k", "id", one_task_bytes=0)).collect()
 

@@ -6,6 +6,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 
 from tradeloom.functions.text import misread_as_cp1252, repair_encoding
+from tradeloom.plans.bronze import repair_source
 from tradeloom.operators.schema import (
     CONTROL_COLUMNS,
     add_control_columns,
@@ -129,3 +130,12 @@ def test_repaired_rows_get_a_new_time(spark, rows):
     df = spark.createDataFrame([(1, "SÃ£o", old), (2, "ok", old), (3, None, old)], "id int, n string, u timestamp")
     result = repair_text_columns(df, ["n"], "u", now)
     assert rows(result) == [(1, "São", now), (2, "ok", old), (3, None, old)]
+
+
+def test_repair_knows_each_tables_texts(spark):
+    old = datetime(2020, 1, 1)
+    df = spark.createDataFrame([("MÃ³vel", "SÃ£o", old)], "ProductName string, Other string, UpdatedAt timestamp")
+    df = df.withColumn("CategoryName", df.ProductName)
+    row = repair_source(df, "erp.Products").first()
+    assert (row.ProductName, row.CategoryName, row.Other) == ("Móvel", "Móvel", "SÃ£o") and row.UpdatedAt > old
+    assert repair_source(df, "erp.SalesTargets") is df

@@ -14,34 +14,38 @@ from pyspark.sql import functions as F
 from tradeloom.operators.joins import lookup_join
 from tradeloom.session import ONE_TASK_BYTES, source_bytes, stage
 
-# Ids are unique integers, so a range of this width holds at most this many rows, and two
+# Ids are unique integers, so a range of 2^20 ids holds at most that many rows, and two
 # levels of it leave at most 2^64 / 2^40 groups.
-ID_RANGE = 1 << 20
+ID_BITS = 20
+# Below every range; NULL sorts first.
+NULL_RANGE = -(1 << 62)
 
 
 def surrogate_key(
-    df: DataFrame, key: str, order_column: str, *, one_task_bytes: int = ONE_TASK_BYTES, id_range: int = ID_RANGE
+    df: DataFrame, key: str, order_column: str, *, one_task_bytes: int = ONE_TASK_BYTES, id_bits: int = ID_BITS
 ) -> DataFrame:
     """Number the rows 1..n by a unique integer column; equal input gives equal keys."""
     if source_bytes(df) <= one_task_bytes:
         return df.withColumn(key, F.row_number().over(Window.orderBy(order_column)).cast("bigint"))
 
-    ranged = df.withColumn("_range", F.floor(F.col(order_column) / id_range))
+    # never NULL, so that joining the starts on it reuses the window's partitioning
+    range_of_id = F.shiftright(F.col(order_column).cast("bigint"), id_bits)
+    ranged = df.withColumn("_range", F.coalesce(range_of_id, F.lit(NULL_RANGE)))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_rows"))
-    sizes = sizes.withColumn("_group", F.floor(F.col("_range") / id_range))
+    sizes = sizes.withColumn("_group", F.shiftright("_range", id_bits))
     groups = sizes.groupBy(F.col("_group").alias("_group_id")).agg(F.sum("_rows").alias("_group_rows"))
     groups = groups.withColumn("_group_start", _sum_before("_group_rows", Window.orderBy("_group_id")))
     starts = (
         sizes.withColumn("_start", _sum_before("_rows", Window.partitionBy("_group").orderBy("_range")))
-        .join(groups, F.equal_null(F.col("_group"), F.col("_group_id")))
-        .select(F.col("_range").alias("_start_range"), (F.col("_start") + F.col("_group_start")).alias("_start"))
+        .join(groups, F.col("_group") == F.col("_group_id"))
+        .select("_range", (F.col("_start") + F.col("_group_start")).alias("_start"))
     )
     within = F.row_number().over(Window.partitionBy("_range").orderBy(order_column))
     return (
         ranged.withColumn("_nth", within)
-        .join(starts, F.equal_null(F.col("_range"), F.col("_start_range")))
+        .join(starts, "_range")
         .withColumn(key, (F.col("_nth") + F.col("_start")).cast("bigint"))
-        .drop("_range", "_nth", "_start_range", "_start")
+        .drop("_range", "_nth", "_start")
     )
 
 

@@ -8,7 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tradeloom.operators.schema import add_control_columns
+from tradeloom.operators.schema import add_control_columns, repair_text_columns
 from tradeloom.session import stage
 from tradeloom.sources.jdbc import Database, Split, read_incremental
 from tradeloom.sources.layers import stored_watermark, table_path, write_table, write_upsert
@@ -42,6 +42,23 @@ SOURCE_TABLES = [
     SourceTable("erp.SalesTargets", "erp_sales_targets", "TargetID"),
 ]
 
+# Fixed names: the text columns whose encoding is repaired, per source table.
+TEXT_COLUMNS = {
+    "erp.Regions": ["RegionName"],
+    "erp.Customers": ["CustomerName"],
+    "erp.Products": ["ProductName", "CategoryName"],
+    "erp.Salespersons": ["SalespersonName"],
+    "erp.PaymentMethods": ["PaymentMethodName"],
+    "erp.SalesReturns": ["ReturnReason"],
+}
+
+
+def repair_source(df: DataFrame, source: str, repaired_at: datetime | None = None) -> DataFrame:
+    """A source table with its misread texts repaired; changed rows count as updated."""
+    columns = TEXT_COLUMNS.get(source, [])
+    return repair_text_columns(df, columns, WATERMARK, repaired_at) if columns else df
+
+
 # Given a source table and a high-water mark, the rows after the mark (all, if None).
 Extract = Callable[[SourceTable, datetime | None], DataFrame]
 

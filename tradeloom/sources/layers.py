@@ -48,13 +48,18 @@ def count_while(df: DataFrame, action: Callable[[DataFrame], None]) -> int:
     return rows.get["rows"]
 
 
-def write_table(df: DataFrame, path: str, files: int | None = None) -> int:
+def write_table(df: DataFrame, path: str, files: int | None = None, partition_by: Iterable[str] = ()) -> int:
     """Replace data and schema of a table; returns the number of rows.
 
     `files` merges small results into that many files; leave it out for large tables.
+    `partition_by` lays a large table out by columns that readers filter on.
     """
+    columns = list(partition_by)
     out = df if files is None else df.coalesce(files)
-    return count_while(out, lambda o: o.write.mode("overwrite").parquet(path))
+    if columns:
+        # few files per value, and a value that is too large for one task is split
+        out = out.hint("rebalance", *columns)
+    return count_while(out, lambda o: o.write.mode("overwrite").partitionBy(*columns).parquet(path))
 
 
 def stored_watermark(spark: SparkSession, path: str, column: str) -> datetime | None:
@@ -74,7 +79,7 @@ def write_upsert(
     """
     if not duplicate_keys(source, [key]).isEmpty():
         raise ValueError(f"several source rows share one {key}")
-    keyed = source.withColumn(KEY_RANGE, F.floor(F.col(key) / keys_per_range))
+    keyed = source.withColumn(KEY_RANGE, F.expr(f"`{key}` div {keys_per_range}"))
     target = table_or_none(spark, path)
     merged = keyed
     if target is not None:

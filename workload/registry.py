@@ -446,7 +446,7 @@ def scalar_dates(m: Model) -> DataFrame:
 
 @query("header", name="surrogate_key")
 def _surrogate_key(m: Model) -> DataFrame:
-    keyed = surrogate_key(m.header, "invoice_key", "invoice_id", one_task_bytes=0, id_range=1 << 12)
+    keyed = surrogate_key(m.header, "invoice_key", "invoice_id", one_task_bytes=0, id_bits=12)
     return keyed.select("invoice_key", "invoice_id")
 
 
