@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.amounts import safe_ratio
 from tradeloom.functions.dates import month_text
+from tradeloom.operators.joins import lookup_join
 from tradeloom.operators.ranking import dense_ranks
 
 # Fixed value: the status of an invoice that counts as a sale.
@@ -180,7 +181,7 @@ def commercial_kpis(
         F.sum("quantity").alias("quantity"),
     )
     sales = (
-        per_invoice.join(dim_date.select("date_key", *months), "date_key", "left")
+        lookup_join(per_invoice, dim_date.select("date_key", *months), "date_key")
         .groupBy(*months)
         .agg(
             *[e.alias(name) for name, e in _sales_sums().items()],
@@ -188,10 +189,10 @@ def commercial_kpis(
             F.count_distinct("salesperson_key").alias("active_salespersons"),
         )
     )
+    # summed per day before the calendar is looked up
+    per_day = fact_returns.groupBy("date_key").agg(F.sum("returned_amount").alias("returned_amount"))
     returned = (
-        fact_returns.groupBy("date_key")
-        .agg(F.sum("returned_amount").alias("returned_amount"))
-        .join(dim_date.select("date_key", "year_month"), "date_key", "left")
+        per_day.join(dim_date.select("date_key", "year_month"), "date_key", "left")
         .groupBy("year_month")
         .agg(F.sum("returned_amount").alias("returned_amount"))
     )
@@ -245,7 +246,7 @@ def _by_month(
     base: DataFrame, dim_date: DataFrame, keys: list[str], sums: Mapping[str, Column], months: list[str] | None = None
 ) -> DataFrame:
     months = months or ["year_month", "year", "month", "month_name"]
-    dated = base.join(dim_date.select("date_key", *months), "date_key", "left")
+    dated = lookup_join(base, dim_date.select("date_key", *months), "date_key")
     return dated.groupBy(*months, *keys).agg(*[e.alias(name) for name, e in sums.items()])
 
 
