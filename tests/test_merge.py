@@ -1,3 +1,4 @@
+import time
 from datetime import datetime
 
 import pytest
@@ -164,3 +165,19 @@ def test_database_options():
     assert base.reader_options() == {"url": "jdbc:x", "user": "u", "encrypt": "true"}
     split = jdbc.Split("id", "0", "100", 4)
     assert split.reader_options()["numPartitions"] == "4"
+
+
+def test_times_are_those_of_the_session_and_not_of_the_process(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    text = "CAST('2024-01-01 10:00:0' || id AS timestamp) AS u"
+    spark.range(5).selectExpr("id", text).write.parquet(path)
+    monkeypatch.setenv("TZ", "America/Sao_Paulo")
+    time.tzset()
+    try:
+        mark = stored_watermark(spark, path, "u")
+        assert mark == datetime(2024, 1, 1, 10, 0, 4)
+        earlier = mark.replace(second=2)
+        assert rows(rows_after(spark.read.parquet(path), "u", earlier), "id") == [(3,), (4,)]
+    finally:
+        monkeypatch.undo()
+        time.tzset()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,5 +43,14 @@ def to_second(column: str | Column) -> Column:
     return F.date_trunc("second", value)
 
 
+def moment(value: datetime | Column | None) -> Column:
+    """A point in time: a time without zone is one of the session's zone, None is now."""
+    if value is None:
+        return F.current_timestamp()
+    if isinstance(value, Column):
+        return value
+    return F.lit(value) if value.tzinfo else F.lit(value.isoformat(sep=" ")).cast("timestamp")
+
+
 def _col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value

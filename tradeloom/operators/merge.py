@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.functions.dates import to_second
+from tradeloom.functions.dates import moment, to_second
 
 
 def last_watermark(df: DataFrame, column: str) -> DataFrame:
@@ -27,7 +27,7 @@ def rows_after(
     if mark is None:
         return df
     first = mark.replace(microsecond=0) + timedelta(seconds=1 - overlap_seconds)
-    return df.filter(F.col(column) >= _literal_like(df, column, first))
+    return df.filter(F.col(column) >= moment(first).cast(df.schema[column].dataType))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -42,8 +42,4 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     nothing, and rows deleted at the source stay.
     """
     kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
-
-
-def _literal_like(df: DataFrame, column: str, moment: datetime) -> Column:
-    return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast(df.schema[column].dataType)
+    return kept.unionByName(source)

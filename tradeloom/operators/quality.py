@@ -12,6 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradeloom.functions.dates import moment
 from tradeloom.operators.joins import existence_flag
 
 REASONS = "_rejection_reasons"
@@ -32,9 +33,7 @@ def sign_reason(column: str, allow_zero: bool = False) -> Column:
 
 
 def future_reason(column: str, as_of: datetime | Column | None = None) -> Column:
-    moment = F.current_timestamp() if as_of is None else as_of
-    moment = moment if isinstance(moment, Column) else F.lit(moment)
-    return F.when(F.col(column) > moment, F.lit(f"{column}_in_future"))
+    return F.when(F.col(column) > moment(as_of), F.lit(f"{column}_in_future"))
 
 
 def add_reasons(df: DataFrame, reasons: Iterable[Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tradeloom.functions.dates import moment
 from tradeloom.functions.text import repair_encoding
 
 # Fixed names: the five columns that every ingested table carries.
@@ -35,7 +36,7 @@ def add_control_columns(
     ingested_at: datetime | Column | None = None,
 ) -> DataFrame:
     """Stamp every row with one instant, its origin and its batch."""
-    stamp = datetime.now(timezone.utc) if ingested_at is None else ingested_at
+    stamp = moment(datetime.now(timezone.utc) if ingested_at is None else ingested_at)
     values = [stamp, source_system, source_table, batch_id, load_type]
     return df.withColumns(
         {name: value if isinstance(value, Column) else F.lit(value) for name, value in zip(CONTROL_COLUMNS, values)}
@@ -77,11 +78,9 @@ def repair_text_columns(
 
     The new time is what lets the next incremental load pick the repaired rows up.
     """
-    now = F.current_timestamp() if repaired_at is None else repaired_at
-    now = now if isinstance(now, Column) else F.lit(now)
     changed = F.lit(False)
     for column in columns:
         changed = changed | ~repair_encoding(column).eqNullSafe(F.col(column))
     fixed = {c: repair_encoding(c) for c in columns}
-    fixed[updated_at] = F.when(changed, now.cast(df.schema[updated_at].dataType)).otherwise(F.col(updated_at))
+    fixed[updated_at] = F.when(changed, moment(repaired_at).cast(df.schema[updated_at].dataType)).otherwise(F.col(updated_at))
     return df.withColumns(fixed)

@@ -128,7 +128,8 @@ def allocate_discounts(items: DataFrame, header: DataFrame, **skew: int) -> Data
     """
     discounts = header.select("invoice_id", F.col("discount_value").alias("header_discount"))
     invoices = invoice_gross(items).join(discounts, "invoice_id", "left")
-    return _with_allocation(items, invoices, keys_from=items, **skew).drop("header_discount", "invoice_gross")
+    shared = _with_allocation(items, invoices, keys_from=items, **skew)
+    return shared.select(*items.columns, "header_discount_allocated")
 
 
 def sales_lines(

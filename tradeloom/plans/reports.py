@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.amounts import line_amount
+from tradeloom.functions.dates import moment
 from tradeloom.operators.joins import existence_flag
 
 
@@ -42,9 +43,7 @@ def dirty_items(items: DataFrame) -> DataFrame:
 
 
 def future_invoices(header: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
-    moment = F.current_timestamp() if as_of is None else as_of
-    moment = moment if isinstance(moment, Column) else F.lit(moment)
-    return header.filter(F.col("issue_date") > moment).select("invoice_id", "invoice_number", "issue_date")
+    return header.filter(F.col("issue_date") > moment(as_of)).select("invoice_id", "invoice_number", "issue_date")
 
 
 def returns_by_product(returns: DataFrame, products: DataFrame) -> DataFrame:

@@ -63,9 +63,15 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
 
 
 def stored_watermark(spark: SparkSession, path: str, column: str) -> datetime | None:
-    """Where the next incremental load continues; None for a table that is absent or empty."""
+    """Where the next incremental load continues; None for a table that is absent or empty.
+
+    The time is taken as text, in the session's zone rather than that of the Python process.
+    """
     stored = table_or_none(spark, path)
-    return None if stored is None else last_watermark(stored, column).first()[0]
+    if stored is None:
+        return None
+    text = last_watermark(stored, column).select(F.col("last_watermark").cast("string")).first()[0]
+    return datetime.fromisoformat(text) if text else None
 
 
 def write_upsert(
