@@ -113,7 +113,7 @@ SUBQUERIES = {
     "targets": """SELECT salesperson_id * 100 + (m - 24007) AS target_id, salesperson_id, region_id,
         CAST((m - 1) // 12 AS INTEGER) AS target_year, CAST((m - 1) % 12 + 1 AS INTEGER) AS target_month,
         CAST(15000 + (salesperson_id * 37 + ((m - 1) % 12 + 1) * 101) % 10000 AS DECIMAL(14,2)) AS target_value
-        FROM (SELECT *, unnest(generate_series(24007, 24018)) AS m FROM salespersons WHERE salesperson_id % 10 <> 9)""",
+        FROM (SELECT *, unnest(generate_series(24007, 24018)) AS m FROM salespersons WHERE is_active)""",
     # --- source tables ---
     "b_regions": f"""SELECT region_id AS RegionID, CASE WHEN region_id <> 4 THEN region_code END AS RegionCode,
         concat(region_name, CASE WHEN version = 1 THEN ' v1' ELSE '' END) AS RegionName, state AS State,
@@ -131,7 +131,7 @@ SUBQUERIES = {
         CASE WHEN customer_id % 31 = 0 THEN 99 WHEN customer_id % 29 <> 0 THEN region_id END AS RegionID,
         is_active AS IsActive, {EPOCH} AS CreatedAt, {EPOCH} + to_days(version) AS UpdatedAt
         FROM (SELECT *, unnest(CASE WHEN customer_id % 7 = 0 THEN [0, 1] ELSE [0] END) AS version
-              FROM customers WHERE customer_id % 40 <> 0)""",
+              FROM customers WHERE is_active)""",
     "b_products": f"""SELECT product_id AS ProductID, CASE WHEN product_id % 41 <> 0 THEN product_code END AS ProductCode,
         concat(product_name, CASE WHEN version = 1 THEN ' v1' ELSE '' END) AS ProductName,
         category_name AS CategoryName, unit_of_measure AS UnitOfMeasure,
@@ -139,7 +139,7 @@ SUBQUERIES = {
         CAST(CASE WHEN product_id % 43 = 0 THEN 0 ELSE unit_price END AS DECIMAL(12,2)) AS UnitPrice,
         is_active AS IsActive, {EPOCH} AS CreatedAt, {EPOCH} + to_days(version) AS UpdatedAt
         FROM (SELECT *, unnest(CASE WHEN product_id % 11 = 0 THEN [0, 1] ELSE [0] END) AS version
-              FROM products WHERE product_id % 50 <> 0)""",
+              FROM products WHERE is_active)""",
     "b_salespersons": f"""SELECT salesperson_id AS SalespersonID, salesperson_code AS SalespersonCode,
         CASE WHEN salesperson_id % 19 <> 3
             THEN concat(salesperson_name, CASE WHEN version = 1 THEN ' v1' ELSE '' END) END AS SalespersonName,

@@ -189,10 +189,10 @@ class Tables:
 
     @cached_property
     def targets(self) -> DataFrame:
-        """Twelve months of targets for nine salespersons in ten."""
+        """Twelve months of targets for the active salespersons."""
         months = F.explode(F.sequence(F.lit(FIRST_TARGET_MONTH), F.lit(LAST_TARGET_MONTH)))
         return (
-            self.salespersons.filter("salesperson_id % 10 <> 9")
+            self.salespersons.filter("is_active")
             .select("salesperson_id", "region_id", months.alias("m"))
             .selectExpr(
                 f"salesperson_id * 100 + (m - {FIRST_TARGET_MONTH}) AS target_id",
@@ -302,7 +302,8 @@ class Tables:
         )
 
     def _bronze_customers(self) -> DataFrame:
-        return _versions(self.customers.filter("customer_id % 40 <> 0"), "customer_id", 7).selectExpr(
+        """Only active customers; invoices of the others point nowhere."""
+        return _versions(self.customers.filter("is_active"), "customer_id", 7).selectExpr(
             "customer_id AS CustomerID",
             "customer_code AS CustomerCode",
             "CASE WHEN customer_id % 37 <> 0 THEN concat(customer_name, version_suffix) END AS CustomerName",
@@ -316,7 +317,8 @@ class Tables:
         )
 
     def _bronze_products(self) -> DataFrame:
-        return _versions(self.products.filter("product_id % 50 <> 0"), "product_id", 11).selectExpr(
+        """Only active products; items of the others point nowhere."""
+        return _versions(self.products.filter("is_active"), "product_id", 11).selectExpr(
             "product_id AS ProductID",
             "CASE WHEN product_id % 41 <> 0 THEN product_code END AS ProductCode",
             "concat(product_name, version_suffix) AS ProductName",
