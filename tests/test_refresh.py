@@ -6,7 +6,7 @@ from workload.registry import Model
 from workload.tables import AS_OF
 
 from tradeloom.operators.checks import fingerprint
-from tradeloom.plans import lakehouse
+from tradeloom.plans import refresh
 from tradeloom.plans.bronze import SOURCE_TABLES, WATERMARK, ingest_all
 from tradeloom.operators.merge import rows_after
 from tradeloom.operators.quality import deduplicate_latest
@@ -31,13 +31,13 @@ def lake(spark, tmp_path_factory):
 
     first = ingest_all(spark, extract, root, "b1", "erp")
     second = ingest_all(spark, extract, root, "b2", "erp")
-    silver = lakehouse.refresh_silver(spark, root, AS_OF)
-    gold = lakehouse.refresh_gold(spark, root)
+    silver = refresh.refresh_silver(spark, root, AS_OF)
+    gold = refresh.refresh_gold(spark, root)
     return {"root": root, "first": first, "second": second, "silver": silver, "gold": gold}
 
 
 def prints(spark, root, layer):
-    return {t: fingerprint(read_layer(spark, root, layer, t)).first() for t in lakehouse.LAYER_TABLES[layer]}
+    return {t: fingerprint(read_layer(spark, root, layer, t)).first() for t in refresh.LAYER_TABLES[layer]}
 
 
 def test_a_second_ingest_finds_nothing_new(spark, lake):
@@ -59,25 +59,25 @@ def test_every_bronze_key_is_valid_or_rejected(spark, lake):
 
 
 def test_orphans_are_items_of_missing_invoices(spark, lake):
-    report = {r.table_name: r for r in lakehouse.orphan_report(spark, lake["root"]).collect()}
+    report = {r.table_name: r for r in refresh.orphan_report(spark, lake["root"]).collect()}
     sales = read_layer(spark, lake["root"], "gold", "fact_sales")
     assert report["fact_sales"].known_orphans == sales.filter("invoice_status IS NULL").count() > 0
 
 
 def test_refresh_is_idempotent_and_reconciles(spark, lake):
-    lakehouse.refresh_diamond(spark, lake["root"])
+    refresh.refresh_diamond(spark, lake["root"])
     before = {layer: prints(spark, lake["root"], layer) for layer in ("silver", "gold", "diamond")}
-    lakehouse.refresh_silver(spark, lake["root"], AS_OF)
-    assert lakehouse.refresh_gold(spark, lake["root"]) == lake["gold"]
-    lakehouse.refresh_diamond(spark, lake["root"])
+    refresh.refresh_silver(spark, lake["root"], AS_OF)
+    assert refresh.refresh_gold(spark, lake["root"]) == lake["gold"]
+    refresh.refresh_diamond(spark, lake["root"])
     assert before == {layer: prints(spark, lake["root"], layer) for layer in ("silver", "gold", "diamond")}
 
 
 def test_snapshots_and_catalog(spark, lake, tmp_path):
-    lakehouse.refresh_diamond(spark, lake["root"])
-    results = lakehouse.export_diamond(spark, lake["root"], str(tmp_path))
-    assert [r["table"] for r in results] == lakehouse.DIAMOND_TABLES and all(r["ok"] for r in results)
-    names = lakehouse.register_lakehouse(spark, lake["root"])
+    refresh.refresh_diamond(spark, lake["root"])
+    results = refresh.export_diamond(spark, lake["root"], str(tmp_path))
+    assert [r["table"] for r in results] == refresh.DIAMOND_TABLES and all(r["ok"] for r in results)
+    names = refresh.register_all(spark, lake["root"])
     assert len(names) == 33
     assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == lake["gold"]["fact_sales"]
     for name in names:
@@ -85,5 +85,5 @@ def test_snapshots_and_catalog(spark, lake, tmp_path):
 
 
 def test_a_check_that_fails_stops_the_refresh(spark, lake):
-    with pytest.raises(lakehouse.CheckFailed, match="row counts"):
-        lakehouse._require("row counts", spark.range(1).withColumn("ok", F.lit(False)))
+    with pytest.raises(refresh.CheckFailed, match="row counts"):
+        refresh._require("row counts", spark.range(1).withColumn("ok", F.lit(False)))

@@ -178,6 +178,6 @@ def publish_diamond(spark: SparkSession, root: str, database: Database, schema:
     return results
 
 
-def register_lakehouse(spark: SparkSession, root: str) -> list[str]:
+def register_all(spark: SparkSession, root: str) -> list[str]:
     """Enter all layers' tables in the catalog for ad-hoc SQL."""
     return [name for layer, tables in LAYER_TABLES.items() for name in register_tables(spark, root, layer, tables)]

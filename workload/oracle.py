@@ -481,7 +481,10 @@ CONTROL = (
     "TIMESTAMP '2001-07-01 05:15:00' AS ingestion_timestamp, 'erp' AS source_system, 'orders' AS source_table, "
     "'20010701051500-00000000' AS batch_id, 'full' AS load_type"
 )
-ITEM_KEYS = "InvoiceItemID AS invoice_item_id, InvoiceID AS invoice_id, ProductID AS product_id, Quantity AS quantity, UnitPrice AS unit_price"
+ITEM_KEYS = (
+    "InvoiceItemID AS invoice_item_id, InvoiceID AS invoice_id, ProductID AS product_id, "
+    "Quantity AS quantity, UnitPrice AS unit_price"
+)
 
 
 def orphan_row(name: str, table: str, keys: list[str], known: str = "false") -> str:

@@ -138,10 +138,13 @@ class Model(Tables):
         return diamond.commercial_kpis(self.base, self.dim_date, self._returned(), self.targets)
 
 
-def query(*staged: str, name: str | None = None) -> Callable[[Callable[[Model], DataFrame]], Callable[[Model], DataFrame]]:
+Build = Callable[[Model], DataFrame]
+
+
+def query(*staged: str, name: str | None = None) -> Callable[[Build], Build]:
     """Register a query; the entities given are stored first, as it reads them several times."""
 
-    def register(build: Callable[[Model], DataFrame]) -> Callable[[Model], DataFrame]:
+    def register(build: Build) -> Build:
         QUERIES[name or build.__name__] = lambda spark, sf_dir: build(Model(spark, sf_dir).staged(*staged))
         return build
 

@@ -1,6 +1,6 @@
 """The sales entities as projections of the given tables.
 
-`Tables` has them clean, named as in the silver layer. `bronze_tables` has the nine source
+`Tables` has them clean, named as in the silver layer; its `bronze` has the nine source
 tables with their own names, repeated versions and rows that break the rules.
 """
 
