@@ -16,7 +16,7 @@ WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
 UNITS_PER_BLOCK = 4096
 # Open units of a source that are settled together at the end, out of 2^LANDING choices.
-LANDING = 14
+LANDING = 16
 SEED = 20240607
 
 UNIT = "doc_id bigint, source string, size bigint, copies bigint, whole bigint, share double, block bigint, spot bigint"
@@ -182,11 +182,11 @@ def mix(
         F.pmod(spot, F.ceil(F.col("_rows") / units_per_block).cast("bigint")).alias("block"),
         spot.alias("spot"),
     )
-    # small units first: the last choices are then made among large ones, whose sums lie densely
-    blocks = open_units.repartition("source", "block").sortWithinPartitions("source", "block", "size", "spot", "doc_id")
+    # in the order of a hash, so that the last open units have all kinds of sizes, whose sums lie densely
+    blocks = open_units.repartition("source", "block").sortWithinPartitions("source", "block", "spot", "doc_id", "size")
     flown = stage(blocks.mapInPandas(_fly(("source", "block"), seed, False), UNIT), "flown")
     is_open = (F.col("share") > 0) & (F.col("share") < 1)
-    left = flown.filter(is_open).repartition("source").sortWithinPartitions("source", "size", "spot", "doc_id")
+    left = flown.filter(is_open).repartition("source").sortWithinPartitions("source", "spot", "doc_id", "size")
     landed = left.mapInPandas(_fly(("source",), seed, True), UNIT)
     settled = flown.filter(~is_open).unionByName(landed)
     all_copies = F.col("whole") + F.col("share").cast("bigint")
