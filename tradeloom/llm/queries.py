@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradeloom.llm.ann import OP1_SQL, op1_ann
 from tradeloom.llm.mixing import op9_mixing
 from tradeloom.llm.rules import op6_quality_rules
 from tradeloom.llm.sharding import op5_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ann": op1_ann,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_ann": OP1_SQL}
