@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.llm.ann import OP1_SQL, op1_ann
 from tradeloom.llm.mixing import op9_mixing
 from tradeloom.llm.rules import op6_quality_rules
+from tradeloom.llm.secrets import op3_secret_scans
 from tradeloom.llm.sharding import op5_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
+    "op3_secret_scans": op3_secret_scans,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op9_mixing": op9_mixing,
