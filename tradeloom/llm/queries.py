@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm.ann import OP1_SQL, op1_ann
 from tradeloom.llm.mixing import op9_mixing
+from tradeloom.llm.quality import op7_quality_classifier
 from tradeloom.llm.rules import op6_quality_rules
 from tradeloom.llm.secrets import op3_secret_scans
 from tradeloom.llm.sharding import op5_sharding
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scans": op3_secret_scans,
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_mixing": op9_mixing,
 }
 
