@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tradeloom.llm.ann import OP1_SQL, op1_ann
+from tradeloom.llm.html import op2_html_extraction
 from tradeloom.llm.jaccard import op4_ngram_jaccard
 from tradeloom.llm.mixing import op9_mixing
 from tradeloom.llm.quality import op7_quality_classifier
@@ -16,6 +17,7 @@ from tradeloom.llm.sharding import op5_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
+    "op2_html_extraction": op2_html_extraction,
     "op3_secret_scans": op3_secret_scans,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_sharding": op5_sharding,
