@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.llm.ann import OP1_SQL, op1_ann
 from tradeloom.llm.html import op2_html_extraction
 from tradeloom.llm.jaccard import op4_ngram_jaccard
+from tradeloom.llm.lm import op8_lm_scoring
 from tradeloom.llm.mixing import op9_mixing
 from tradeloom.llm.quality import op7_quality_classifier
 from tradeloom.llm.rules import op6_quality_rules
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_quality_rules": op6_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
 }
 
