@@ -14,6 +14,7 @@ from tradeloom.llm.mixing import op9_mixing
 from tradeloom.llm.quality import op7_quality_classifier
 from tradeloom.llm.rules import op6_quality_rules
 from tradeloom.llm.secrets import op3_secret_scans
+from tradeloom.llm.segment import op10_sentencepiece
 from tradeloom.llm.sharding import op5_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {"op1_ann": OP1_SQL}
