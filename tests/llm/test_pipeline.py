@@ -1,0 +1,108 @@
+"""Every stage of the pipeline against plain Python on its own input."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from test_jaccard import brute
+from test_secrets import plain_base
+from test_sharding_rules_mixing import waterfill
+
+import corpus_pipeline
+from corpus_pipeline import STAGES
+from tradeloom.llm import quality, secrets
+from tradeloom.llm.common import stage
+
+SF = "/root/testdata/sf0.01"
+
+
+def rows_of(df):
+    return [r.asDict() for r in df.collect()]
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Rows before and after every stage."""
+    out = [rows_of(spark.read.parquet(f"{SF}/documents.parquet"))]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, apply in STAGES:
+        docs = stage(apply(spark, docs, SF), "test")
+        out.append(rows_of(docs))
+    return out
+
+
+def test_columns(stages):
+    assert len(STAGES) == 5 and all(list(rows[0]) == list(stages[0][0]) for rows in stages[:5])
+    assert {"doc_id", "rank", "ids"} <= set(stages[5][0])
+
+
+def test_quality(spark, stages):
+    before, after = stages[:2]
+    model = quality.learn(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    scorer = quality.Scorer(model)
+    assert sorted(r["doc_id"] for r in after) == sorted(r["doc_id"] for r in before if scorer.score(r["text"]) >= 0.3)
+    kept = {r["doc_id"] for r in after}
+    good = [r.doc_id in kept for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality == 1]
+    assert sum(good) >= 0.97 * len(good)
+
+
+def test_near_duplicates(stages):
+    before, after = stages[1:3]
+    groups = {k: c for k, _, c in brute([(r["doc_id"], r["text"]) for r in before])}
+    by_id = {r["doc_id"]: r for r in before}
+    assert sorted(map(str, after)) == sorted(str(by_id[i]) for i in groups if groups[i] == i)
+
+
+def test_secrets(stages):
+    before, after = ({r["doc_id"]: r for r in rows} for rows in stages[2:4])
+    assert before.keys() == after.keys()
+    scanner = secrets.Scanner(secrets.train([]))
+    changed = 0
+    for i, old in before.items():
+        new = after[i]
+        assert new["n_chars"] == len(new["text"]) and not plain_base(new["text"])
+        assert {k: v for k, v in new.items() if k not in ("text", "n_chars")} == {k: v for k, v in old.items() if k not in ("text", "n_chars")}
+        # what was left in place is a part of the old text, in order
+        assert re.fullmatch(".+".join(map(re.escape, new["text"].split(secrets.REDACTED))), old["text"], re.DOTALL)
+        changed += new["text"] != old["text"]
+        assert plain_base(old["text"]) == [] or new["text"] != old["text"]
+    assert sum(bool(plain_base(r["text"])) for r in before.values()) <= changed <= 0.05 * len(before)
+    assert scanner.redacted('a token="abcdef1" b') == f'a token="{secrets.REDACTED}" b'
+
+
+def test_mix(stages):
+    before, after = stages[3:5]
+    by_id = {r["doc_id"]: r for r in before}
+    assert all(by_id[r["doc_id"]] == r for r in after)
+    assert max(Counter(r["doc_id"] for r in after).values()) <= 3
+    sizes, taken = defaultdict(int), defaultdict(int)
+    for rows, total in ((before, sizes), (after, taken)):
+        for r in rows:
+            total[r["source"]] += len(re.findall(r"[^\x20\x09-\x0D]+", r["text"]))
+    for source, target in waterfill(sizes).items():
+        assert taken[source] == pytest.approx(target, abs=max(40, 0.02 * target))
+
+
+def test_segmentations(stages):
+    before, after = stages[4:6]
+    assert Counter(r["doc_id"] for r in after) == Counter({i: 2 * n for i, n in Counter(r["doc_id"] for r in before).items()})
+    assert all(r["round_trip"] for r in after)
+
+
+def test_odd_rows(spark, tmp_path):
+    text = "one two three four five six seven eight nine ten"
+    rows = [(1, None), (2, ""), (None, text), (4, text), (4, text), (5, "x y " * 40_000), (6, 'the token = "0123456789abcdef0123456789" end'), (7, " ")]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, score double, label int, n int"
+    df = spark.createDataFrame([(i, t, None, None if i == 1 else "a", 0, 1.0, 2, 3) for i, t in rows], schema)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(4, 1), (5, 1), (99, 0)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for number, (_, apply) in enumerate(STAGES[:4]):
+        docs = stage(apply(spark, docs, str(tmp_path)), "odd")
+        assert docs.schema.simpleString() == df.schema.simpleString()
+        if number == 1:
+            assert sorted(str(r.doc_id) for r in docs.collect()) == ["1", "2", "4", "5", "6", "7"]
+    assert all(r.round_trip for r in STAGES[4][1](spark, docs, str(tmp_path)).collect())
+    df.limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
+    spark.read.parquet(f"{tmp_path}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/empty/labels.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []

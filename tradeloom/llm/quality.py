@@ -151,6 +151,18 @@ def score_rows(df: DataFrame, model: Model, text: str = "text", keep: list[str]
     return map_batches(df.select(*kept, F.col(text).alias("_text")), run, f"{schema}score double")
 
 
+def keep_good(df: DataFrame, model: Model, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows whose text scores at least the threshold, with all their columns."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for batch in batches:
+            yield batch.filter(pa.array([scorer.score(t) >= threshold for t in batch.column(text).to_pylist()], pa.bool_()))
+
+    return map_batches(df, run, schema)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents by dictionaries of the labelled ones that are not held out."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from corpus_pipeline import ORACLE_SQL, run
 from tradeloom.llm.ann import OP1_SQL, op1_ann
 from tradeloom.llm.html import op2_html_extraction
 from tradeloom.llm.jaccard import op4_ngram_jaccard
@@ -28,6 +29,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_sentencepiece": op10_sentencepiece,
+    "pipeline": run,
 }
 
 ORACLE: dict[str, str] = {"op1_ann": OP1_SQL}
+if ORACLE_SQL is not None:
+    ORACLE["pipeline"] = ORACLE_SQL

@@ -30,6 +30,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_ASSIGNED, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "crf")
 SPAN_COLUMNS = ["starts", "ends", "kinds"]
+REDACTED = "[SECRET]"
 
 WORDS = re.compile(WORD)
 # What stands around a value inside its word.
@@ -427,6 +428,18 @@ class Scanner:
             out.append((start, end))
         return out
 
+    def redacted(self, text: str) -> str:
+        """The text with every secret, of an assignment only its value, replaced by `REDACTED`."""
+        parts = sorted(secret_parts(text) + [(a, b) for a, b, kind in self.spans(text) if KINDS[kind] == "crf"])
+        out, at = [], 0
+        for a, b in parts:
+            if b <= at:
+                continue
+            if a >= at:
+                out += [text[at:a], REDACTED]
+            at = b
+        return "".join([*out, text[at:]]) if out else text
+
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """Base spans and, where they touch none of these, those of the field; by start, then kind."""
         found = base_spans(text)
@@ -485,6 +498,20 @@ def scan(df: DataFrame, field: Field, text: str = "text", keep: list[str] | None
     return map_batches(given, run, f"{schema}starts array<bigint>, ends array<bigint>, kinds array<string>")
 
 
+def redact(df: DataFrame, field: Field, text: str = "text") -> DataFrame:
+    """All rows with the secrets of their texts replaced; other columns and NULL texts stay."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(field)
+        for batch in batches:
+            texts = [None if t is None else scanner.redacted(t) for t in batch.column(at).to_pylist()]
+            yield batch.set_column(at, text, pa.array(texts, batch.schema.field(at).type))
+
+    return map_batches(df, run, schema)
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, digest and list of the secrets in all documents."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
