@@ -1,14 +1,16 @@
+import datetime
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tradeloom.operators.checks import fingerprint
-from tradeloom.operators.joins import lookup_join
+from tradeloom.operators.joins import existence_flag, lookup_join
 from tradeloom.operators.ranking import dense_ranks, number_sorted, surrogate_key
 
 FIXTURE = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-SALTED = {"skew_free_bytes": 0, "hot_rows": 3}
 
 
 def hot_facts(spark):
@@ -20,74 +22,95 @@ def hot_facts(spark):
     )
 
 
-def test_salted_join_equals_the_plain_one(spark, rows):
+def test_join_keeps_all_rows(spark, rows):
     facts = hot_facts(spark)
     lookup = spark.range(0, 280, 2).selectExpr("id + 1 AS k", "concat('n', id) AS name").unionByName(
         spark.sql("SELECT 2L AS k, 'two' AS name"))
-    salted = lookup_join(facts, lookup, "k", **SALTED)
-    assert rows(salted) == rows(facts.join(lookup, "k", "left"))
-    assert salted.columns == ["k", "v", "name"]
-
-
-def test_salted_join_spreads_a_hot_key(spark):
-    facts = hot_facts(spark).repartition(8)
-    lookup = spark.range(1000).selectExpr("id AS k", "id AS name")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    joined = lookup_join(facts, lookup, "k")
+    assert rows(joined) == rows(facts.join(lookup, "k", "left")) and joined.count() == 300
+    assert joined.columns == ["k", "v", "name"]
+
+
+def test_spark_splits_hot_keys_of_a_join_to_a_grouped_side(spark, tmp_path):
+    """Without the rebalancing the grouped side would keep a hot key in one task."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
     try:
-        joined = lookup_join(facts, lookup, "k", **SALTED).withColumn("task", F.spark_partition_id())
-        tasks = {r.k: r.n for r in joined.groupBy("k").agg(F.count_distinct("task").alias("n")).collect()}
-        plain = facts.join(lookup, "k", "left").withColumn("task", F.spark_partition_id())
-        alone = {r.k: r.n for r in plain.groupBy("k").agg(F.count_distinct("task").alias("n")).collect()}
+        facts = spark.range(400_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "uuid() AS v").repartition(12)
+        known = spark.range(300_000).selectExpr("id % 150000 AS code")
+        flagged = existence_flag(facts, "k", known, "code", "found").withColumn("task", F.spark_partition_id())
+        flagged.write.parquet(str(tmp_path / "t"))
+        stored = spark.read.parquet(str(tmp_path / "t"))
+        tasks = stored.filter("k = 7").agg(F.count_distinct("task")).first()[0]
+        assert tasks > 3
+        assert stored.filter("found").count() == stored.filter("k < 150000").count() and stored.count() == 400_000
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert alone[1] == alone[2] == alone[None] == 1
-    assert tasks[1] > 3 and tasks[2] > 3 and tasks[None] > 3
-
-
-def test_hot_keys_may_be_counted_elsewhere(spark, rows):
-    facts = hot_facts(spark)
-    lookup = spark.range(300).selectExpr("id AS k", "id AS name")
-    counted = lookup_join(facts.filter("v >= 0"), lookup, "k", keys_from=facts, **SALTED)
-    assert rows(counted) == rows(facts.join(lookup, "k", "left"))
+        for key in conf:
+            spark.conf.unset(key)
 
 
 def test_join_on_several_keys(spark, rows):
     facts = spark.range(60).selectExpr("id % 3 AS a", "id % 2 AS b", "id AS v")
     lookup = spark.sql("SELECT * FROM VALUES (0L, 0L, 'x'), (1L, 1L, 'y') AS t(a, b, w)")
-    assert rows(lookup_join(facts, lookup, ["a", "b"], **SALTED)) == rows(facts.join(lookup, ["a", "b"], "left"))
+    assert rows(lookup_join(facts, lookup, ["a", "b"])) == rows(facts.join(lookup, ["a", "b"], "left"))
 
 
 @FIXTURE
 @given(st.sets(st.one_of(st.integers(-99, 99), st.integers(-(2**62), 2**62)), max_size=30), st.integers(2, 20))
 def test_two_step_key_equals_row_number(spark, rows, ids, id_bits):
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-    keyed = surrogate_key(df, "k", "id", one_task_bytes=0, id_bits=id_bits)
+    keyed = surrogate_key(df, "k", "id", id_bits=id_bits)
     assert rows(keyed, "id", "k") == sorted(((v, n + 1) for n, v in enumerate(sorted(ids))), key=repr)
 
 
 def test_a_missing_id_comes_first(spark, rows):
-    df = spark.createDataFrame([(5,), (None,), (-7,)], "id bigint")
-    for size in (0, 1 << 40):
-        assert rows(surrogate_key(df, "k", "id", one_task_bytes=size), "k", "id") == [(1, None), (2, -7), (3, 5)]
+    for values, kind in (((5, None, -7), "bigint"), (("b", None, "a"), "string")):
+        df = spark.createDataFrame([(v,) for v in values], f"id {kind}")
+        keyed = {r.id: r.k for r in surrogate_key(df, "k", "id").collect()}
+        assert keyed == {None: 1, values[2]: 2, values[0]: 3}
 
 
-def test_key_is_equal_on_both_ways_and_stable(spark, rows):
-    df = spark.range(0, 50_000, 7).repartition(5)
-    large = surrogate_key(df, "k", "id", one_task_bytes=0, id_bits=10)
-    assert rows(large, "id", "k") == rows(surrogate_key(df, "k", "id", one_task_bytes=1 << 40), "id", "k")
-    assert fingerprint(large).collect() == fingerprint(surrogate_key(df.repartition(3), "k", "id", one_task_bytes=0)).collect()
+def test_key_does_not_depend_on_layout_or_ranges(spark, rows):
+    df = spark.range(0, 50_000, 7)
+    keyed = surrogate_key(df.repartition(5), "k", "id", id_bits=10)
+    assert rows(keyed, "id", "k") == [(i, n) for n, i in enumerate(range(0, 50_000, 7), 1)] or rows(keyed, "id", "k") == sorted(
+        [(i, n) for n, i in enumerate(range(0, 50_000, 7), 1)], key=repr)
+    assert fingerprint(keyed).collect() == fingerprint(surrogate_key(df.repartition(3), "k", "id")).collect()
 
 
-def test_large_key_has_no_window_over_everything(spark):
-    df = spark.range(100)
-    plan = surrogate_key(df, "k", "id", one_task_bytes=0)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("values", [["b1", "a2", "c3"], ["10", "9", "100"], [datetime.date(2031, 1, d) for d in (3, 1, 2)]])
+def test_ids_of_other_types_are_numbered_in_their_order(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], ["id"])
+    assert {r.id: r.k for r in surrogate_key(df, "k", "id").collect()} == {v: n for n, v in enumerate(sorted(values), 1)}
+
+
+def test_key_has_no_window_over_everything(spark):
+    plan = surrogate_key(spark.range(100), "k", "id")._jdf.queryExecution().executedPlan().toString()
     # the one single-task window works on the groups of ranges, after two aggregations
     single = [part for part in plan.split("\n") if "SinglePartition" in part]
     assert len(single) <= 1
 
 
+@pytest.mark.parametrize("limit", ["0", "7"])
+def test_numbers_and_ranks_do_not_depend_on_the_writers_files(spark, rows, limit):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", limit)
+    try:
+        df = spark.range(1000).selectExpr("id", "cast(id * 7919 % 1000 AS string) AS t").repartition(4)
+        numbered = {r.t: r.n for r in number_sorted(df, [F.asc("t")], "n").collect()}
+        assert numbered == {t: n for n, t in enumerate(sorted(str(i) for i in range(1000)), 1)}
+        ranked = {r.id: r.r for r in dense_ranks(spark.range(500), {"r": "id"}).collect()}
+        assert ranked == {i: 500 - i for i in range(500)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
 VALUES = st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(-3, 3))), min_size=1, max_size=25)
 
 
@@ -96,7 +119,7 @@ VALUES = st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(
 def test_two_step_ranks_equal_dense_rank(spark, rows, data):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "i int, g int, v int")
     df = df.withColumn("w", F.col("v").cast("decimal(12,2)"))
-    ranked = dense_ranks(df, {"rv": "v", "rw": "w"}, one_task_bytes=0, **SALTED)
+    ranked = dense_ranks(df, {"rv": "v", "rw": "w"})
     everything = Window.orderBy(F.col("v").desc_nulls_last())
     expected = df.withColumns({"rv": F.dense_rank().over(everything), "rw": F.dense_rank().over(everything)})
     assert rows(ranked) == rows(expected)
@@ -106,8 +129,7 @@ def test_ranks_within_groups(spark, rows):
     data = [(1, "a", 5), (2, "a", 5), (3, "a", 1), (4, "b", None), (5, "b", 2), (6, None, 9), (7, None, 7)]
     df = spark.createDataFrame(data, "i int, g string, v int")
     expected = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
-    for size in (0, 1 << 40):
-        assert rows(dense_ranks(df, {"r": "v"}, within=["g"], one_task_bytes=size)) == rows(expected)
+    assert rows(dense_ranks(df, {"r": "v"}, within=["g"])) == rows(expected)
 
 
 def test_number_sorted_across_many_files(spark, rows):

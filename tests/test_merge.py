@@ -130,11 +130,47 @@ def test_stored_watermark(spark, tmp_path):
     assert stored_watermark(spark, path, "u") is None
 
 
-def test_snapshot_is_one_file_and_compared(spark, tmp_path):
+def test_upsert_keeps_and_adds_rows_without_a_key(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id bigint, v string"
+    stored = spark.createDataFrame([(1, "a"), (None, "old"), (2, "b")], schema)
+    write_upsert(spark, stored, path, "id", keys_per_range=2)
+    change = spark.createDataFrame([(2, "c"), (None, "new"), (None, "new too")], schema)
+    write_upsert(spark, change, path, "id", keys_per_range=2)
+    found = rows(spark.read.parquet(path), "id", "v")
+    assert found == sorted([(1, "a"), (2, "c"), (None, "old"), (None, "new"), (None, "new too")], key=repr)
+    write_upsert(spark, spark.createDataFrame([(9, "z")], schema), path, "id", keys_per_range=2)
+    assert rows(spark.read.parquet(path), "id", "v") == sorted([*found, (9, "z")], key=repr)
+
+
+def test_upsert_refuses_other_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_upsert(spark, spark.range(3).selectExpr("id", "id AS v"), path, "id")
+    with pytest.raises(ValueError, match="w"):
+        write_upsert(spark, spark.range(3).selectExpr("id", "id AS v", "id AS w"), path, "id")
+
+
+@pytest.mark.parametrize(
+    "mark, overlap, expected",
+    [
+        (datetime(2031, 5, 3), 0, [4, 5]),
+        (datetime(2031, 5, 3, 23, 59, 59), 0, [4, 5]),
+        (datetime(2031, 5, 3, 23, 59, 58), 0, [4, 5]),
+        (datetime(2031, 5, 3), 1, [3, 4, 5]),
+        (datetime(2031, 5, 2, 23, 59, 59), 0, [3, 4, 5]),
+    ],
+)
+def test_rows_after_on_dates(spark, mark, overlap, expected):
+    df = spark.range(1, 6).selectExpr("id", "make_date(2031, 5, int(id)) AS d")
+    assert [r.id for r in rows_after(df, "d", mark, overlap).orderBy("id").collect()] == expected
+
+
+def test_snapshot_is_compared(spark, tmp_path):
     df = spark.range(500).selectExpr("id AS b", "id * 2 AS a").repartition(6)
     result = export_snapshot(df, str(tmp_path / "monthly_sales"))
     assert result["ok"] and result["source_count"] == result["snapshot_count"] == 500
-    assert len(list((tmp_path / "monthly_sales").glob("*.parquet"))) == 1
+    assert len(list((tmp_path / "monthly_sales").glob("*.parquet"))) == 6  # as the writer's tasks leave them
+    assert export_snapshot(df, str(tmp_path / "one"), files=1)["ok"] and len(list((tmp_path / "one").glob("*.parquet"))) == 1
     require_ok([result])
     with pytest.raises(RuntimeError, match="monthly_sales"):
         require_ok([{**result, "ok": False}])
@@ -146,20 +182,12 @@ def test_register_tables_for_sql(spark, tmp_path):
     for _ in range(2):
         assert register_tables(spark, root, "gold", ["dim_date"]) == ["gold_dim_date"]
     assert spark.sql("SELECT count(*) FROM gold_dim_date").first()[0] == 3
-    spark.sql("DROP TABLE gold_dim_date")
+    spark.sql("DROP VIEW gold_dim_date")
 
 
 # --- database options; no database is started ---
 
 
-def test_second_predicate():
-    assert jdbc.second_predicate("UpdatedAt", None) == "1=1"
-    assert jdbc.incremental_subquery("erp.Items", "UpdatedAt", MARK) == (
-        "(SELECT * FROM erp.Items WHERE DATEDIFF(SECOND, '2020-01-01', UpdatedAt) > "
-        "DATEDIFF(SECOND, '2020-01-01', CAST('2024-01-01 10:00:05' AS DATETIME2))) AS incremental_extract"
-    )
-
-
 def test_database_options():
     base = jdbc.Database("jdbc:x", user="u", options={"encrypt": "true"})
     assert base.reader_options() == {"url": "jdbc:x", "user": "u", "encrypt": "true"}

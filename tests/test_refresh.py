@@ -7,7 +7,7 @@ from workload.tables import AS_OF
 
 from tradeloom.operators.checks import fingerprint
 from tradeloom.plans import refresh
-from tradeloom.plans.bronze import SOURCE_TABLES, WATERMARK, ingest_all
+from tradeloom.plans.bronze import SOURCE_TABLES, WATERMARK, ingest_all, ingest_table
 from tradeloom.operators.merge import rows_after
 from tradeloom.operators.quality import deduplicate_latest
 from tradeloom.operators.schema import drop_control_columns
@@ -78,10 +78,40 @@ def test_snapshots_and_catalog(spark, lake, tmp_path):
     results = refresh.export_diamond(spark, lake["root"], str(tmp_path))
     assert [r["table"] for r in results] == refresh.DIAMOND_TABLES and all(r["ok"] for r in results)
     names = refresh.register_all(spark, lake["root"])
-    assert len(names) == 33
-    assert spark.sql("SELECT count(*) FROM gold_fact_sales").first()[0] == lake["gold"]["fact_sales"]
+    assert len(names) == 33 == len(set(names)) == sum(map(len, refresh.LAYER_TABLES.values()))
+    for layer, tables in refresh.LAYER_TABLES.items():
+        for table in tables:
+            entry, stored = spark.table(f"{layer}_{table}"), read_layer(spark, lake["root"], layer, table)
+            assert entry.columns == stored.columns and "key_range" not in entry.columns
+            assert entry.count() == stored.count() > 0
+    assert refresh.register_all(spark, lake["root"]) == names
     for name in names:
-        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP VIEW {name}")
+
+
+def test_executive_tables_are_read_in_order(spark, lake):
+    refresh.refresh_diamond(spark, lake["root"])
+    for table, order in refresh.diamond.READ_ORDER.items():
+        read = [tuple(r[c] for c in order) for r in refresh.read_executive(spark, lake["root"], table).collect()]
+        assert read == sorted(read, key=lambda r: tuple((v is not None, v) for v in r)) and len(read) > 1
+
+
+def test_a_failing_check_leaves_the_old_layer(spark, lake, monkeypatch):
+    refresh.refresh_diamond(spark, lake["root"])
+    before = prints(spark, lake["root"], "diamond")
+    wrong = refresh.diamond.monthly_sales
+    monkeypatch.setattr(refresh.diamond, "monthly_sales", lambda *a: wrong(*a).withColumn("net_revenue", F.lit(0).cast("decimal(38,6)")))
+    with pytest.raises(refresh.CheckFailed, match="net revenue"):
+        refresh.refresh_diamond(spark, lake["root"])
+    assert prints(spark, lake["root"], "diamond") == before
+
+
+def test_misread_texts_are_repaired_on_the_way_in(spark, tmp_path):
+    source = spark.sql("SELECT 1 AS ProductID, 'MÃ³vel' AS ProductName, 'SÃ£o' AS CategoryName, TIMESTAMP '2031-05-17 12:00:00' AS UpdatedAt")
+    table = next(t for t in SOURCE_TABLES if t.source == "erp.Products")
+    assert ingest_table(spark, table, lambda t, mark: source, str(tmp_path), "b", "erp") == 1
+    stored = read_layer(spark, str(tmp_path), "bronze", table.bronze).first()
+    assert (stored.ProductName, stored.CategoryName, stored.UpdatedAt) == ("Móvel", "São", source.first().UpdatedAt)
 
 
 def test_a_check_that_fails_stops_the_refresh(spark, lake):

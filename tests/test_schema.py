@@ -23,13 +23,13 @@ from tradeloom.operators.schema import (
 @pytest.mark.parametrize(
     "name, expected",
     [
-        ("OrderID", "order_id"),
-        ("OrderDate", "order_date"),
-        ("InvoiceID", "invoice_id"),
-        ("customer_id", "customer_id"),
-        ("HTTPServerName", "http_server_name"),
-        ("UnitPrice2", "unit_price2"),
-        ("Line2Total", "line2_total"),
+        ("BerthNumber", "berth_number"),
+        ("GPSFix", "gps_fix"),
+        ("VesselIMO", "vessel_imo"),
+        ("already_flat", "already_flat"),
+        ("RadarXYPlot", "radar_xy_plot"),
+        ("Draught3", "draught3"),
+        ("Deck4Load", "deck4_load"),
     ],
 )
 def test_snake_case(name, expected):
@@ -44,24 +44,25 @@ def test_snake_case_is_stable_and_only_adds_underscores(name):
 
 
 def test_standardize_keeps_rows(spark, rows):
-    df = spark.createDataFrame([(1, "Alice")], "CustomerID int, CustomerName string")
-    assert standardize_columns(df).columns == ["customer_id", "customer_name"]
-    assert rows(standardize_columns(df)) == [(1, "Alice")]
+    log = [("Aurora", 11.5, None), ("Borealis", None, True), ("Aurora", 11.5, None)]
+    df = spark.createDataFrame(log, "VesselName string, MaxDraught double, inPort boolean")
+    assert standardize_columns(df).columns == ["vessel_name", "max_draught", "in_port"]
+    assert rows(standardize_columns(df)) == rows(df)
 
 
 def test_standardize_refuses_colliding_names(spark):
     with pytest.raises(ValueError, match="collide"):
-        standardize_columns(spark.range(1).selectExpr("id AS OrderID", "id AS order_id"))
+        standardize_columns(spark.range(1).selectExpr("id AS PilotID", "id AS pilot_id"))
 
 
 def test_control_columns_are_added_and_dropped(spark):
-    df = spark.range(2)
-    stamped = add_control_columns(df, "erp", "erp.Notes", "b1", "full", datetime(2024, 1, 2))
-    assert stamped.columns == ["id", *CONTROL_COLUMNS]
-    assert stamped.first().asDict()["load_type"] == "full"
-    assert drop_control_columns(stamped).columns == ["id"]
-    assert drop_control_columns(df).columns == ["id"]
-    assert drop_control_columns(stamped.select("id", "batch_id")).columns == ["id"]
+    df = spark.createDataFrame([("Aurora", 3)], "vessel string, calls int")
+    noon = datetime(2031, 5, 17, 12)
+    stamped = add_control_columns(df, "harbour", "harbour.calls", "night-7", "incremental", noon)
+    assert stamped.columns == ["vessel", "calls", *CONTROL_COLUMNS]
+    assert tuple(stamped.first()) == ("Aurora", 3, noon, "harbour", "harbour.calls", "night-7", "incremental")
+    some = stamped.drop("load_type", "source_table")
+    assert all(drop_control_columns(d).columns == df.columns for d in (stamped, some, df))
 
 
 def test_batch_id_format():
@@ -69,10 +70,12 @@ def test_batch_id_format():
 
 
 def test_cast_ignores_unknown_columns_and_bad_text(spark, rows):
-    df = spark.createDataFrame([("10", "19.90"), ("x", "1")], "quantity string, unit_price string")
-    result = cast_columns(df, {"quantity": "int", "unit_price": "double", "nothing": "int"})
-    assert result.dtypes == [("quantity", "int"), ("unit_price", "double")]
-    assert rows(result) == [(10, 19.9), (None, 1.0)]
+    log = [("7", "2031-05-17", "88.25"), ("seven", "17 May", "1e3"), (None, "", "-0")]
+    df = spark.createDataFrame(log, "crew string, arrival string, tons string")
+    result = cast_columns(df, {"tons": "decimal(8,2)", "crew": "smallint", "arrival": "date", "keel": "date"})
+    assert result.dtypes == [("crew", "smallint"), ("arrival", "date"), ("tons", "decimal(8,2)")]
+    assert rows(result) == rows(spark.sql("""SELECT * FROM VALUES (7S, DATE '2031-05-17', 88.25BD), (NULL, NULL, 1000.00BD),
+        (NULL, NULL, 0.00BD)"""))
 
 
 def test_fill_nulls_keeps_the_type(spark):

@@ -14,6 +14,16 @@ def date_key(column: str | Column) -> Column:
     return F.year(value) * 10000 + F.month(value) * 100 + F.dayofmonth(value)
 
 
+def key_year(column: str) -> Column:
+    """The year of a date key."""
+    return F.floor(F.col(column) / 10000).cast("int")
+
+
+def key_month(column: str) -> Column:
+    """The month of a date key, 1 to 12."""
+    return (F.floor(F.col(column) / 100) % 100).cast("int")
+
+
 def month_text(year: str, month: str) -> Column:
     """yyyy-MM."""
     return F.format_string("%04d-%02d", F.col(year), F.col(month))

@@ -1,82 +1,32 @@
-"""Joins to a side with one row per key, safe against hot keys."""
+"""Joins to a side with one row per key, in a form that Spark splits at hot keys."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradeloom.session import broadcast_limit, source_bytes
 
-# A key with more rows than this is spread over several tasks.
-HOT_ROWS = 2_000_000
-# A table smaller than this has no group large enough to hold up a task.
-SKEW_FREE_BYTES = 256 * 1024 * 1024
-# Rows whose key is NULL match nothing and may go anywhere.
-NULL_SPREAD = 4096
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: str | list[str],
-    *,
-    keys_from: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    skew_free_bytes: int = SKEW_FREE_BYTES,
-) -> DataFrame:
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> DataFrame:
     """Left join `facts` to `lookup`, which has at most one row per key.
 
-    A lookup made from tables within Spark's broadcast limit is broadcast, and facts that
-    are small enough are joined by key. Otherwise the rows of a key held by more than `hot_rows` facts are dealt out over
-    several tasks, each with its own copy of the one lookup row. The list of hot keys has
-    at most rows / hot_rows entries, which is what makes broadcasting it safe. It is
-    counted in `keys_from`, a stored table with the key columns of `facts`, or in `facts`.
-    As in any join on names, the key columns come first in the result.
+    One plan at every size. Spark broadcasts a lookup that is within its limit; otherwise
+    both sides are shuffled by the key, and adaptive execution splits a partition that a
+    hot key, or NULL, has made large. A lookup that is itself an aggregate by the key
+    goes through `spreadable` first. As in any join on names, the key columns come first.
     """
-    keys = [on] if isinstance(on, str) else list(on)
-    counted = facts if keys_from is None else keys_from
-    if skew_free_bytes:
-        if source_bytes(lookup) <= broadcast_limit(facts.sparkSession):
-            return facts.join(F.broadcast(lookup), keys, "left")
-        if source_bytes(counted) <= skew_free_bytes:
-            return facts.join(lookup, keys, "left")
+    return facts.join(lookup, on, "left")
 
-    hot = F.broadcast(
-        counted.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > hot_rows)
-        .select(*keys, F.ceil(F.col("_rows") / hot_rows).cast("bigint").alias("_shares"))
-    )
-    unmatched = F.lit(False)
-    for key in keys:
-        unmatched = unmatched | F.col(key).isNull()
-    # The partition id keeps exact copies of one row apart, and a task that is run again
-    # deals its rows out the same way.
-    spread = F.xxhash64(F.spark_partition_id(), *[facts[c] for c in _hashable(facts)])
-    share = (
-        F.when(unmatched, F.pmod(spread, F.lit(NULL_SPREAD)))
-        .when(F.col("_shares").isNotNull(), F.pmod(spread, F.col("_shares")))
-        .otherwise(F.lit(0))
-        .cast("bigint")
-    )
-    dealt = facts.join(hot, keys, "left").withColumn("_share", share).drop("_shares")
-    copies = (
-        lookup.join(hot, keys, "left")
-        .withColumn("_share", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_shares", F.lit(1)) - 1)))
-        .drop("_shares")
-    )
-    return dealt.join(copies, [*keys, "_share"], "left").drop("_share")
 
+def spreadable(lookup: DataFrame) -> DataFrame:
+    """A lookup whose join Spark can split at hot keys, though it was grouped by the key.
 
-def existence_flag(
-    df: DataFrame,
-    column: str,
-    reference: DataFrame,
-    reference_column: str,
-    flag: str,
-    keys_from: DataFrame | None = None,
-    **skew: int,
-) -> DataFrame:
+    A grouped side has the join's partitioning already and would keep its partitions
+    whole. Rebalancing its few narrow rows makes the join shuffle both sides itself.
+    """
+    return lookup.hint("rebalance")
+
+
+def existence_flag(df: DataFrame, column: str, reference: DataFrame, reference_column: str, flag: str) -> DataFrame:
     """Add a boolean: does the value occur in the reference? NULL never does.
 
     The reference is made unique first, so duplicate keys in it multiply no rows.
@@ -87,9 +37,5 @@ def existence_flag(
         .distinct()
         .withColumn(flag, F.lit(True))
     )
-    joined = lookup_join(df, found, column, keys_from=keys_from, **skew)
+    joined = lookup_join(df, spreadable(found), column)
     return joined.withColumn(flag, F.coalesce(flag, F.lit(False)))
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]

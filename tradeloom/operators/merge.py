@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tradeloom.functions.dates import moment, to_second
 
@@ -27,18 +28,25 @@ def rows_after(
     if mark is None:
         return df
     first = mark.replace(microsecond=0) + timedelta(seconds=1 - overlap_seconds)
-    return df.filter(F.col(column) >= moment(first).cast(df.schema[column].dataType))
+    kind = df.schema[column].dataType
+    if isinstance(kind, DateType):
+        # a date is its first second; the first one not before the limit is a whole day
+        midnight = first.replace(hour=0, minute=0, second=0)
+        first_day = midnight.date() + timedelta(days=first > midnight)
+        return df.filter(F.col(column) >= F.lit(first_day))
+    return df.filter(F.col(column) >= moment(first).cast(kind))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once."""
-    return df.groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
+    """Keys that occur more than once; NULL equals nothing and is no duplicate."""
+    return df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("copies")).filter(F.col("copies") > 1)
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """The target with every source row put in place of the row with its key, or added.
 
-    The source must have one row per key. Running it again with the same source changes
+    The source must have one row per key. NULL keys match nothing: such rows of the target
+    stay, and those of the source are added. Running it again with the same source changes
     nothing, and rows deleted at the source stay.
     """
     kept = target.join(source.select(*keys), keys, "left_anti")

@@ -63,18 +63,18 @@ def check_not_future(df: DataFrame, column: str, as_of: datetime | Column | None
 
 
 def check_foreign_key(
-    df: DataFrame, column: str, reference: DataFrame, reference_column: str, **skew: int
+    df: DataFrame, column: str, reference: DataFrame, reference_column: str
 ) -> DataFrame:
     """The value must occur in the reference. NULL does not; an empty reference rejects all."""
-    flagged = existence_flag(df, column, reference, reference_column, "_found", **skew)
+    flagged = existence_flag(df, column, reference, reference_column, "_found")
     return _judge(df, flagged, f"{column}_not_found")
 
 
 def check_has_related(
-    df: DataFrame, column: str, related: DataFrame, related_column: str, **skew: int
+    df: DataFrame, column: str, related: DataFrame, related_column: str
 ) -> DataFrame:
     """At least one related row must exist."""
-    flagged = existence_flag(df, column, related, related_column, "_found", **skew)
+    flagged = existence_flag(df, column, related, related_column, "_found")
     return _judge(df, flagged, f"no_related_records_via_{related_column}")
 
 

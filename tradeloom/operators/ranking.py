@@ -1,18 +1,19 @@
 """Dense numbering and ranking of whole tables without one task that holds them.
 
-A small table is sorted by one task, which its size estimate allows. A large one is
-numbered in two steps: rows within bounded groups, and the groups among themselves.
+The same plan serves every size; only the type of the column decides how it is numbered.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tradeloom.operators.joins import lookup_join
-from tradeloom.session import ONE_TASK_BYTES, source_bytes, stage
+from tradeloom.session import stage
 
 # Ids are unique integers, so a range of 2^20 ids holds at most that many rows, and two
 # levels of it leave at most 2^64 / 2^40 groups.
@@ -21,12 +22,14 @@ ID_BITS = 20
 NULL_RANGE = -(1 << 62)
 
 
-def surrogate_key(
-    df: DataFrame, key: str, order_column: str, *, one_task_bytes: int = ONE_TASK_BYTES, id_bits: int = ID_BITS
-) -> DataFrame:
-    """Number the rows 1..n by a unique integer column; equal input gives equal keys."""
-    if source_bytes(df) <= one_task_bytes:
-        return df.withColumn(key, F.row_number().over(Window.orderBy(order_column)).cast("bigint"))
+def surrogate_key(df: DataFrame, key: str, order_column: str, *, id_bits: int = ID_BITS) -> DataFrame:
+    """Number the rows 1..n by a unique column; equal input gives equal keys. NULL comes first.
+
+    Integers are numbered within ranges of ids and the ranges among themselves, in a lazy
+    plan. Other types, such as text, are sorted by range partitions, which are stored.
+    """
+    if not isinstance(df.schema[order_column].dataType, IntegralType):
+        return number_sorted(df, [F.col(order_column).asc_nulls_first()], key)
 
     # never NULL, so that joining the starts on it reuses the window's partitioning
     range_of_id = F.shiftright(F.col(order_column).cast("bigint"), id_bits)
@@ -40,7 +43,7 @@ def surrogate_key(
         .join(groups, F.col("_group") == F.col("_group_id"))
         .select("_range", (F.col("_start") + F.col("_group_start")).alias("_start"))
     )
-    within = F.row_number().over(Window.partitionBy("_range").orderBy(order_column))
+    within = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(order_column).asc_nulls_first()))
     return (
         ranged.withColumn("_nth", within)
         .join(starts, "_range")
@@ -49,66 +52,59 @@ def surrogate_key(
     )
 
 
-def dense_ranks(
-    df: DataFrame,
-    ranks: Mapping[str, str],
-    *,
-    within: Sequence[str] = (),
-    bound: DataFrame | None = None,
-    one_task_bytes: int = ONE_TASK_BYTES,
-    **skew: int,
-) -> DataFrame:
+def dense_ranks(df: DataFrame, ranks: Mapping[str, str], *, within: Sequence[str] = ()) -> DataFrame:
     """Add dense ranks, highest value first, equal values equal, NULL last.
 
     `ranks` maps each new column to the column it ranks; `within` restarts the ranks per
-    group. `bound` is a table with at least as many rows as `df` (the dimension that it
-    describes), by default `df` itself.
+    group. The distinct values of all columns are sorted together, once; a value's rank is
+    its place among those of its column and group, and is joined back.
     """
-    if source_bytes(df if bound is None else bound) <= one_task_bytes:
-        groups = Window.partitionBy(*within)
-        return df.withColumns(
-            {r: F.dense_rank().over(groups.orderBy(F.col(m).desc_nulls_last())) for r, m in ranks.items()}
-        )
-
     group = F.to_json(F.struct(*within), {"ignoreNullFields": "false"}) if within else F.lit("")
     stored = stage(df.withColumn("_group", group), "ranked")
+    names = list(ranks)
+
+    def keys(name: str) -> dict[str, Column]:
+        # one type for all metrics that compares as they do; NULL becomes a value of its own
+        metric = ranks[name]
+        return {"_known": F.col(metric).isNotNull(), "_value": F.coalesce(metric, F.lit(0).cast(stored.schema[metric].dataType))}
+
+    # metrics of one type share a sort; a type of its own has its own
+    places = {}
+    for kind in dict.fromkeys(stored.schema[m].dataType.simpleString() for m in ranks.values()):
+        alike = [n for n in names if stored.schema[ranks[n]].dataType.simpleString() == kind]
+        values = reduce(
+            DataFrame.unionByName,
+            [stored.select(F.lit(n).alias("_rank"), "_group", *[c.alias(k) for k, c in keys(n).items()]).distinct() for n in alike],
+        )
+        order = [F.asc("_rank"), F.asc("_group"), F.desc("_known"), F.desc("_value")]
+        numbered = stage(number_sorted(values, order, "_place"), "places")
+        first = numbered.groupBy("_rank", "_group").agg(F.min("_place").alias("_first"))
+        placed = lookup_join(numbered, first, ["_rank", "_group"]).withColumn("_place", F.col("_place") - F.col("_first") + 1)
+        places.update({n: placed for n in alike})
     ranked = stored
-    for rank, metric in ranks.items():
-        # NULL becomes a value of its own, so that it can be joined on
-        value = {
-            "_known": F.col(metric).isNotNull(),
-            "_value": F.coalesce(metric, F.lit(0).cast(df.schema[metric].dataType)),
-        }
-        keys = ["_group", "_known", "_value"]
-        order = [F.asc("_group"), F.desc("_known"), F.desc("_value")]
-        places = number_sorted(stored.withColumns(value).select(*keys).distinct(), order, rank)
-        if within:
-            first = places.groupBy("_group").agg(F.min(rank).alias("_first"))
-            places = lookup_join(places, first, "_group", **skew)
-            places = places.withColumn(rank, F.col(rank) - F.col("_first") + 1).drop("_first")
-        ranked = lookup_join(
-            ranked.withColumns(value), places, keys, keys_from=stored.withColumns(value), **skew
-        ).drop("_known", "_value")
-    return ranked.withColumns({r: F.col(r).cast("int") for r in ranks}).drop("_group")
+    for name in names:
+        own = places[name].filter(F.col("_rank") == name).select("_group", "_known", "_value", F.col("_place").cast("int").alias(name))
+        ranked = lookup_join(ranked.withColumns(keys(name)), own, ["_group", "_known", "_value"]).drop("_known", "_value")
+    return ranked.select(*df.columns, *names)
 
 
 def number_sorted(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number the rows 1..n in sort order, for any orderable columns.
 
-    Spark's range partitioner spreads the sort; the sorted files are written, and a row's
-    number is its place in its file plus the rows of the files before it. There are at
-    most as many files as shuffle partitions.
+    Spark's range partitioner spreads the sort. Every row is stored with its partition and
+    its place there; its number is that place plus the rows of the partitions before, of
+    which there are at most as many as shuffle partitions.
     """
-    stored = stage(df.orderBy(*order), "sorted").select(
-        "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place")
-    )
-    part = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int")
-    files = stored.groupBy("_file").agg(F.count("*").alias("_rows")).withColumn("_part", part)
-    files = files.withColumn("_before", _sum_before("_rows", Window.orderBy("_part"))).drop("_rows", "_part")
+    stored = stage(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("_at", 33)  # the place within the partition has the lower 33 bits
+    parts = stored.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
+    parts = parts.withColumn("_before", _sum_before("_rows", Window.orderBy("_part"))).drop("_rows")
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1).cast("bigint"))
     return (
-        stored.join(F.broadcast(files), "_file")
-        .withColumn(name, F.col("_before") + F.col("_place") + 1)
-        .drop("_file", "_place", "_before")
+        stored.withColumn("_part", part)
+        .join(F.broadcast(parts), "_part")
+        .withColumn(name, F.col("_before") + place + 1)
+        .drop("_part", "_at", "_before")
     )
 
 

@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradeloom.functions.text import repair_encoding
 from tradeloom.operators.schema import add_control_columns, repair_text_columns
 from tradeloom.session import stage
 from tradeloom.sources.jdbc import Database, Split, read_incremental
@@ -54,11 +55,22 @@ TEXT_COLUMNS = {
 
 
 def repair_source(df: DataFrame, source: str, repaired_at: datetime | None = None) -> DataFrame:
-    """A source table with its misread texts repaired; changed rows count as updated."""
+    """A source table with its misread texts repaired; changed rows count as updated.
+
+    For writing back to the source, where the next increment picks the changed rows up.
+    """
     columns = TEXT_COLUMNS.get(source, [])
     return repair_text_columns(df, columns, WATERMARK, repaired_at) if columns else df
 
 
+def repaired_rows(df: DataFrame, source: str) -> DataFrame:
+    """Ingested rows with misread texts repaired.
+
+    Their time of change stays the source's: moved ahead, it would hide later changes from the next increment.
+    """
+    return df.withColumns({c: repair_encoding(c) for c in TEXT_COLUMNS.get(source, [])})
+
+
 # Given a source table and a high-water mark, the rows after the mark (all, if None).
 Extract = Callable[[SourceTable, datetime | None], DataFrame]
 
@@ -76,10 +88,10 @@ def database_extract(spark: SparkSession, database: Database, splits: Mapping[st
 def ingest_table(
     spark: SparkSession, table: SourceTable, extract: Extract, root: str, batch_id: str, source_system: str
 ) -> int:
-    """Load one table and return the number of rows taken from the source."""
+    """Load one table, its texts repaired, and return the number of rows taken from the source."""
     path = table_path(root, "bronze", table.bronze)
     mark = stored_watermark(spark, path, WATERMARK) if table.key else None
-    rows = add_control_columns(extract(table, mark), source_system, table.source, batch_id, table.load_type)
+    rows = add_control_columns(repaired_rows(extract(table, mark), table.source), source_system, table.source, batch_id, table.load_type)
     if not table.key:
         return write_table(rows, path)
     # the source is asked once; the checks and the merge read the copy

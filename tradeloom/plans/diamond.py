@@ -8,14 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradeloom.functions.amounts import safe_ratio
-from tradeloom.functions.dates import month_text
-from tradeloom.operators.joins import lookup_join
+from tradeloom.functions.dates import key_month, key_year, month_start, month_text
 from tradeloom.operators.ranking import dense_ranks
 
 # Fixed value: the status of an invoice that counts as a sale.
 ISSUED = "issued"
 # Fixed value: the largest difference between two totals that still counts as equal.
 TOLERANCE = 0.01
+MONTHS = ["year_month", "year", "month", "month_name"]
+# The order in which each executive table is read.
+READ_ORDER = {
+    "monthly_sales": ["year_month", "region_name"],
+    "product_ranking": ["rank_net_revenue"],
+    "customer_ranking": ["rank_net_revenue"],
+    "salesperson_performance": ["rank_net_revenue"],
+    "target_vs_actual": ["target_year", "target_month", "salesperson_name"],
+    "commercial_kpis": ["year_month"],
+}
+
+
+def in_read_order(df: DataFrame, table: str) -> DataFrame:
+    """An executive table's rows in the order in which it is presented; stored tables have none."""
+    return df.orderBy(*READ_ORDER[table])
 
 
 def sales_base(fact_sales: DataFrame) -> DataFrame:
@@ -23,13 +37,12 @@ def sales_base(fact_sales: DataFrame) -> DataFrame:
     return fact_sales.filter(F.col("invoice_status") == ISSUED)
 
 
-def monthly_sales(base: DataFrame, dim_date: DataFrame, dim_region: DataFrame) -> DataFrame:
+def monthly_sales(base: DataFrame, dim_region: DataFrame) -> DataFrame:
     """By month and region of the salesperson."""
-    months = ["year_month", "year", "month", "month_name"]
-    sums = _by_month(base, dim_date, ["region_key"], _sales_sums(discounts=True))
+    sums = _with_month_names(_by_month(base, ["region_key"], _sales_sums(discounts=True)))
     regions = dim_region.select("region_key", "region_code", "region_name")
     return _with_ratios(sums).join(regions, "region_key", "left").select(
-        *months,
+        *MONTHS,
         "region_key",
         "region_code",
         "region_name",
@@ -54,7 +67,7 @@ def product_ranking(base: DataFrame, fact_returns: DataFrame, dim_product: DataF
         "rank_units_sold": "units_sold",
         "rank_returned_amount": "returned_amount",
     }
-    return dense_ranks(rows, ranks, bound=dim_product).select(
+    return dense_ranks(rows, ranks).select(
         "product_key",
         "product_id",
         "product_code",
@@ -76,7 +89,7 @@ def product_ranking(base: DataFrame, fact_returns: DataFrame, dim_product: DataF
 def customer_ranking(base: DataFrame, fact_returns: DataFrame, dim_customer: DataFrame) -> DataFrame:
     rows = _entity_totals(base, fact_returns, dim_customer, "customer_key")
     ranks = {"rank_net_revenue": "net_revenue", "rank_returned_amount": "returned_amount"}
-    return dense_ranks(rows, ranks, bound=dim_customer).select(
+    return dense_ranks(rows, ranks).select(
         "customer_key",
         "customer_id",
         "customer_code",
@@ -99,7 +112,7 @@ def customer_ranking(base: DataFrame, fact_returns: DataFrame, dim_customer: Dat
 def salesperson_performance(base: DataFrame, fact_returns: DataFrame, dim_salesperson: DataFrame) -> DataFrame:
     rows = _entity_totals(base, fact_returns, dim_salesperson, "salesperson_key")
     ranks = {"rank_net_revenue": "net_revenue", "rank_returned_amount": "returned_amount"}
-    return dense_ranks(rows, ranks, bound=dim_salesperson).select(
+    return dense_ranks(rows, ranks).select(
         "salesperson_key",
         "salesperson_id",
         "salesperson_code",
@@ -121,7 +134,6 @@ def salesperson_performance(base: DataFrame, fact_returns: DataFrame, dim_salesp
 
 def target_vs_actual(
     base: DataFrame,
-    dim_date: DataFrame,
     fact_sales_targets: DataFrame,
     dim_salesperson: DataFrame,
     dim_region: DataFrame,
@@ -134,7 +146,7 @@ def target_vs_actual(
         "actual_net_revenue": F.sum("net_revenue"),
         "actual_margin": F.sum("margin_amount"),
     }
-    actual = _by_month(base, dim_date, ["salesperson_key", "region_key"], sums, ["year", "month"])
+    actual = _by_month(base, ["salesperson_key", "region_key"], sums)
     actual = actual.withColumnsRenamed({"year": "target_year", "month": "target_month"})
     keys = ["salesperson_key", "region_key", "target_year", "target_month"]
     joined = fact_sales_targets.select(*keys, "target_value").join(actual, keys, "full_outer")
@@ -164,15 +176,12 @@ def target_vs_actual(
     )
 
 
-def commercial_kpis(
-    base: DataFrame, dim_date: DataFrame, fact_returns: DataFrame, fact_sales_targets: DataFrame
-) -> DataFrame:
+def commercial_kpis(base: DataFrame, fact_returns: DataFrame, fact_sales_targets: DataFrame) -> DataFrame:
     """Per month with sales: totals, active entities, returns by return month, targets.
 
     The month's target is the sum over all targets. Every target appears exactly once in
     the comparison of targets with sales, so the sum is taken from the targets themselves.
     """
-    months = ["year_month", "year", "month", "month_name"]
     # one row per invoice first: the distinct counts then work on far fewer rows
     per_invoice = base.groupBy("date_key", "invoice_id", "customer_key", "salesperson_key").agg(
         F.sum("gross_revenue").alias("gross_revenue"),
@@ -180,22 +189,13 @@ def commercial_kpis(
         F.sum("margin_amount").alias("margin_amount"),
         F.sum("quantity").alias("quantity"),
     )
-    sales = (
-        lookup_join(per_invoice, dim_date.select("date_key", *months), "date_key")
-        .groupBy(*months)
-        .agg(
-            *[e.alias(name) for name, e in _sales_sums().items()],
-            F.count_distinct("customer_key").alias("active_customers"),
-            F.count_distinct("salesperson_key").alias("active_salespersons"),
-        )
-    )
-    # summed per day before the calendar is looked up
-    per_day = fact_returns.groupBy("date_key").agg(F.sum("returned_amount").alias("returned_amount"))
-    returned = (
-        per_day.join(dim_date.select("date_key", "year_month"), "date_key", "left")
-        .groupBy("year_month")
-        .agg(F.sum("returned_amount").alias("returned_amount"))
-    )
+    distinct = {
+        "active_customers": F.count_distinct("customer_key"),
+        "active_salespersons": F.count_distinct("salesperson_key"),
+    }
+    sales = _with_month_names(_by_month(per_invoice, [], {**_sales_sums(), **distinct}))
+    returned = _by_month(fact_returns, [], {"returned_amount": F.sum("returned_amount")})
+    returned = _with_month_names(returned).select("year_month", "returned_amount")
     joined = sales.join(returned, "year_month", "left").join(
         targets_by_month(fact_sales_targets), "year_month", "left"
     )
@@ -204,7 +204,7 @@ def commercial_kpis(
         _with_ratios(joined)
         .withColumn("target_attainment", safe_ratio("net_revenue", "target_total"))
         .select(
-            *months,
+            *MONTHS,
             "gross_revenue",
             "net_revenue",
             "margin_amount",
@@ -242,16 +242,24 @@ def _sales_sums(discounts: bool = False) -> dict[str, Column]:
     return sums
 
 
-def _by_month(
-    base: DataFrame, dim_date: DataFrame, keys: list[str], sums: Mapping[str, Column], months: list[str] | None = None
-) -> DataFrame:
-    months = months or ["year_month", "year", "month", "month_name"]
-    dated = lookup_join(base, dim_date.select("date_key", *months), "date_key")
-    return dated.groupBy(*months, *keys).agg(*[e.alias(name) for name, e in sums.items()])
+def _by_month(rows: DataFrame, keys: list[str], sums: Mapping[str, Column]) -> DataFrame:
+    """Sums by `year`, `month` and keys. The date key holds its month, so no calendar is joined."""
+    dated = rows.withColumns({"year": key_year("date_key"), "month": key_month("date_key")})
+    return dated.groupBy("year", "month", *keys).agg(*[e.alias(name) for name, e in sums.items()])
+
+
+def _with_month_names(df: DataFrame) -> DataFrame:
+    """Add the text and the name of the month, as the calendar has them; NULL without a date."""
+    text = F.when(F.col("year").isNotNull(), month_text("year", "month"))
+    return df.withColumns({"year_month": text, "month_name": F.date_format(month_start("year", "month"), "MMMM")})
 
 
 def _entity_totals(base: DataFrame, fact_returns: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Sales and returns of each entity sold, with ratios and the entity's attributes.
+    return entity_totals(base, fact_returns, key).join(dimension, key, "left")
+
+
+def entity_totals(base: DataFrame, fact_returns: DataFrame, key: str) -> DataFrame:
+    """Sales and returns of each entity sold, with ratios, without its name or ranks.
 
     Each group is pre-aggregated by task, and distinct invoices are counted on
     (entity, invoice) pairs, so a hot entity does not meet in one task.
@@ -262,7 +270,7 @@ def _entity_totals(base: DataFrame, fact_returns: DataFrame, dimension: DataFram
     )
     joined = sales.join(returned, key, "left")
     joined = joined.withColumns({name: _or_zero(joined, name) for name in ("returned_amount", "returned_quantity")})
-    return _with_ratios(joined).join(dimension, key, "left")
+    return _with_ratios(joined)
 
 
 def _with_ratios(df: DataFrame) -> DataFrame:

@@ -15,21 +15,21 @@ from tradeloom.operators.ranking import surrogate_key
 # --- dimensions ---
 
 
-def dim_region(regions: DataFrame, **one_task: int) -> DataFrame:
-    return surrogate_key(regions, "region_key", "region_id", **one_task).select(
+def dim_region(regions: DataFrame) -> DataFrame:
+    return surrogate_key(regions, "region_key", "region_id").select(
         "region_key", "region_id", "region_code", "region_name", "state", "country"
     )
 
 
-def dim_payment_method(payment_methods: DataFrame, **one_task: int) -> DataFrame:
-    return surrogate_key(payment_methods, "payment_method_key", "payment_method_id", **one_task).select(
+def dim_payment_method(payment_methods: DataFrame) -> DataFrame:
+    return surrogate_key(payment_methods, "payment_method_key", "payment_method_id").select(
         "payment_method_key", "payment_method_id", "payment_method_code", "payment_method_name", "payment_type"
     )
 
 
-def dim_customer(customers: DataFrame, regions: DataFrame, **one_task: int) -> DataFrame:
-    keyed = surrogate_key(customers, "customer_key", "customer_id", **one_task)
-    return lookup_join(keyed, _region_names(regions), "region_id", keys_from=customers).select(
+def dim_customer(customers: DataFrame, regions: DataFrame) -> DataFrame:
+    keyed = surrogate_key(customers, "customer_key", "customer_id")
+    return lookup_join(keyed, _region_names(regions), "region_id").select(
         "customer_key",
         "customer_id",
         "customer_code",
@@ -44,8 +44,8 @@ def dim_customer(customers: DataFrame, regions: DataFrame, **one_task: int) -> D
     )
 
 
-def dim_product(products: DataFrame, **one_task: int) -> DataFrame:
-    return surrogate_key(products, "product_key", "product_id", **one_task).select(
+def dim_product(products: DataFrame) -> DataFrame:
+    return surrogate_key(products, "product_key", "product_id").select(
         "product_key",
         "product_id",
         "product_code",
@@ -58,9 +58,9 @@ def dim_product(products: DataFrame, **one_task: int) -> DataFrame:
     )
 
 
-def dim_salesperson(salespersons: DataFrame, regions: DataFrame, **one_task: int) -> DataFrame:
-    keyed = surrogate_key(salespersons, "salesperson_key", "salesperson_id", **one_task)
-    return lookup_join(keyed, _region_names(regions), "region_id", keys_from=salespersons).select(
+def dim_salesperson(salespersons: DataFrame, regions: DataFrame) -> DataFrame:
+    keyed = surrogate_key(salespersons, "salesperson_key", "salesperson_id")
+    return lookup_join(keyed, _region_names(regions), "region_id").select(
         "salesperson_key",
         "salesperson_id",
         "salesperson_code",
@@ -119,7 +119,7 @@ def invoice_gross(items: DataFrame) -> DataFrame:
     return items.groupBy("invoice_id").agg(F.sum(line_amount("quantity", "unit_price")).alias("invoice_gross"))
 
 
-def allocate_discounts(items: DataFrame, header: DataFrame, **skew: int) -> DataFrame:
+def allocate_discounts(items: DataFrame, header: DataFrame) -> DataFrame:
     """Give each item its share of its invoice's discount, by gross revenue.
 
     The shares of an invoice add up to its discount. The items present are the base, so a
@@ -128,7 +128,7 @@ def allocate_discounts(items: DataFrame, header: DataFrame, **skew: int) -> Data
     """
     discounts = header.select("invoice_id", F.col("discount_value").alias("header_discount"))
     invoices = invoice_gross(items).join(discounts, "invoice_id", "left")
-    shared = _with_allocation(items, invoices, keys_from=items, **skew)
+    shared = _with_allocation(items, invoices)
     return shared.select(*items.columns, "header_discount_allocated")
 
 
@@ -143,7 +143,6 @@ def sales_lines(
     dim_region: DataFrame | None,
     *,
     numbered: DataFrame | None = None,
-    **skew: int,
 ) -> DataFrame:
     """`fact_sales` without its own surrogate key, for aggregates that do not need one.
 
@@ -155,7 +154,7 @@ def sales_lines(
     """
     rows = items if numbered is None else numbered
     attributes, keys = _invoice_attributes(
-        header, dim_customer, dim_salesperson, dim_payment_method, dim_region, **skew
+        header, dim_customer, dim_salesperson, dim_payment_method, dim_region
     )
     attributes = attributes.select(
         "invoice_id",
@@ -168,10 +167,10 @@ def sales_lines(
     )
     invoices = invoice_gross(items).join(attributes, "invoice_id", "left")
     rows = rows.withColumnRenamed("discount_value", "item_discount")
-    lines = _with_allocation(rows, invoices, keys_from=items, **skew)
-    lines = lookup_join(lines, returns_per_item(returns), "invoice_item_id", keys_from=items, **skew)
+    lines = _with_allocation(rows, invoices)
+    lines = lookup_join(lines, returns_per_item(returns), "invoice_item_id")
     products = dim_product.select("product_id", "product_key", F.col("unit_cost").alias("product_cost"))
-    lines = lookup_join(lines, products, "product_id", keys_from=items, **skew)
+    lines = lookup_join(lines, products, "product_id")
 
     zero = F.lit(0)
     discount = F.col("item_discount") + F.col("header_discount_allocated")
@@ -219,10 +218,10 @@ def sales_lines(
     )
 
 
-def fact_sales(items: DataFrame, *others: DataFrame, **skew: int) -> DataFrame:
+def fact_sales(items: DataFrame, *others: DataFrame) -> DataFrame:
     """One row per item; arguments as for `sales_lines`. Numbered before the joins, on the items alone."""
     numbered = surrogate_key(items, "sales_key", "invoice_item_id")
-    return sales_lines(items, *others, numbered=numbered, **skew)
+    return sales_lines(items, *others, numbered=numbered)
 
 
 def return_lines(
@@ -235,7 +234,6 @@ def return_lines(
     dim_region: DataFrame | None,
     *,
     numbered: DataFrame | None = None,
-    **skew: int,
 ) -> DataFrame:
     """`fact_returns` without its own surrogate key.
 
@@ -244,16 +242,16 @@ def return_lines(
     """
     rows = returns if numbered is None else numbered
     invoices, invoice_keys = _invoice_attributes(
-        header, None, dim_salesperson, dim_payment_method, dim_region, **skew
+        header, None, dim_salesperson, dim_payment_method, dim_region
     )
     if invoice_keys:
         invoices = invoices.select("invoice_id", *invoice_keys)
-        rows = lookup_join(rows, invoices, "invoice_id", keys_from=returns, **skew)
+        rows = lookup_join(rows, invoices, "invoice_id")
     own_keys = []
     for dimension, entity in ((dim_customer, "customer"), (dim_product, "product")):
         if dimension is not None:
             keyed = dimension.select(f"{entity}_id", f"{entity}_key")
-            rows = lookup_join(rows, keyed, f"{entity}_id", keys_from=returns, **skew)
+            rows = lookup_join(rows, keyed, f"{entity}_id")
             own_keys.append(f"{entity}_key")
     return rows.select(
         *([] if numbered is None else ["return_key"]),
@@ -271,20 +269,20 @@ def return_lines(
     )
 
 
-def fact_returns(returns: DataFrame, header: DataFrame, *dims: DataFrame, **skew: int) -> DataFrame:
+def fact_returns(returns: DataFrame, header: DataFrame, *dims: DataFrame) -> DataFrame:
     """One row per return; arguments as for `return_lines`."""
     numbered = surrogate_key(returns, "return_key", "return_id")
-    return return_lines(returns, header, *dims, numbered=numbered, **skew)
+    return return_lines(returns, header, *dims, numbered=numbered)
 
 
 def fact_sales_targets(
-    targets: DataFrame, dim_salesperson: DataFrame, dim_region: DataFrame, **skew: int
+    targets: DataFrame, dim_salesperson: DataFrame, dim_region: DataFrame
 ) -> DataFrame:
     """One row per target, dated on the first day of its month."""
     keyed = surrogate_key(targets, "target_key", "target_id")
     people = dim_salesperson.select("salesperson_id", "salesperson_key")
-    rows = lookup_join(keyed, people, "salesperson_id", keys_from=targets, **skew)
-    rows = lookup_join(rows, dim_region.select("region_id", "region_key"), "region_id", keys_from=targets, **skew)
+    rows = lookup_join(keyed, people, "salesperson_id")
+    rows = lookup_join(rows, dim_region.select("region_id", "region_key"), "region_id")
     return rows.select(
         "target_key",
         "target_id",
@@ -301,8 +299,8 @@ def _region_names(regions: DataFrame) -> DataFrame:
     return regions.select("region_id", "region_name")
 
 
-def _with_allocation(items: DataFrame, invoices: DataFrame, **options: object) -> DataFrame:
-    lines = lookup_join(items, invoices, "invoice_id", **options)
+def _with_allocation(items: DataFrame, invoices: DataFrame) -> DataFrame:
+    lines = lookup_join(items, invoices, "invoice_id")
     share = allocate("header_discount", line_amount("quantity", "unit_price"), "invoice_gross")
     return lines.withColumn("header_discount_allocated", share)
 
@@ -313,13 +311,12 @@ def _invoice_attributes(
     dim_salesperson: DataFrame | None,
     dim_payment_method: DataFrame | None,
     dim_region: DataFrame | None,
-    **skew: int,
 ) -> tuple[DataFrame, list[str]]:
     """The header with the keys of the dimensions given; the region is where the salesperson works."""
     rows, keys = header, []
     if dim_customer is not None:
         customers = dim_customer.select("customer_id", "customer_key")
-        rows = lookup_join(rows, customers, "customer_id", keys_from=header, **skew)
+        rows = lookup_join(rows, customers, "customer_id")
         keys.append("customer_key")
     territory = []
     if dim_salesperson is not None:
@@ -329,11 +326,11 @@ def _invoice_attributes(
             regions = dim_region.select("region_id", "region_key")
             people = lookup_join(people, regions, "region_id")
             territory.append("region_key")
-        rows = lookup_join(rows, people.drop("region_id"), "salesperson_id", keys_from=header, **skew)
+        rows = lookup_join(rows, people.drop("region_id"), "salesperson_id")
     keys += territory[:1]
     if dim_payment_method is not None:
         payments = dim_payment_method.select("payment_method_id", "payment_method_key")
-        rows = lookup_join(rows, payments, "payment_method_id", keys_from=header, **skew)
+        rows = lookup_join(rows, payments, "payment_method_id")
         keys.append("payment_method_key")
     return rows, keys + territory[1:]
 

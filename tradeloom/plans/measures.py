@@ -95,11 +95,14 @@ def rank_selected(
     selected = df
     for column, wanted in filters.items():
         selected = selected.filter(F.col(column).isin(list(wanted)))
-    return dense_ranks(selected, {rank: metric}, bound=df)
+    return dense_ranks(selected, {rank: metric})
 
 
 def top(df: DataFrame, metric: str, key: str, n: int = 10) -> DataFrame:
-    """The n rows with the highest value; equal values in key order."""
+    """The n rows with the highest value; equal values in key order.
+
+    Give it the totals alone and look the names of what is left up afterwards.
+    """
     return df.orderBy(F.col(metric).desc_nulls_last(), F.col(key).asc()).limit(n)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from tradeloom.plans import diamond, gold
 from tradeloom.plans.bronze import SOURCE_TABLES
 from tradeloom.plans.silver import RULES, write_silver_table
+from tradeloom.session import clear_staged
 from tradeloom.sources.jdbc import Database, publish_table
 from tradeloom.sources.layers import (
     export_snapshot,
     read_layer,
     register_tables,
+    replace_folder,
     require_ok,
     table_path,
     write_table,
@@ -40,6 +42,8 @@ DIAMOND_TABLES = [
     "target_vs_actual",
     "commercial_kpis",
 ]
+# The folder within a layer where a refresh writes.
+NEXT = "_next"
 LAYER_TABLES = {
     "bronze": [t.bronze for t in SOURCE_TABLES],
     "silver": list(RULES),
@@ -55,11 +59,16 @@ class CheckFailed(RuntimeError):
 def refresh_silver(spark: SparkSession, root: str, as_of: datetime | None = None) -> dict[str, dict[str, int]]:
     """Check and write all nine tables; returns valid and rejected rows per table."""
     bronze = {t.bronze: read_layer(spark, root, "bronze", t.bronze) for t in SOURCE_TABLES}
-    return {table: write_silver_table(rules, bronze, root, as_of) for table, rules in RULES.items()}
+    rows = {table: write_silver_table(rules, bronze, root, as_of) for table, rules in RULES.items()}
+    clear_staged(spark)
+    return rows
 
 
 def refresh_gold(spark: SparkSession, root: str, check: bool = True) -> dict[str, int]:
-    """Write dimensions, then facts that read them back; returns rows per table."""
+    """Write dimensions, then facts that read them back; returns rows per table.
+
+    Nothing stored is replaced before all checks have passed.
+    """
     silver = {table: read_layer(spark, root, "silver", table) for table in RULES}
     rows: dict[str, int] = {}
 
@@ -95,6 +104,7 @@ def refresh_gold(spark: SparkSession, root: str, check: bool = True) -> dict[str
         _require("row counts", counts.filter(~F.col("ok")))
         facts = {"fact_sales": sales, "fact_returns": returned, "fact_sales_targets": aims}
         _require("calendar", gold.missing_dates(facts, calendar).filter("missing_dates > 0"))
+    _switch(spark, root, "gold", rows)
     return rows
 
 
@@ -110,7 +120,10 @@ def orphan_report(spark: SparkSession, root: str) -> DataFrame:
 
 
 def refresh_diamond(spark: SparkSession, root: str, check: bool = True) -> dict[str, int]:
-    """Write the six executive tables from the stored star schema; returns rows per table."""
+    """Write the six executive tables from the stored star schema; returns rows per table.
+
+    Nothing stored is replaced before all checks have passed.
+    """
     stars = {name: read_layer(spark, root, "gold", name) for name in GOLD_TABLES}
     rows: dict[str, int] = {}
 
@@ -118,19 +131,18 @@ def refresh_diamond(spark: SparkSession, root: str, check: bool = True) -> dict[
         return _store(spark, root, "diamond", name, build(base, *[stars[i] for i in inputs]), rows)
 
     base = diamond.sales_base(stars["fact_sales"])
-    monthly = store("monthly_sales", diamond.monthly_sales, "dim_date", "dim_region")
+    monthly = store("monthly_sales", diamond.monthly_sales, "dim_region")
     product = store("product_ranking", diamond.product_ranking, "fact_returns", "dim_product")
     customer = store("customer_ranking", diamond.customer_ranking, "fact_returns", "dim_customer")
     person = store("salesperson_performance", diamond.salesperson_performance, "fact_returns", "dim_salesperson")
     targets = store(
         "target_vs_actual",
         diamond.target_vs_actual,
-        "dim_date",
         "fact_sales_targets",
         "dim_salesperson",
         "dim_region",
     )
-    kpis = store("commercial_kpis", diamond.commercial_kpis, "dim_date", "fact_returns", "fact_sales_targets")
+    kpis = store("commercial_kpis", diamond.commercial_kpis, "fact_returns", "fact_sales_targets")
 
     if check:
         tables = {
@@ -143,12 +155,22 @@ def refresh_diamond(spark: SparkSession, root: str, check: bool = True) -> dict[
         _require("invoice counts", diamond.invoice_count_check(base, monthly).filter(~F.col("ok")))
         _require("monthly totals", diamond.kpi_check(kpis, monthly).filter("mismatched_months > 0"))
         _require("attainment", diamond.attainment_check(targets).filter("without_attainment > 0"))
+    _switch(spark, root, "diamond", rows)
     return rows
 
 
 def _store(spark: SparkSession, root: str, layer: str, name: str, df: DataFrame, rows: dict[str, int]) -> DataFrame:
-    rows[name] = write_table(df, table_path(root, layer, name))
-    return read_layer(spark, root, layer, name)
+    """Write a table beside the layer; it takes the old one's place when the checks are through."""
+    path = f"{table_path(root, layer, NEXT)}/{name}"
+    rows[name] = write_table(df, path)
+    return spark.read.parquet(path)
+
+
+def _switch(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> None:
+    """Put the checked tables in place of the old ones, and drop the intermediate copies."""
+    for name in tables:
+        replace_folder(spark, f"{table_path(root, layer, NEXT)}/{name}", table_path(root, layer, name))
+    clear_staged(spark)
 
 
 def _require(what: str, failures: DataFrame) -> None:
@@ -160,6 +182,11 @@ def _require(what: str, failures: DataFrame) -> None:
 # --- handing the executive tables on ---
 
 
+def read_executive(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """A stored executive table in the order in which it is presented."""
+    return diamond.in_read_order(read_layer(spark, root, "diamond", table), table)
+
+
 def export_diamond(spark: SparkSession, root: str, target: str) -> list[dict]:
     """A snapshot of every executive table for other tools; fails if one differs from its source."""
     results = [

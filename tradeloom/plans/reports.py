@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.amounts import line_amount
 from tradeloom.functions.dates import moment
-from tradeloom.operators.joins import existence_flag
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -32,8 +31,7 @@ def invoices_per_month(header: DataFrame) -> DataFrame:
 
 
 def invoices_without_items(header: DataFrame, items: DataFrame) -> DataFrame:
-    flagged = existence_flag(header.select("invoice_id", "invoice_number"), "invoice_id", items, "invoice_id", "_has")
-    return flagged.filter(~F.col("_has")).drop("_has")
+    return header.select("invoice_id", "invoice_number").join(items.select("invoice_id"), "invoice_id", "left_anti")
 
 
 def dirty_items(items: DataFrame) -> DataFrame:

@@ -134,7 +134,7 @@ RULES = {
 
 
 def check_table(
-    rules: TableRules, bronze: Mapping[str, DataFrame], as_of: datetime | Column | None = None, **skew: int
+    rules: TableRules, bronze: Mapping[str, DataFrame], as_of: datetime | Column | None = None
 ) -> DataFrame:
     """All checks of a table: one join per reference and one projection for the reasons."""
     rows = bronze[rules.bronze]
@@ -147,7 +147,7 @@ def check_table(
     lookups += [(*rel, f"no_related_records_via_{rel[2]}") for rel in rules.related]
     for number, (column, reference, reference_column, reason) in enumerate(lookups):
         flag = f"_found_{number}"
-        df = existence_flag(df, column, bronze[reference], reference_column, flag, keys_from=rows, **skew)
+        df = existence_flag(df, column, bronze[reference], reference_column, flag)
         reasons.append(F.when(~F.col(flag), F.lit(reason)))
     return add_reasons(df, reasons).select(*rows.columns, REASONS)
 
@@ -164,10 +164,10 @@ def finish(rules: TableRules, valid: DataFrame, rejected: DataFrame) -> tuple[Da
 
 
 def silver_table(
-    rules: TableRules, bronze: Mapping[str, DataFrame], as_of: datetime | Column | None = None, **skew: int
+    rules: TableRules, bronze: Mapping[str, DataFrame], as_of: datetime | Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The valid rows and the quarantine of one table."""
-    return finish(rules, *split_valid_rejected(check_table(rules, bronze, as_of, **skew)))
+    return finish(rules, *split_valid_rejected(check_table(rules, bronze, as_of)))
 
 
 def write_silver_table(

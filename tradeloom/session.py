@@ -7,9 +7,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A frame made from tables smaller than this may be sorted by one task.
-ONE_TASK_BYTES = 4 * 1024 * 1024
-
 
 def get_spark(app_name: str = "tradeloom", master: str | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution. `conf` uses `__` for dots."""
@@ -53,16 +50,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def source_bytes(df: DataFrame) -> int:
-    """Size of all tables that a plan reads.
-
-    The operators here filter, aggregate, number and look up; none multiplies rows, so
-    the result is no larger than what it is made from. An unknown size counts as huge.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """`spark.sql.autoBroadcastJoinThreshold` in bytes."""
-    return int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+def clear_staged(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once nothing reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/staged/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -11,10 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.operators.merge import rows_after
 from tradeloom.sources.layers import count_while
 
-# Fixed value: the day that whole seconds are counted from in a pushed predicate; early
-# enough for the data and late enough for a 32-bit count of seconds.
-SECOND_ANCHOR = "2020-01-01"
-
 
 @dataclass(frozen=True)
 class Database:
@@ -72,20 +68,6 @@ def read_incremental(
     return rows_after(read_table(spark, database, table, split), column, mark, overlap_seconds)
 
 
-def second_predicate(column: str, mark: datetime | None) -> str:
-    """The same test as T-SQL text, comparing whole seconds as integers on both sides."""
-    if mark is None:
-        return "1=1"
-    text = mark.strftime("%Y-%m-%d %H:%M:%S")
-    seconds = f"DATEDIFF(SECOND, '{SECOND_ANCHOR}', {{}})"
-    return f"{seconds.format(column)} > {seconds.format(f"CAST('{text}' AS DATETIME2)")}"
-
-
-def incremental_subquery(table: str, column: str, mark: datetime | None) -> str:
-    """A `dbtable` value for databases whose timestamps are finer than Spark's."""
-    return f"(SELECT * FROM {table} WHERE {second_predicate(column, mark)}) AS incremental_extract"
-
-
 def publish_table(df: DataFrame, database: Database, table: str, batch_size: int = 10_000, parts: int = 8) -> dict:
     """Replace a database table, count it there and compare with the rows written."""
     options = {**database.reader_options(), "dbtable": table}

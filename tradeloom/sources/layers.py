@@ -16,7 +16,6 @@ LAYERS = ("bronze", "silver", "gold", "diamond")
 # Column that splits an upserted table by key; every split is rewritten as a whole.
 KEY_RANGE = "key_range"
 KEYS_PER_RANGE = 10_000_000
-MAX_LISTED_RANGES = 1_000
 
 
 def table_path(root: str, layer: str, table: str) -> str:
@@ -62,6 +61,20 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
     return count_while(out, lambda o: o.write.mode("overwrite").partitionBy(*columns).parquet(path))
 
 
+def replace_folder(spark: SparkSession, new: str, old: str) -> None:
+    """Move a finished table to its place; the one there before is gone afterwards."""
+    jvm = spark._jvm.org.apache.hadoop.fs.Path
+    source, place, aside = jvm(new), jvm(old), jvm(f"{old}_previous")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(aside, True)
+    if files.exists(place) and not files.rename(place, aside):
+        raise OSError(f"cannot move {old} aside")
+    if not files.rename(source, place):
+        raise OSError(f"cannot move {new} to {old}")
+    files.delete(aside, True)
+    spark.catalog.refreshByPath(old)
+
+
 def stored_watermark(spark: SparkSession, path: str, column: str) -> datetime | None:
     """Where the next incremental load continues; None for a table that is absent or empty.
 
@@ -81,7 +94,8 @@ def write_upsert(
 
     The table is partitioned by range of key. Spark writes the new partitions beside the
     old ones and swaps them when the job has succeeded. Two source rows with one key are
-    an error. The source is read several times: pass a stored frame.
+    an error, NULL keys apart: they match nothing, are all kept, and have a range of their own.
+    The source has the columns of the table. It is read several times: pass a stored frame.
     """
     if not duplicate_keys(source, [key]).isEmpty():
         raise ValueError(f"several source rows share one {key}")
@@ -89,12 +103,13 @@ def write_upsert(
     target = table_or_none(spark, path)
     merged = keyed
     if target is not None:
-        ranges = keyed.select(KEY_RANGE).distinct()
-        listed = [row[0] for row in ranges.limit(MAX_LISTED_RANGES + 1).collect()]
-        if len(listed) <= MAX_LISTED_RANGES:  # as literals they prune the partitions read
-            touched = target.filter(F.col(KEY_RANGE).isin(listed))
-        else:
-            touched = target.join(ranges, KEY_RANGE, "left_semi")
+        if set(target.columns) != set(keyed.columns):
+            raise ValueError(f"columns differ from the stored table: {sorted(set(target.columns) ^ set(keyed.columns))}")
+        # as literals they prune the partitions read; the driver lists a table's partitions in any case
+        listed = [row[0] for row in keyed.select(KEY_RANGE).distinct().collect()]
+        touched = target.filter(F.col(KEY_RANGE).isin([r for r in listed if r is not None]))
+        if None in listed:
+            touched = touched.unionByName(target.filter(F.col(KEY_RANGE).isNull()))
         merged = upsert(touched, keyed, [key])
     # gathers each range in few files, and splits a range that is too large for one task
     gathered = merged.hint("rebalance", KEY_RANGE)
@@ -103,7 +118,7 @@ def write_upsert(
     return source.count()
 
 
-def export_snapshot(df: DataFrame, path: str, files: int = 1) -> dict:
+def export_snapshot(df: DataFrame, path: str, files: int | None = None) -> dict:
     """Write a table for other tools, read it back and compare rows and ordered columns."""
     rows = write_table(df, path, files)
     copy = df.sparkSession.read.parquet(path)
@@ -127,11 +142,17 @@ def require_ok(results: Iterable[dict]) -> None:
 
 
 def register_tables(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> list[str]:
-    """Enter a layer's tables in the session catalog as <layer>_<table>, for ad-hoc SQL."""
+    """Enter a layer's tables in the session catalog as <layer>_<table>, for ad-hoc SQL.
+
+    The entries are views of the stored files, so that they show what `read_layer` does:
+    every partition of an upserted table, without the column that splits it.
+    """
     names = []
     for table in tables:
         name = f"{layer}_{table}"
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=table_path(root, layer, table), source="parquet")
+        if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+            spark.sql(f"DROP TABLE {name}")
+        columns = ", ".join(f"`{c}`" for c in read_layer(spark, root, layer, table).columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{table_path(root, layer, table)}`")
         names.append(name)
     return names

@@ -99,6 +99,7 @@ SUBQUERIES = {
     "sellers": "SELECT l_orderkey, min(l_suppkey) AS salesperson_id FROM lineitem GROUP BY l_orderkey",
     "header": f"""SELECT {HEADER_COLUMNS} FROM orders JOIN sellers s ON s.l_orderkey = o_orderkey
         WHERE o_orderdate <= {AS_OF}""",
+    "invoices": f"SELECT {HEADER_COLUMNS} FROM orders LEFT JOIN sellers s ON s.l_orderkey = o_orderkey",
     "items": f"""SELECT {ITEM_COLUMNS} FROM (
         SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
             ORDER BY l_shipdate DESC, l_partkey, l_suppkey, l_extendedprice) AS nth FROM lineitem) WHERE nth = 1""",
@@ -131,7 +132,7 @@ SUBQUERIES = {
         CASE WHEN customer_id % 31 = 0 THEN 99 WHEN customer_id % 29 <> 0 THEN region_id END AS RegionID,
         is_active AS IsActive, {EPOCH} AS CreatedAt, {EPOCH} + to_days(version) AS UpdatedAt
         FROM (SELECT *, unnest(CASE WHEN customer_id % 7 = 0 THEN [0, 1] ELSE [0] END) AS version
-              FROM customers WHERE is_active)""",
+              FROM customers)""",
     "b_products": f"""SELECT product_id AS ProductID, CASE WHEN product_id % 41 <> 0 THEN product_code END AS ProductCode,
         concat(product_name, CASE WHEN version = 1 THEN ' v1' ELSE '' END) AS ProductName,
         category_name AS CategoryName, unit_of_measure AS UnitOfMeasure,
@@ -139,7 +140,7 @@ SUBQUERIES = {
         CAST(CASE WHEN product_id % 43 = 0 THEN 0 ELSE unit_price END AS DECIMAL(12,2)) AS UnitPrice,
         is_active AS IsActive, {EPOCH} AS CreatedAt, {EPOCH} + to_days(version) AS UpdatedAt
         FROM (SELECT *, unnest(CASE WHEN product_id % 11 = 0 THEN [0, 1] ELSE [0] END) AS version
-              FROM products WHERE is_active)""",
+              FROM products)""",
     "b_salespersons": f"""SELECT salesperson_id AS SalespersonID, salesperson_code AS SalespersonCode,
         CASE WHEN salesperson_id % 19 <> 3
             THEN concat(salesperson_name, CASE WHEN version = 1 THEN ' v1' ELSE '' END) END AS SalespersonName,
@@ -148,7 +149,8 @@ SUBQUERIES = {
         FROM (SELECT *, unnest(CASE WHEN salesperson_id % 5 = 0 THEN [0, 1] ELSE [0] END) AS version
               FROM salespersons)""",
     "b_header": f"""SELECT invoice_id AS InvoiceID, CASE WHEN invoice_id % 113 <> 0 THEN invoice_number END AS InvoiceNumber,
-        invoice_series AS InvoiceSeries, CASE WHEN invoice_id % 127 <> 0 THEN customer_id END AS CustomerID,
+        invoice_series AS InvoiceSeries, CASE WHEN invoice_id % 109 = 0 THEN -customer_id - 1
+            WHEN invoice_id % 127 <> 0 THEN customer_id END AS CustomerID,
         salesperson_id AS SalespersonID, payment_method_id AS PaymentMethodID,
         CASE WHEN invoice_id % 131 <> 0 THEN issue_date END AS IssueDate,
         CASE WHEN version = 1 THEN 'cancelled' ELSE invoice_status END AS InvoiceStatus,
@@ -157,7 +159,8 @@ SUBQUERIES = {
               FROM (SELECT {HEADER_COLUMNS} FROM orders LEFT JOIN sellers s ON s.l_orderkey = o_orderkey))""",
     "b_items": f"""SELECT invoice_item_id AS InvoiceItemID,
         CASE WHEN invoice_id % 101 = 0 THEN -invoice_id - 1 ELSE invoice_id END AS InvoiceID,
-        item_sequence AS ItemSequence, CASE WHEN invoice_id % 83 <> 0 THEN product_id END AS ProductID,
+        item_sequence AS ItemSequence, CASE WHEN invoice_id % 79 = 0 THEN -product_id - 1
+            WHEN invoice_id % 83 <> 0 THEN product_id END AS ProductID,
         CAST(CASE WHEN invoice_id % 97 = 0 THEN -quantity WHEN invoice_id % 103 = 0 THEN 0 ELSE quantity END
             AS DECIMAL(12,2)) AS Quantity,
         CAST(CASE WHEN invoice_id % 89 = 0 THEN -unit_price ELSE unit_price END AS DECIMAL(12,2)) AS UnitPrice,
@@ -166,7 +169,9 @@ SUBQUERIES = {
     "b_returns": f"""SELECT invoice_item_id * 10 + 1 AS ReturnID, concat('D', invoice_item_id * 10 + 1) AS ReturnNumber,
         invoice_id AS InvoiceID, CASE WHEN invoice_id % 61 = 0 THEN -invoice_item_id - 1 ELSE invoice_item_id END
             AS InvoiceItemID,
-        product_id AS ProductID, o_custkey AS CustomerID, o_orderdate + to_days(item_sequence) AS ReturnDate,
+        CASE WHEN invoice_id % 67 = 0 THEN -product_id - 1 ELSE product_id END AS ProductID,
+        CASE WHEN invoice_id % 71 = 0 THEN -o_custkey - 1 ELSE o_custkey END AS CustomerID,
+        o_orderdate + to_days(item_sequence) AS ReturnDate,
         CAST(CASE WHEN invoice_id % 59 = 0 THEN 0 ELSE quantity END AS DECIMAL(12,2)) AS Quantity,
         unit_price AS UnitValue, CASE WHEN line_status = 'F' THEN 'defect' ELSE 'regret' END AS ReturnReason,
         updated_at AS CreatedAt, updated_at AS UpdatedAt
@@ -531,9 +536,17 @@ FUTURE_ORDERS = f"invoice_id IN (SELECT o_orderkey FROM orders WHERE o_orderdate
 SELECTS = {
     "incremental_extract": """SELECT event_id, ts, user_id, event_type FROM events
         WHERE date_trunc('second', ts) > TIMESTAMP '2024-01-03 00:00:00'""",
+    "incremental_extract_date": """SELECT event_id, CAST(ts AS DATE) AS day FROM events
+        WHERE CAST(ts AS DATE) > DATE '2024-01-03'""",
     "last_watermark": """SELECT 'events' AS table_name, date_trunc('second', max(ts)) AS last_watermark FROM events
         UNION ALL SELECT 'lineitem', date_trunc('second', max(l_shipdate)) FROM lineitem
         UNION ALL SELECT 'orders', date_trunc('second', max(o_orderdate)) FROM orders""",
+    "upsert_null_keys": """WITH keyed AS (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS o_orderkey,
+            o_orderstatus, o_orderdate FROM orders)
+        SELECT o_orderkey, CASE WHEN o_orderdate > TIMESTAMP '2000-01-01 00:00:00' AND o_orderkey IS NOT NULL
+            THEN 'amended' ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM keyed
+        UNION ALL SELECT o_orderkey, 'amended', o_orderdate FROM keyed
+            WHERE o_orderdate > TIMESTAMP '2000-01-01 00:00:00' AND o_orderkey IS NULL""",
     "upsert_merge": """SELECT o_orderkey, CASE WHEN o_orderdate > TIMESTAMP '2000-01-01 00:00:00' THEN 'amended'
             ELSE o_orderstatus END AS o_orderstatus, o_orderdate FROM orders
         UNION ALL SELECT -o_orderkey - 1, 'amended', o_orderdate FROM orders
@@ -612,8 +625,8 @@ SELECTS = {
         FROM items GROUP BY product_id""",
     "distinct_activity": """SELECT strftime(issue_date, '%Y-%m') AS year_month, count(DISTINCT invoice_id) AS invoices,
         count(DISTINCT customer_id) AS customers, count(DISTINCT salesperson_id) AS salespersons
-        FROM header GROUP BY 1""",
-    "distinct_keys": "SELECT DISTINCT customer_id, salesperson_id FROM header",
+        FROM invoices GROUP BY 1""",
+    "distinct_keys": "SELECT DISTINCT customer_id, salesperson_id FROM invoices",
     "calendar_bounds": "SELECT * FROM bounds",
     "targets_by_month": f"""SELECT printf('%04d-%02d', target_year, target_month) AS year_month,
         {total("target_value", 24, 2)} AS target_total FROM targets GROUP BY 1""",
@@ -624,8 +637,10 @@ SELECTS = {
         CAST(year(issue_date) * 12 + month(issue_date) AS INTEGER) AS month_index,
         strftime(issue_date, '%Y-%m') AS month_text, CAST(date_trunc('month', issue_date) AS DATE) AS month_start,
         date_diff('second', TIMESTAMP '2020-01-01 00:00:00', date_trunc('day', issue_date)) AS seconds_since_2020
-        FROM header""",
-    "surrogate_key": "SELECT row_number() OVER (ORDER BY invoice_id) AS invoice_key, invoice_id FROM header",
+        FROM invoices""",
+    "surrogate_key": "SELECT row_number() OVER (ORDER BY invoice_id) AS invoice_key, invoice_id FROM invoices",
+    "surrogate_key_text": """SELECT row_number() OVER (ORDER BY invoice_number) AS invoice_key, invoice_number
+        FROM invoices""",
     "global_dense_rank": f"""SELECT *, {dense("units_sold")} AS rank_units_sold, {dense("top_price")} AS rank_top_price
         FROM (SELECT product_id, {total("quantity", 22, 2)} AS units_sold, max(unit_price) AS top_price
               FROM items GROUP BY product_id)""",

@@ -151,6 +151,11 @@ class Tables:
         """Invoices with items that are not dated in the future; the seller is the smallest supplier."""
         return self._orders_with_seller("inner").filter(F.col("issue_date") <= as_of())
 
+    @cached_property
+    def invoices(self) -> DataFrame:
+        """All orders as invoices; one without items has no seller."""
+        return self._orders_with_seller("left")
+
     @cached_property
     def items(self) -> DataFrame:
         """The latest line per order and line number."""
@@ -169,7 +174,7 @@ class Tables:
             "invoice_id", "customer_id", "issue_date"
         )
         lines = self.items.filter(F.col("return_flag") == "R")
-        sold = lookup_join(lines, invoices, "invoice_id", keys_from=self.items).filter(F.col("issue_date").isNotNull())
+        sold = lookup_join(lines, invoices, "invoice_id").filter(F.col("issue_date").isNotNull())
         return (
             sold.withColumn("part", F.explode(F.sequence(F.lit(1), 1 + F.col("item_sequence") % 2)))
             .withColumn("return_id", F.col("invoice_item_id") * 10 + F.col("part"))
@@ -302,8 +307,7 @@ class Tables:
         )
 
     def _bronze_customers(self) -> DataFrame:
-        """Only active customers; invoices of the others point nowhere."""
-        return _versions(self.customers.filter("is_active"), "customer_id", 7).selectExpr(
+        return _versions(self.customers, "customer_id", 7).selectExpr(
             "customer_id AS CustomerID",
             "customer_code AS CustomerCode",
             "CASE WHEN customer_id % 37 <> 0 THEN concat(customer_name, version_suffix) END AS CustomerName",
@@ -317,8 +321,7 @@ class Tables:
         )
 
     def _bronze_products(self) -> DataFrame:
-        """Only active products; items of the others point nowhere."""
-        return _versions(self.products.filter("is_active"), "product_id", 11).selectExpr(
+        return _versions(self.products, "product_id", 11).selectExpr(
             "product_id AS ProductID",
             "CASE WHEN product_id % 41 <> 0 THEN product_code END AS ProductCode",
             "concat(product_name, version_suffix) AS ProductName",
@@ -346,7 +349,7 @@ class Tables:
             "invoice_id AS InvoiceID",
             "CASE WHEN invoice_id % 113 <> 0 THEN invoice_number END AS InvoiceNumber",
             "invoice_series AS InvoiceSeries",
-            "CASE WHEN invoice_id % 127 <> 0 THEN customer_id END AS CustomerID",
+            "CASE WHEN invoice_id % 109 = 0 THEN -customer_id - 1 WHEN invoice_id % 127 <> 0 THEN customer_id END AS CustomerID",
             "salesperson_id AS SalespersonID",
             "payment_method_id AS PaymentMethodID",
             "CASE WHEN invoice_id % 131 <> 0 THEN issue_date END AS IssueDate",
@@ -360,7 +363,7 @@ class Tables:
             "invoice_item_id AS InvoiceItemID",
             "CASE WHEN invoice_id % 101 = 0 THEN -invoice_id - 1 ELSE invoice_id END AS InvoiceID",
             "item_sequence AS ItemSequence",
-            "CASE WHEN invoice_id % 83 <> 0 THEN product_id END AS ProductID",
+            "CASE WHEN invoice_id % 79 = 0 THEN -product_id - 1 WHEN invoice_id % 83 <> 0 THEN product_id END AS ProductID",
             "cast(CASE WHEN invoice_id % 97 = 0 THEN -quantity WHEN invoice_id % 103 = 0 THEN 0 ELSE quantity END"
             " AS decimal(12,2)) AS Quantity",
             "cast(CASE WHEN invoice_id % 89 = 0 THEN -unit_price ELSE unit_price END AS decimal(12,2)) AS UnitPrice",
@@ -379,8 +382,8 @@ class Tables:
             "concat('D', invoice_item_id * 10 + 1) AS ReturnNumber",
             "invoice_id AS InvoiceID",
             "CASE WHEN invoice_id % 61 = 0 THEN -invoice_item_id - 1 ELSE invoice_item_id END AS InvoiceItemID",
-            "product_id AS ProductID",
-            "customer_id AS CustomerID",
+            "CASE WHEN invoice_id % 67 = 0 THEN -product_id - 1 ELSE product_id END AS ProductID",
+            "CASE WHEN invoice_id % 71 = 0 THEN -customer_id - 1 ELSE customer_id END AS CustomerID",
             "issue_date + make_dt_interval(item_sequence) AS ReturnDate",
             "cast(CASE WHEN invoice_id % 59 = 0 THEN 0 ELSE quantity END AS decimal(12,2)) AS Quantity",
             "unit_price AS UnitValue",
