@@ -27,8 +27,6 @@ EXACT_DIMENSIONS = 1024
 # Surviving pairs whose vectors are gathered at a time.
 PAIRS_AT_ONCE = 1 << 14
 
-FOUND = "query_id bigint, vec_id bigint, score double"
-
 
 def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """int8 codes, their scales, the norm of what the codes miss, and the norm of the vectors."""
@@ -67,8 +65,11 @@ def inner_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 def nearest_in_tile(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, k: int
-) -> Iterator[tuple[int, int, float]]:
-    """Every query's `k` nearest candidates of the tile, itself left out."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and scores of every query's `k` nearest candidates of the tile, itself left out.
+
+    Both are (queries, k), nearest first; where there are fewer candidates the score is -inf.
+    """
     products, error = tile_bounds(queries, candidates)
     own = query_ids[:, None] == ids[None, :]
     lower = np.where(own, -np.inf, products - error)
@@ -85,10 +86,39 @@ def nearest_in_tile(
         scores[part] = inner_products(queries[at[part]], candidates[other[part]])
     order = np.lexsort((ids[other], -scores, at))
     at, other, scores = at[order], other[order], scores[order]
-    first = np.searchsorted(at, np.arange(len(query_ids)))
-    rank = np.arange(len(at)) - first[at]
-    for i in np.flatnonzero(rank < k):
-        yield int(query_ids[at[i]]), int(ids[other[i]]), float(scores[i])
+    rank = np.arange(len(at)) - np.searchsorted(at, np.arange(len(query_ids)))[at]
+    kept = rank < k
+    best_ids = np.zeros((len(query_ids), k), dtype=np.int64)
+    best_scores = np.full((len(query_ids), k), -np.inf)
+    best_ids[at[kept], rank[kept]] = ids[other[kept]]
+    best_scores[at[kept], rank[kept]] = scores[kept]
+    return best_ids, best_scores
+
+
+class Heaps:
+    """The best `k` of every query of a panel, merged from the lists of its tiles."""
+
+    def __init__(self, query_ids: np.ndarray, k: int):
+        self.query_ids, self.k = query_ids, k
+        self.heaps: list[list[tuple[float, int]]] = [[] for _ in query_ids]  # the worst on top
+        self.worst = np.full(len(query_ids), -np.inf)
+
+    def add(self, ids: np.ndarray, scores: np.ndarray) -> None:
+        for q, i in zip(*np.nonzero((scores >= self.worst[:, None]) & (scores > -np.inf))):
+            heap, entry = self.heaps[q], (float(scores[q, i]), -int(ids[q, i]))
+            if len(heap) < self.k:
+                heapq.heappush(heap, entry)
+            else:
+                heapq.heappushpop(heap, entry)
+            if len(heap) == self.k:
+                self.worst[q] = heap[0][0]
+
+    def rows(self) -> list[tuple[int, int, int, float]]:
+        return [
+            (int(query), rank, -negative, score)
+            for query, heap in zip(self.query_ids, self.heaps)
+            for rank, (score, negative) in enumerate(sorted(heap, reverse=True), 1)
+        ]
 
 
 def usable_vectors(df: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -165,43 +195,40 @@ def nearest(
     )
     right = candidates.withColumnRenamed("panel", "column")
     tiles = left.join(right, ["width", "column"])
-    tiles = tiles.select("width", "query_ids", "queries", "ids", "vectors")
+    tiles = tiles.select("row", "width", "query_ids", "queries", "ids", "vectors")
+    names = ["row", "width", "query_ids", "ids", "scores"]
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for width, query_ids, query_values, ids, values in batch.itertuples(index=False, name=None):
-                found = nearest_in_tile(
+            for row, width, query_ids, query_values, ids, values in batch.itertuples(index=False, name=None):
+                best_ids, best_scores = nearest_in_tile(
                     np.frombuffer(query_ids, dtype=np.int64),
                     np.frombuffer(query_values, dtype=np.float64).reshape(-1, width),
                     np.frombuffer(ids, dtype=np.int64),
                     np.frombuffer(values, dtype=np.float64).reshape(-1, width),
                     k,
                 )
-                yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
+                yield pd.DataFrame([(row, width, query_ids, best_ids.tobytes(), best_scores.tobytes())], columns=names)
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query, heap = None, []  # the worst of the best k on top
-
-        def ranked() -> list[tuple]:
-            best = sorted(heap, reverse=True)
-            return [(query, i + 1, -negative, score) for i, (score, negative) in enumerate(best)]
-
+        """The lists of a query panel come one after the other."""
+        heaps, current = None, None
+        columns = ["query_id", "rank", "vec_id", "score"]
         for batch in batches:
-            out = []
-            for query_id, vec_id, score in batch.itertuples(index=False, name=None):
-                if query_id != query:
-                    out += ranked()
-                    query, heap = query_id, []
-                if len(heap) < k:
-                    heapq.heappush(heap, (score, -vec_id))
-                elif (score, -vec_id) > heap[0]:
-                    heapq.heapreplace(heap, (score, -vec_id))
-            yield pd.DataFrame(out, columns=["query_id", "rank", "vec_id", "score"])
-        yield pd.DataFrame(ranked(), columns=["query_id", "rank", "vec_id", "score"])
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")  # rows are whole panels
-    lists = tiles.mapInPandas(solve, FOUND)
-    return lists.repartition("query_id").sortWithinPartitions("query_id").mapInPandas(merge, shape)
+            for row, width, query_ids, ids, scores in batch[names].itertuples(index=False, name=None):
+                if (row, width, query_ids) != current:
+                    if heaps:
+                        yield pd.DataFrame(heaps.rows(), columns=columns)
+                    current, heaps = (row, width, query_ids), Heaps(np.frombuffer(query_ids, dtype=np.int64), k)
+                heaps.add(
+                    np.frombuffer(ids, dtype=np.int64).reshape(-1, k), np.frombuffer(scores, dtype=np.float64).reshape(-1, k)
+                )
+        if heaps:
+            yield pd.DataFrame(heaps.rows(), columns=columns)
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # rows are whole panels
+    lists = tiles.mapInPandas(solve, "row bigint, width int, query_ids binary, ids binary, scores binary")
+    return lists.repartition("row", "width").sortWithinPartitions("row", "width", "query_ids").mapInPandas(merge, shape)
 
 
 def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
