@@ -13,6 +13,7 @@ import re
 import string
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ WORDS = re.compile(WORD)
 # What stands around a value inside its word.
 CORE = re.compile(r"^[\"'`(\[{<]*(?:[A-Za-z_-]{2,20}[\"']?[:=][\"']?)?(.*?)[\"'`)\]}>,;.!?*#%&$|:]*$", re.DOTALL)
 
+PLAIN = [("plain", f"plain{n}") for n in range(6)]
+
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
 FEATURE_SPACE = 1 << 12
 SAMPLE_DOCUMENTS = 400  # of each kind, with and without a pattern match
@@ -46,7 +49,9 @@ SEED = 7
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, end, number of the kind) of all base spans, by start, then kind."""
-    found = [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGNED]
+    found = []
+    if "=" in text or ":" in text:
+        found = [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST_ASSIGNED]
     if "AKIA" in text:
         found += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST_ACCESS]
     found += [(m.start(), m.end(), 2) for m in HEX.finditer(text)]
@@ -60,6 +65,7 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
     return parts + [m.span() for m in HEX.finditer(text)]
 
 
+@lru_cache(maxsize=1 << 16)
 def _number(name: str) -> int:
     return int.from_bytes(hashlib.blake2b(name.encode("utf-8", "replace"), digest_size=4).digest(), "little") % FEATURE_SPACE
 
@@ -70,10 +76,11 @@ def core_of(word: str) -> tuple[int, int]:
     return match.span(1) if match and match[1] else (0, len(word))
 
 
-def shape_features(word: str) -> list[str]:
+def shape_features(word: str) -> tuple[str, ...]:
     """What the word looks like."""
-    if word.isalpha() and word.isascii() and (word.islower() or word.istitle()) and len(word) < 24:
-        return ["plain", f"plain{min(len(word) // 4, 4)}"]
+    letters = word.rstrip(".,;!?")
+    if letters.isalpha() and len(letters) < 24 and (letters.islower() or letters[1:].islower() or len(letters) == 1):
+        return PLAIN[len(letters) // 4]
     start, end = core_of(word)
     core = word[start : min(end, start + 256)]
     n = len(core)
@@ -100,14 +107,18 @@ def shape_features(word: str) -> list[str]:
         out.append("named")
     if word[:1] in "\"'`":
         out.append("quoted")
-    return out
+    return tuple(out)
+
+
+def signature(word: str, names: frozenset[str]) -> tuple[tuple[str, ...], str | None, str]:
+    """All that the field sees of a word: its shape, whether it is a known name, and a last = or :."""
+    name = word.strip("\"'`()[]{}<>,;.!?|*#%&$").rstrip(":=").lower()
+    return shape_features(word), name if name in names else None, word[-1] if word[-1:] in ("=", ":") else ""
 
 
-def word_features(word: str, names: frozenset[str]) -> tuple[list[int], list[int], list[int], list[int]]:
+def word_features(seen: tuple[tuple[str, ...], str | None, str]) -> tuple[list[int], list[int], list[int], list[int]]:
     """Feature numbers of a word for itself, the next, the one after that, and the one before."""
-    plain = word.strip("\"'`()[]{}<>,;.!?|*#%&$").lower()
-    name = plain.rstrip(":=") if plain.rstrip(":=") in names else None
-    shapes = shape_features(word)
+    shapes, name, sign = seen
     own = [_number(f"own {s}") for s in shapes]
     after, second, before = [], [], []
     if name is not None:
@@ -115,8 +126,8 @@ def word_features(word: str, names: frozenset[str]) -> tuple[list[int], list[int
         after.append(_number(f"after {name}"))
         second.append(_number(f"second after {name}"))
         before.append(_number(f"before {name}"))
-    if word[-1:] in "=:":
-        after.append(_number(f"after sign {word[-1]}"))
+    if sign:
+        after.append(_number(f"after sign {sign}"))
     before.append(_number(f"before {shapes[0]}"))
     after.append(_number(f"after {shapes[0]}"))
     return own, after, second, before
@@ -322,9 +333,9 @@ def _planted(words: list[str], rng: random.Random) -> tuple[list[str], list[int]
 
 
 def _features(words: list[str], names: frozenset[str]) -> list[list[int]]:
-    parts = [word_features(w, names) for w in words]
+    parts = [word_features(signature(w, names)) for w in words]
     odd = sum(not w.isalpha() for w in words)
-    whole = file_features(len(words), odd, sum(w[-1:] in "=:" for w in words))
+    whole = file_features(len(words), odd, sum(w[-1] in "=:" for w in words))
     out = []
     for t, (own, *_) in enumerate(parts):
         here = own + whole
@@ -368,36 +379,39 @@ class Scanner:
         self.clear()
 
     def clear(self) -> None:
+        """Forget all words; of each, the rows hold what the field sees, and there are few kinds of that."""
         self.known: dict[str, int] = {}
-        self.rows = np.zeros((1024, 4, 3))
-        self.odd = np.zeros((1024, 2), dtype=np.int64)
+        self.kinds: dict[tuple, int] = {}
+        self.rows = np.zeros((4, 256, 3))
+        self.odd = np.zeros((256, 2), dtype=np.int64)
 
     def _learn(self, word: str) -> int:
-        at = len(self.known)
-        if at == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-            self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
-        for k, numbers in enumerate(word_features(word, self.field.names)):
-            self.rows[at, k] = self.field.weights[numbers].sum(axis=0) if numbers else 0.0
-        self.odd[at] = (not word.isalpha(), word[-1:] in "=:")
+        seen = (signature(word, self.field.names), not word.isalpha())
+        at = self.kinds.get(seen, -1)
+        if at < 0:
+            at = self.kinds[seen] = len(self.kinds)
+            if at == len(self.odd):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)], axis=1)
+                self.odd = np.concatenate([self.odd, np.zeros_like(self.odd)])
+            for k, numbers in enumerate(word_features(seen[0])):
+                self.rows[k, at] = self.field.weights[numbers].sum(axis=0) if numbers else 0.0
+            self.odd[at] = (seen[1], bool(seen[0][2]))
         self.known[word] = at
         return at
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Tag scores of every word, without transitions."""
-        if len(self.known) + len(words) > self.MOST_WORDS:
+        if len(self.known) > self.MOST_WORDS:
             self.clear()
         known = self.known
-        ids = [known.get(w, -1) for w in words]
-        if -1 in ids:
-            ids = [known[w] if w in known else self._learn(w) for w in words]
-        at = np.array(ids, dtype=np.int64)
-        rows = self.rows[at]
-        odd, signs = self.odd[at].sum(axis=0)
-        total = rows[:, 0] + self.field.weights[file_features(len(words), int(odd), int(signs))].sum(axis=0)
-        total[1:] += rows[:-1, 1]
-        total[2:] += rows[:-2, 2]
-        total[:-1] += rows[1:, 3]
+        ids = np.array([known[w] if w in known else self._learn(w) for w in words], dtype=np.int64)
+        odd, signs = np.bincount(ids, minlength=len(self.odd)) @ self.odd
+        own, after, second, before = self.rows
+        total = own.take(ids, axis=0)
+        total += self.field.weights[file_features(len(words), int(odd), int(signs))].sum(axis=0)
+        total[1:] += after.take(ids[:-1], axis=0)
+        total[2:] += second.take(ids[:-2], axis=0)
+        total[:-1] += before.take(ids[1:], axis=0)
         return total
 
     def tagged(self, text: str) -> list[tuple[int, int]]:
@@ -406,7 +420,8 @@ class Scanner:
         if not words:
             return []
         scores = self.scores(words)
-        open_at = np.flatnonzero(scores[:, OUTSIDE] - scores[:, :OUTSIDE].max(axis=1) <= self.margin)
+        other = np.maximum(scores[:, BEGIN], scores[:, INSIDE])
+        open_at = np.flatnonzero(scores[:, OUTSIDE] - other <= self.margin)
         if not len(open_at):
             return []
         secret = []  # runs of word numbers
