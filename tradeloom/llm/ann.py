@@ -226,7 +226,6 @@ def nearest(
         if heaps:
             yield pd.DataFrame(heaps.rows(), columns=columns)
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")  # rows are whole panels
     lists = tiles.mapInPandas(solve, "row bigint, width int, query_ids binary, ids binary, scores binary")
     return lists.repartition("row", "width").sortWithinPartitions("row", "width", "query_ids").mapInPandas(merge, shape)
 
