@@ -54,6 +54,10 @@ TEXT = [html.unescape(s) for s in STORY]
     # a list, a table and links within the article
     ("<article>{0a}<ul><li>sand <a href='/x'>bags</a></li><li>two<br>pumps</li></ul><table><tr><td>mill</td><td>1.2 m</td></tr></table>{0b}</article>",
      "{a}\nsand bags\ntwo pumps\nmill\n1.2 m\n{b}"),
+    # states of containers, the article's own header, a comment that is an article
+    ("<body class='has-sidebar comments-open'><main class='with-ads'><article class='post no-comments'><div class='post-header'><h1>Flood</h1></div>{0}"
+     "<p class='byline'>By our own reporter</p></article><article class='comment'><p>I was there and I saw all of it happen.</p></article></main>",
+     "Flood\n{0}\nBy our own reporter"),
     # attributes with > and capital tags, unclosed elements
     ("<BODY><DIV CLASS='cookie-notice' data-x='a>b'>We use cookies on this site</DIV><ARTICLE>{0u}", "{0}"),
 ])

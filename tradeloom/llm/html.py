@@ -36,12 +36,15 @@ ARTICLE = frozenset("article main".split())
 BOUNDS = ARTICLE | frozenset("body html".split())
 # Words in class, id and role that name parts of a page other than the article.
 HINTS = frozenset(
-    "ad ads adsense advert advertisement advertising adverts alert author banner bio breadcrumb breadcrumbs byline colophon"
+    "ad ads adsense advert advertisement advertising adverts alert banner breadcrumb breadcrumbs colophon"
     " comment commentlist comments complementary consent contentinfo cookie cookies copyright disclaimer disqus footer footnav gdpr"
-    " header hero login masthead menu menubar meta modal nav navbar navigation newsletter notice pagination pager"
+    " header login masthead menu menubar modal nav navbar navigation newsletter notice pagination pager"
     " paywall popup promo promoted promotion recommended related replies reply responses search share sharing sidebar"
-    " signup skip social sponsor sponsored subscribe subscription tags toc toolbar widget".split()
+    " signup skip social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+# Names that tell what a container has or may have, not what it is.
+STATES = re.compile(r"(?:has|with|no|is|show|hide|supports)[-_]|.*[-_](?:open|closed|enabled|disabled|visible)$")
+WHOLE = frozenset("body html main".split())
 
 TOKEN = re.compile(
     r"""<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^'">])*)>|(?P<text>[^<]+|<)""",
@@ -55,14 +58,20 @@ HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\
 WORD_START, TAG_START = (4.0, 2.0), (2.0, 4.0)
 
 
-def hinted(rest: str) -> bool:
-    """Do the element's class, id or role name a part that is no article?"""
-    if "=" not in rest:
+def hinted(name: str, rest: str, in_article: bool) -> bool:
+    """Do the element's class, id or role name a part that is no article?
+
+    A header within an article is its own, as its title often stands there.
+    """
+    if "=" not in rest or name in WHOLE:
         return False
     for m in NAMED.finditer(rest):
-        value = next(g for g in m.groups() if g is not None)
-        if any(p.lower() in HINTS for p in PARTS.findall(value)):
-            return True
+        for value in next(g for g in m.groups() if g is not None).split():
+            if STATES.match(value):
+                continue
+            named = {p.lower() for p in PARTS.findall(value)} & HINTS
+            if named - {"header"} if in_article else named:
+                return True
     return bool(HIDDEN.search(rest))
 
 
@@ -99,7 +108,7 @@ def pieces(page: str) -> Iterator[tuple[str, str, bool, bool]]:
                     off, links, articles = off - was_off, links - (e == "a"), articles - (e in ARTICLE)
                     if e == name:
                         break
-            is_off = name in NEVER_CONTENT or hinted(m["rest"]) or (name == "header" and not articles)
+            is_off = name in NEVER_CONTENT or hinted(name, m["rest"], articles > 0) or (name == "header" and not articles)
             yield f"tag {name if is_block or name == 'a' else 'inline'}{' off' if is_off else ''}", "", is_block, articles > 0
             if name in VOID or m["rest"].endswith("/"):
                 if name == "br":
