@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from corpus_pipeline import ORACLE_SQL, run
 from tradeloom.llm.ann import OP1_SQL, op1_ann
 from tradeloom.llm.html import op2_html_extraction
-from tradeloom.llm.jaccard import op4_ngram_jaccard
+from tradeloom.llm.jaccard import OP4_SQL, op4_ngram_jaccard
 from tradeloom.llm.lm import op8_lm_scoring
 from tradeloom.llm.mixing import op9_mixing
 from tradeloom.llm.quality import op7_quality_classifier
 from tradeloom.llm.rules import op6_quality_rules
 from tradeloom.llm.secrets import op3_secret_scans
 from tradeloom.llm.segment import op10_sentencepiece
-from tradeloom.llm.sharding import op5_sharding
+from tradeloom.llm.sharding import OP5_SQL, op5_sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
@@ -32,6 +32,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": run,
 }
 
-ORACLE: dict[str, str] = {"op1_ann": OP1_SQL}
+ORACLE: dict[str, str] = {"op1_ann": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_sharding": OP5_SQL}
 if ORACLE_SQL is not None:
     ORACLE["pipeline"] = ORACLE_SQL

@@ -101,3 +101,32 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(sized, "doc_id", SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
     )
+
+
+OP5_SQL = r"""
+WITH RECURSIVE steps AS (
+  SELECT range AS byte, range::BIGINT AS c, 0 AS k FROM range(256)
+  UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8
+), crc AS (
+  SELECT list(c ORDER BY byte) AS entries FROM steps WHERE k = 8
+), data AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS digits FROM documents
+), sized AS (
+  SELECT doc_id, len(digits) // 2 + 16 AS size,
+    xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(digits, '..'), lambda d: ('0x' || d)::BIGINT)),
+      lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)::BIGINT AS text_crc32
+  FROM data, crc
+), walk AS (
+  SELECT DISTINCT doc_id, (CASE WHEN doc_id < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE doc_id::HUGEINT END) AS state,
+    -1::BIGINT AS last, 0::BIGINT AS next FROM documents
+  UNION ALL
+  SELECT doc_id, new_state, next, floor((next + 1) * (2147483648.0::DOUBLE / ((new_state >> 33) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT *, (state * 2862933555777941757 + 1) % 18446744073709551616 AS new_state FROM walk WHERE next < 40)
+), ends AS (
+  SELECT doc_id, last::INTEGER AS shard, CASE WHEN next = 40 THEN 40 ELSE last END::INTEGER AS grown_shard FROM walk WHERE next >= 40
+)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id, size, text_crc32) - 1 AS slot
+FROM sized JOIN ends USING (doc_id)
+"""
