@@ -16,7 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows that Spark hands to Python at once; with long texts the bytes of a batch stay small.
 BATCH_ROWS = 400
 
-__all__ = ["BATCH_ROWS", "WORD", "count_words", "doc_fold", "map_batches", "number_rows", "stage", "table", "words"]
+__all__ = ["BATCH_ROWS", "WORD", "count_words", "doc_fold", "kept_by_worker", "map_batches", "number_rows", "stage", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,20 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+_KEPT: dict[str, object] = {}
+
+
+def kept_by_worker(token: str, make: Callable[[], object]) -> object:
+    """What `make` gave the first task of this Python worker with the token; only the latest is kept.
+
+    For caches that later tasks of a worker can use again; results must not depend on them.
+    """
+    if token not in _KEPT:
+        _KEPT.clear()
+        _KEPT[token] = make()
+    return _KEPT[token]
+
+
 def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Number all rows 0..n-1 in sort order, without one task that holds them.
 
