@@ -124,3 +124,14 @@ def test_log_inclusion():
     for x in (-50.0, -20.0, -1.0, 0.0, 3.0, 4.9, 6.0, np.inf):
         exact = 0.0 if x > 40 else log(-np.expm1(-exp(x)))
         assert log_inclusion(x) == pytest.approx(exact, abs=1e-9)
+
+
+def test_forgotten_words_are_built_again(pieces, monkeypatch):
+    texts = [f"word{i} other{i % 7} thing" for i in range(60)]
+    usual = Sampler(pieces).batch(texts, list(range(60)), 2)
+    monkeypatch.setattr(segment, "KEPT_EDGES", 50)
+    monkeypatch.setattr(segment, "MOST_EDGES", 200)
+    sampler = Sampler(pieces)
+    found = [sampler.batch([t], [i], 2)[0] for i, t in enumerate(texts)]
+    assert [[(r[0].tolist(), r[1:]) for r in rows] for rows in found] == [[(r[0].tolist(), r[1:]) for r in rows] for rows in usual]
+    assert sampler.lattices.n_edges < 1000

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import uuid
 from collections.abc import Iterator
 from pathlib import Path as Path_
 
@@ -22,7 +23,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import map_batches, table
+from tradeloom.llm.common import kept_by_worker, map_batches, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
@@ -31,10 +32,14 @@ SPACE = "▁"  # what stands for a space in pieces; fixed by the model
 # A space sign in the text itself is no space and is spelled in bytes.
 SPACE_SIGN = "\U0010fffe"
 CHUNKS = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
-MOST_EDGES = 6_000_000  # of remembered words
-# No uniform number of 32 bits, as the parts beside a path get, makes a larger Gumbel number.
-MOST_GUMBEL = 23.0
-DEPTH = 30.0  # log probability down to which open parts are looked at first
+# Edges of remembered words, 24 bytes each. Those of the first words met, which have nearly all frequent ones, stay;
+# the others are forgotten when there are too many.
+KEPT_EDGES, MOST_EDGES = 1_500_000, 3_000_000
+# Words whose lattices are built together, and characters that are sampled together; both bound the memory of a task.
+WORDS_AT_ONCE, CHARACTERS_AT_ONCE = 8_000, 300_000
+# No uniform number of 24 bits, as the parts beside a path get, makes a larger Gumbel number.
+MOST_GUMBEL = 17.4
+DEPTH = 20.0  # log probability down to which open parts are looked at first
 
 
 class Pieces:
@@ -116,27 +121,31 @@ class Lattices:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.clear()
-
-    def clear(self) -> None:
         self.root: dict[str, int] = {}
+        self.kept: tuple[dict[str, int], int, int] | None = None
         self.n_nodes = self.n_edges = 0
         self.first = np.zeros(1 << 12, dtype=np.int64)  # of each node's edges, and their end as one more
         self.next = np.empty(1 << 14, dtype=np.int32)  # node after the edge, -1 for the end of the word
+        self.node = np.empty(1 << 14, dtype=np.int32)  # that the edge leaves
         self.id = np.empty(1 << 14, dtype=np.int32)  # piece, or -1 - character for one spelled in several bytes
         self.chance_log = np.empty(1 << 14)
-        self.below = np.empty(1 << 14)  # chance of this edge and of those before it
+        self.below = np.empty(1 << 14, dtype=np.float32)  # chance of this edge and of those before it
 
     def roots(self, chunks: list[str]) -> np.ndarray:
         """First node of every chunk's lattice."""
         root = self.root
-        missing = [c for c in set(chunks) if c not in root]
+        missing = set(chunks).difference(root)
         if missing:
             if self.n_edges > MOST_EDGES:
-                self.clear()
-                root, missing = self.root, list(set(chunks))
-            self._build(sorted(missing))
-        return np.array([root[c] for c in chunks], dtype=np.int64)
+                kept, self.n_nodes, self.n_edges = self.kept
+                root = self.root = dict(kept)
+                missing = set(chunks).difference(root)
+            new = sorted(missing)
+            for at in range(0, len(new), WORDS_AT_ONCE):
+                self._build(new[at : at + WORDS_AT_ONCE])
+            if self.kept is None and self.n_edges > KEPT_EDGES:
+                self.kept = dict(root), self.n_nodes, self.n_edges
+        return np.fromiter(map(root.__getitem__, chunks), dtype=np.int64, count=len(chunks))
 
     def _build(self, chunks: list[str]) -> None:
         lengths = np.array([len(c) for c in chunks])
@@ -171,7 +180,7 @@ class Lattices:
         start, piece, size = np.concatenate(starts), np.concatenate(ids), np.concatenate(sizes)
         weight = np.where(piece >= 0, self.pieces.weight[np.maximum(piece, 0)], self.pieces.byte_weight * utf8_size(-1 - piece))
         # sums over all ways to the end, from the words' last characters backwards
-        order = np.lexsort((start, left[start]))
+        order = np.argsort((left[start] * (n + 1) + start) * (self.pieces.longest + 1) + size)  # one key sorts faster
         start, piece, size, weight = start[order], piece[order], size[order], weight[order]
         total = np.zeros(n + 1)
         rest = left[start]
@@ -185,7 +194,7 @@ class Lattices:
             counts = np.diff(np.append(node, b - a))
             total[start[a:b][node]] = top + np.log(np.add.reduceat(np.exp(ways[a:b] - np.repeat(top, counts)), node))
         chance_log = ways - total[start]
-        order = np.lexsort((-chance_log, start))
+        order = np.argsort(start * 1024.0 - np.maximum(chance_log, -1000.0))
         start, piece, size, chance_log = start[order], piece[order], size[order], chance_log[order]
         chance = np.exp(chance_log)
         first = np.searchsorted(start, np.arange(n + 1))
@@ -196,6 +205,7 @@ class Lattices:
         following = np.where(size == left[start], -1, start + size + node_at)
         self.first = _put(self.first, node_at + 1, first[1:] + edge_at)
         self.next = _put(self.next, edge_at, following)
+        self.node = _put(self.node, edge_at, start + node_at)
         self.id = _put(self.id, edge_at, piece)
         self.chance_log = _put(self.chance_log, edge_at, chance_log)
         self.below = _put(self.below, edge_at, below)
@@ -204,9 +214,9 @@ class Lattices:
 
 
 def _put(table_of: np.ndarray, at: int, values: np.ndarray) -> np.ndarray:
-    """The table with values put in, in twice the room if it is full."""
+    """The table with values put in, in a quarter more room if it is full."""
     if at + len(values) > len(table_of):
-        table_of = np.concatenate([table_of[:at], np.empty(2 * (at + len(values)) - at, dtype=table_of.dtype)])
+        table_of = np.concatenate([table_of[:at], np.empty((at + len(values)) * 5 // 4 - at, dtype=table_of.dtype)])
     table_of[at : at + len(values)] = values
     return table_of
 
@@ -379,7 +389,7 @@ class Sampler:
                 node_text.append(np.full(count, i))
                 node_at.append(np.arange(part.start, part.stop))
             edge, before, bits, value, text, at = map(np.concatenate, (node_edge, node_before, node_bits, node_value, node_text, node_at))
-            node = np.searchsorted(lattices.first[: lattices.n_nodes + 1], edge, side="right") - 1
+            node = lattices.node[edge]
             first, n = lattices.first[node], lattices.first[node + 1] - lattices.first[node]
             which = np.repeat(np.arange(len(node)), n)
             other = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + first[which]
@@ -388,7 +398,7 @@ class Sampler:
             chance = before[which] + lattices.chance_log[other]
             spot = (at[which].astype(np.uint64) << np.uint64(12)) + (other - first[which]).astype(np.uint64)
             number = paths[waiting[0]].number
-            u = ((random_bits(bits[which], spot, 3 + 2 * number) >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32
+            u = ((random_bits(bits[which], spot, 3 + 2 * number) >> np.uint64(40)).astype(np.float64) + 0.5) * 2.0**-24
             ceiling = value[which]
             # -log(exp(-ceiling) + exp(-chance) * -log(u)), without leaving the range of doubles
             gumbel = chance - np.log(-np.log(u))
@@ -420,6 +430,18 @@ def log_inclusion(excess: float) -> float:
     return float(np.log(-np.expm1(-np.exp(excess))))
 
 
+def parts(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts of about `CHARACTERS_AT_ONCE`; a longer text is a run of its own."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > CHARACTERS_AT_ONCE:
+            yield slice(start, i)
+            start, size = i, 0
+        size += len(text)
+    if texts:
+        yield slice(start, len(texts))
+
+
 ENCODED = "rank int, ids array<int>, n_pieces int, log_prob double, score double, log_inclusion double, round_trip boolean"
 
 
@@ -434,31 +456,34 @@ def encode(
     rows get the same ones, a NULL key counts as 0. A NULL text counts as empty; the empty text has one segmentation without
     pieces. Texts with fewer segmentations than `samples` give fewer rows. An empty table gives an empty one.
     """
-    proto = Path_(model).read_bytes()
+    proto, token = Path_(model).read_bytes(), uuid.uuid4().hex
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(proto)
-        sampler = Sampler(pieces, seed)
+        sampler = kept_by_worker(token, lambda: Sampler(Pieces(proto), seed))
         for batch in batches:
             texts = [t or "" for t in batch.column("_text").to_pylist()]
-            keys = [int(i or 0) for i in batch.column(key).to_pylist()]
-            found = sampler.batch(texts, keys, samples)
-            owner = [i for i, rows in enumerate(found) for _ in rows]
-            rows = [r for some in found for r in some]
-            sizes = np.array([len(r[0]) for r in rows], dtype=np.int64)
-            flat = np.concatenate([r[0] for r in rows]).astype(np.int32) if rows else np.empty(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
-            trip = [pieces.decode(r[0].tolist()) == texts[i] for i, r in zip(owner, rows)]
-            columns = [
-                batch.column(key).take(pa.array(owner, pa.int64())),
-                pa.array([n for some in found for n in range(1, len(some) + 1)], pa.int32()),
-                ids,
-                pa.array(sizes.astype(np.int32)),
-                *[pa.array([r[c] for r in rows], pa.float64()) for c in (1, 2, 3)],
-                pa.array(trip, pa.bool_()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names=[key, *[c.split()[0] for c in ENCODED.split(", ")]])
+            for part in parts(texts):
+                yield rows_of(sampler, texts[part], batch.column(key).slice(part.start, part.stop - part.start))
+
+    def rows_of(sampler: Sampler, texts: list[str], keys: pa.Array) -> pa.RecordBatch:
+        pieces = sampler.pieces
+        found = sampler.batch(texts, [int(i or 0) for i in keys.to_pylist()], samples)
+        owner = [i for i, rows in enumerate(found) for _ in rows]
+        rows = [r for some in found for r in some]
+        sizes = np.array([len(r[0]) for r in rows], dtype=np.int64)
+        flat = np.concatenate([r[0] for r in rows]).astype(np.int32) if rows else np.empty(0, np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+        trip = [pieces.decode(r[0].tolist()) == texts[i] for i, r in zip(owner, rows)]
+        columns = [
+            keys.take(pa.array(owner, pa.int64())),
+            pa.array([n for some in found for n in range(1, len(some) + 1)], pa.int32()),
+            ids,
+            pa.array(sizes.astype(np.int32)),
+            *[pa.array([r[c] for r in rows], pa.float64()) for c in (1, 2, 3)],
+            pa.array(trip, pa.bool_()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=[key, *[c.split()[0] for c in ENCODED.split(", ")]])
 
     return map_batches(df.select(key, F.col(text).alias("_text")), run, f"`{key}` {kind}, {ENCODED}")
 
