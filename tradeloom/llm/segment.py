@@ -34,7 +34,7 @@ SPACE_SIGN = "\U0010fffe"
 CHUNKS = re.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
 # Edges of remembered words, 24 bytes each. Those of the first words met, which have nearly all frequent ones, stay;
 # the others are forgotten when there are too many.
-KEPT_EDGES, MOST_EDGES = 1_500_000, 3_000_000
+KEPT_EDGES, MOST_EDGES = 2_500_000, 4_000_000
 # Words whose lattices are built together, and characters that are sampled together; both bound the memory of a task.
 WORDS_AT_ONCE, CHARACTERS_AT_ONCE = 8_000, 300_000
 # No uniform number of 24 bits, as the parts beside a path get, makes a larger Gumbel number.
