@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tradeloom.llm.quality import Model, calibrate, curve, learn, op7_quality_classifier, score_rows
+from tradeloom.llm.quality import Model, Scorer, calibrate, curve, learn, op7_quality_classifier, score_rows
 
 SF = "/root/testdata/sf0.1"
 
@@ -56,3 +56,31 @@ def test_calibration_finds_the_curve():
     x = rng.normal(size=20_000)
     y = (rng.random(20_000) < curve(x, 3.0, -1.0)).astype(float)
     assert calibrate(x, y, np.ones(len(x))) == pytest.approx((3.0, -1.0), abs=0.15)
+
+
+def test_long_texts_are_scored_like_short_ones(spark):
+    documents, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
+    scorer = Scorer(learn(documents, labels))
+    held = documents.join(labels, "doc_id").filter("crc32(cast(string(doc_id) as binary)) % 5 = 0").orderBy("doc_id")
+    rows = held.select("text", "quality").collect()
+    for quality in (0, 1):
+        texts = [r.text for r in rows if r.quality == quality and r.text]
+        joined = " ".join(texts)
+
+        def parts(size):
+            return [joined[i : i + size] for i in range(0, len(joined) - size + 1, size)]
+
+        short = np.mean([scorer.difference(t) for t in parts(2000)])
+        for size in (50_000, 200_000):
+            assert np.mean([scorer.difference(t) for t in parts(size)]) == pytest.approx(short, rel=0.3)
+            assert np.mean([scorer.score(t) >= 0.3 for t in parts(size)]) == quality
+
+
+def test_whole_labelled_texts_are_learned(spark):
+    rows = [(i, ("good prose here " if i % 2 else "### $$$ %%% ") * 300 + ("late words of praise " if i % 2 else "late @@@ && ") * 2000) for i in range(40)]
+    documents = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    model = learn(documents, labels)
+    for part in (b"good prose here", b"late words of praise"):
+        assert part in model.good
+    assert b"###" in model.bad and b"late @@@" in model.bad

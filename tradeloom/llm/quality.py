@@ -19,8 +19,9 @@ from tradeloom.llm.common import doc_fold, map_batches, table
 
 # Rows of each class that are learned from: three quarters make its dictionary, the others the curve.
 SAMPLE_ROWS = 3000
-# Characters of each of these rows, from a place chosen by hash.
-SNIPPET = 2000
+# Texts are compressed in consecutive pieces of at most so many bytes, so that what a dictionary saves
+# per byte does not depend on a text's length: within a long text its own words would take the dictionary's place.
+PIECE_BYTES = 2000
 DICTIONARY_BYTES = 256 * 1024
 LEVEL = 3
 # Below this much text a dictionary is the text itself.
@@ -36,6 +37,13 @@ def dictionary(samples: list[bytes]) -> bytes:
     return zstandard.train_dictionary(DICTIONARY_BYTES, samples).as_bytes()
 
 
+def pieces(text: str | None) -> list[bytes]:
+    """The whole text in consecutive pieces of nearly equal size."""
+    data = (text or "").encode("utf-8", "replace")
+    n = -(-len(data) // PIECE_BYTES)
+    return [data[len(data) * i // n : len(data) * (i + 1) // n] for i in range(n)]
+
+
 @dataclass(frozen=True)
 class Model:
     """Both dictionaries and the curve; without text of both kinds a constant score."""
@@ -60,12 +68,12 @@ class Scorer:
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=data)
 
     def difference(self, text: str | None) -> float:
-        """Bytes per byte that the good dictionary saves over the bad one; 0 for no text."""
-        data = (text or "").encode("utf-8", "replace")
-        if not data or not self.compressors:
+        """Bytes per byte of the whole text that the good dictionary saves over the bad one; 0 for no text."""
+        parts = pieces(text)
+        if not parts or not self.compressors:
             return 0.0
-        good, bad = (len(c.compress(data)) for c in self.compressors)
-        return (bad - good) / len(data)
+        good, bad = (sum(len(c.compress(p)) for p in parts) for c in self.compressors)
+        return (bad - good) / sum(map(len, parts))
 
     def score(self, text: str | None) -> float:
         return float(curve(self.difference(text), self.model.slope, self.model.offset))
@@ -95,7 +103,7 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
 
     Up to `sample_rows` rows of each class are chosen by a hash of their id, of both classes as
     many: three quarters make the dictionaries, the others the curve, weighted to the classes'
-    share of all labels.
+    share of all labels. Their texts are taken whole; the driver holds them.
     Labels other than 0 and 1, and rows without text, are left out.
     """
     known = labels.filter(F.col("quality").isin(0, 1) & (doc_fold(F.col("doc_id"), FOLDS) != HELD_OUT))
@@ -110,20 +118,18 @@ def learn(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROW
         for label in (0, 1)
     ]
     chosen = chosen[0].unionByName(chosen[1])
-    start = (F.pmod(F.xxhash64("text"), F.length("text")) + 1).cast("int")
-    piece = F.when(F.length("text") > SNIPPET, F.substring("text", F.least(start, F.length("text") - SNIPPET), F.lit(SNIPPET)))
     texts = (
-        documents.select("doc_id", F.coalesce(piece, "text").alias("_piece"))
-        .filter(F.length("_piece") > 0)
+        documents.select("doc_id", "text")
+        .filter(F.length("text") > 0)
         .join(F.broadcast(chosen), "doc_id")  # at most 2 * sample_rows ids
     )
-    rows = texts.groupBy("doc_id", "_label", "_spot").agg(F.min("_piece").alias("_piece")).orderBy("_spot", "doc_id").collect()
-    texts_of = {label: [r["_piece"] for r in rows if r["_label"] == label] for label in (0, 1)}
+    rows = texts.groupBy("doc_id", "_label", "_spot").agg(F.min("text").alias("text")).orderBy("_spot", "doc_id").collect()
+    texts_of = {label: [r["text"] for r in rows if r["_label"] == label] for label in (0, 1)}
     if not all(len(t) > 1 for t in texts_of.values()):
         return Model(b"", b"", 0.0, float(np.log(share[1] / share[0])))
     apart = {label: max(1, len(t) // 4) for label, t in texts_of.items()}
     good, bad = (
-        dictionary([t.encode("utf-8", "replace") for t in texts_of[label][apart[label] :]]) for label in (1, 0)
+        dictionary([p for t in texts_of[label][apart[label] :] for p in pieces(t)]) for label in (1, 0)
     )
     scorer = Scorer(Model(good, bad, 0.0, 0.0))
     x = {label: np.array([scorer.difference(t) for t in texts_of[label][: apart[label]]]) for label in (0, 1)}
