@@ -10,7 +10,7 @@ from test_sharding_rules_mixing import waterfill
 
 import corpus_pipeline
 from corpus_pipeline import STAGES
-from tradeloom.llm import quality, secrets
+from tradeloom.llm import jaccard, mixing, quality, secrets
 from tradeloom.llm.common import stage
 
 SF = "/root/testdata/sf0.01"
@@ -106,3 +106,26 @@ def test_odd_rows(spark, tmp_path):
     df.limit(0).write.parquet(f"{tmp_path}/empty/documents.parquet")
     spark.read.parquet(f"{tmp_path}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/empty/labels.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").collect() == []
+
+
+@pytest.mark.parametrize("number, module, name", [(1, jaccard, "near_duplicates"), (3, mixing, "mix")])
+def test_scan_that_is_cut_anew(spark, tmp_path, monkeypatch, number, module, name):
+    """As if executors came or went after the rows were named."""
+    spark.read.parquet(f"{SF}/documents.parquet").limit(300).repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    expected = sorted(map(str, rows_of(STAGES[number][1](spark, docs, SF))))
+    conf = {"spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    original = getattr(module, name)
+
+    def then_cut_anew(*args):
+        found = stage(original(*args), "test")
+        for key, value in conf.items():
+            spark.conf.set(key, value)
+        return found
+
+    monkeypatch.setattr(module, name, then_cut_anew)
+    try:
+        assert sorted(map(str, rows_of(STAGES[number][1](spark, docs, SF)))) == expected
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
