@@ -120,3 +120,9 @@ def test_training_without_texts():
     assert secrets.Scanner(train([])).spans("nothing here") == []
     empty = secrets.fit([], frozenset())
     assert secrets.Scanner(empty).spans("token = abcdef1") == [(0, 15, 0)]
+
+
+def test_shape_of_the_whole_word():
+    head = "a" * 300
+    for tail in ("@x.y.z", "0123456789" * 200, "{}[]" * 100):
+        assert secrets.shape_features(head + tail) != secrets.shape_features(head)

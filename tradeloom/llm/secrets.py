@@ -82,7 +82,7 @@ def shape_features(word: str) -> tuple[str, ...]:
     if letters.isalpha() and len(letters) < 24 and (letters.islower() or letters[1:].islower() or len(letters) == 1):
         return PLAIN[len(letters) // 4]
     start, end = core_of(word)
-    core = word[start : min(end, start + 256)]
+    core = word[start:end]
     n = len(core)
     digits = sum(c.isdigit() for c in core)
     upper = sum(c.isupper() for c in core)
