@@ -1,4 +1,5 @@
 import datetime
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.operators.checks import fingerprint
 from tradeloom.operators.joins import existence_flag, lookup_join
-from tradeloom.operators.ranking import dense_ranks, number_sorted, surrogate_key
+from tradeloom.operators.ranking import dense_ranks, number_sorted, surrogate_key, value_range
 
 FIXTURE = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
@@ -125,6 +126,65 @@ def test_two_step_ranks_equal_dense_rank(spark, rows, data):
     assert rows(ranked) == rows(expected)
 
 
+NUMBERS = st.one_of(
+    st.none(),
+    st.sampled_from([0, 1, -1, 2**40, 2**40 + 1, 2**53, 2**53 + 1, -(2**53), -(2**53) - 1, 10**17, 10**17 - 1]),
+    st.integers(-(10**17), 10**17),
+)
+
+
+@pytest.mark.parametrize("broadcast", ["-1", "10m"])
+@FIXTURE
+@given(st.lists(NUMBERS, min_size=1, max_size=40))
+def test_ranks_of_numbers_near_and_far(spark, rows, broadcast, data):
+    """Values of all sizes, among them some that a double does not tell apart."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        df = spark.createDataFrame([(n, v) for n, v in enumerate(data)], "i int, v bigint")
+        df = df.withColumn("w", (F.col("v") / F.lit(10**6).cast("decimal(7,0)")).cast("decimal(38,6)"))
+        df = df.withColumn("x", F.col("v").cast("double"))
+        ranks = {"rv": "v", "rw": "w", "rx": "x"}
+        down = {n: F.dense_rank().over(Window.orderBy(F.col(c).desc_nulls_last())) for n, c in ranks.items()}
+        assert rows(dense_ranks(df, ranks)) == rows(df.withColumns(down))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_ranks_of_special_floats_dates_and_text(spark, rows):
+    values = [float("nan"), float("inf"), float("-inf"), 5e-324, -5e-324, 0.0, -0.0, 1e308, 1.0, 1.0000000000000002, None]
+    df = spark.createDataFrame([(v, None if v is None else str(v)) for v in values], "v double, t string")
+    df = df.withColumn("d", F.when(F.col("v") == 1.0, F.lit(datetime.date(2031, 5, 1))).when(F.col("v") > 1, F.lit(datetime.date(1969, 1, 1))))
+    ranks = {"rv": "v", "rt": "t", "rd": "d"}
+    down = {n: F.dense_rank().over(Window.orderBy(F.col(c).desc_nulls_last())) for n, c in ranks.items()}
+    assert repr(rows(dense_ranks(df, ranks))) == repr(rows(df.withColumns(down)))  # NaN equals nothing in Python
+    empty = dense_ranks(df.filter("false"), ranks)
+    assert empty.columns == ["v", "t", "d", "rv", "rt", "rd"] and empty.count() == 0
+
+
+def test_ranges_rise_with_their_values(spark):
+    steps = spark.range(-2000, 2000).selectExpr("id", "CASE WHEN id < 0 THEN -1D ELSE 1D END * pow(1.37D, abs(id) - 1000D) AS v")
+    ordered = [r.at for r in steps.withColumn("at", value_range("v")).orderBy("v").select("at").collect()]
+    assert ordered == sorted(ordered) and len(set(ordered)) > 3000
+
+
+def test_only_counts_meet_by_metric_and_group(spark):
+    """No job runs before the ranks are read, and no shuffle of values goes by metric and group alone."""
+    df = spark.range(1000).selectExpr("id", "cast(id % 50 AS decimal(12,2)) AS v", "id % 3 AS g", "-id AS w")
+    spark.sparkContext.setJobGroup("ranks", "ranks")
+    try:
+        ranked = dense_ranks(df, {"rv": "v", "rw": "w"}, within=["g"])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ranks")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    lines = ranked._jdf.queryExecution().executedPlan().toString().split("\n")
+    met = [n for n, line in enumerate(lines) if re.search(r"hashpartitioning\(_rank#\d+, _group#\d+, \d+\)", line)]
+    assert met
+    for n in met:
+        below = next(line for line in lines[n + 1 :] if "Aggregate" in line or "Window" in line)
+        assert "max(_nth" in below
+    assert "SinglePartition" not in "".join(lines)
+
+
 def test_ranks_within_groups(spark, rows):
     data = [(1, "a", 5), (2, "a", 5), (3, "a", 1), (4, "b", None), (5, "b", 2), (6, None, 9), (7, None, 7)]
     df = spark.createDataFrame(data, "i int, g string, v int")

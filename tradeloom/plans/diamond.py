@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.amounts import safe_ratio
 from tradeloom.functions.dates import key_month, key_year, month_start, month_text
 from tradeloom.operators.ranking import dense_ranks
+from tradeloom.session import stage
 
 # Fixed value: the status of an invoice that counts as a sale.
 ISSUED = "issued"
@@ -255,7 +256,8 @@ def _with_month_names(df: DataFrame) -> DataFrame:
 
 
 def _entity_totals(base: DataFrame, fact_returns: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    return entity_totals(base, fact_returns, key).join(dimension, key, "left")
+    # one row per entity; the ranks read these rows several times, the facts are read once
+    return stage(entity_totals(base, fact_returns, key).join(dimension, key, "left"), key)
 
 
 def entity_totals(base: DataFrame, fact_returns: DataFrame, key: str) -> DataFrame:
