@@ -11,7 +11,9 @@ from tradeloom.plans.bronze import SOURCE_TABLES, WATERMARK, ingest_all, ingest_
 from tradeloom.operators.merge import rows_after
 from tradeloom.operators.quality import deduplicate_latest
 from tradeloom.operators.schema import drop_control_columns
+from tradeloom.sources import layers
 from tradeloom.sources.layers import read_layer
+from tradeloom.sources.versions import PUBLISHED, VERSIONS, current_version, file_names, layer_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -106,6 +108,112 @@ def test_a_failing_check_leaves_the_old_layer(spark, lake, monkeypatch):
     assert prints(spark, lake["root"], "diamond") == before
 
 
+class Stopped(Exception):
+    """Stands for a lost driver."""
+
+
+def names(spark, root, layer):
+    folder = layer_path(root, layer)
+    return file_names(spark, f"{folder}/{VERSIONS}"), file_names(spark, f"{folder}/{PUBLISHED}")
+
+
+@pytest.mark.parametrize("layer, table", [("gold", "fact_returns"), ("diamond", "target_vs_actual")])
+def test_a_refresh_that_stops_between_two_tables_changes_nothing(spark, lake, monkeypatch, layer, table):
+    run = {"gold": refresh.refresh_gold, "diamond": refresh.refresh_diamond}[layer]
+    run(spark, lake["root"])
+    before, version = prints(spark, lake["root"], layer), current_version(spark, lake["root"], layer)
+    write = refresh.write_observed
+
+    def stops(df, path, totals=None):
+        if path.endswith(f"/{table}"):
+            raise Stopped
+        return write(df.limit(1), path, totals)  # what is written before is not what readers had
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "write_observed", stops)
+        with pytest.raises(Stopped):
+            run(spark, lake["root"])
+    assert prints(spark, lake["root"], layer) == before
+    assert current_version(spark, lake["root"], layer) == version
+    left = [v for v in names(spark, lake["root"], layer)[0] if v > version.name]
+    assert left
+    run(spark, lake["root"])
+    assert not set(left) & set(names(spark, lake["root"], layer)[0]) and prints(spark, lake["root"], layer) == before
+
+
+def test_a_refresh_that_stops_at_its_last_step_is_one_version(spark, lake, monkeypatch):
+    refresh.refresh_diamond(spark, lake["root"])
+    before = current_version(spark, lake["root"], "diamond")
+
+    def stops(*_):
+        raise Stopped
+
+    for step, moved in (("publish_version", False), ("drop_old_versions", True)):
+        with monkeypatch.context() as patch:
+            patch.setattr(refresh, step, stops)
+            with pytest.raises(Stopped):
+                refresh.refresh_diamond(spark, lake["root"])
+        assert (current_version(spark, lake["root"], "diamond") != before) == moved
+        assert all(prints(spark, lake["root"], "diamond").values())
+
+
+def test_a_reader_keeps_its_version_for_one_refresh(spark, lake):
+    refresh.refresh_diamond(spark, lake["root"])
+    reader = current_version(spark, lake["root"], "diamond")
+    rows = reader.read(spark, "monthly_sales")
+    refresh.refresh_diamond(spark, lake["root"])
+    newer = current_version(spark, lake["root"], "diamond")
+    assert newer.name > reader.name and rows.count() == newer.read(spark, "monthly_sales").count()
+    refresh.refresh_diamond(spark, lake["root"])
+    versions, marks = names(spark, lake["root"], "diamond")
+    assert len(versions) == len(marks) == 2 and reader.name not in versions and versions == marks
+
+
+def test_catalog_entries_follow_the_newest_version(spark, lake):
+    refresh.refresh_diamond(spark, lake["root"])
+    refresh.register_tables(spark, lake["root"], "diamond", ["commercial_kpis"])
+    count = spark.table("diamond_commercial_kpis").count()
+    for _ in range(3):
+        refresh.refresh_diamond(spark, lake["root"])
+    assert spark.table("diamond_commercial_kpis").count() == count > 0
+    assert not spark.catalog.tableExists("diamond_monthly_sales")
+    spark.sql("DROP VIEW diamond_commercial_kpis")
+
+
+def test_totals_taken_while_writing(spark, lake, monkeypatch):
+    refresh.refresh_gold(spark, lake["root"])
+    source = current_version(spark, lake["root"], "gold")
+    facts = source.read(spark, "fact_sales")
+    total = refresh.diamond.sales_base(facts).agg(F.sum("net_revenue")).first()[0]
+    assert refresh._issued_revenue(spark, source, None) == total > 0
+    assert source.totals(spark)["fact_sales"]["rows"] == facts.count()
+    monkeypatch.setattr(type(source), "totals", lambda *_: {})
+    assert refresh._issued_revenue(spark, source, facts) == total
+    assert refresh._issued_revenue(spark, source, facts.filter("false")) == 0
+
+
+def test_an_export_with_one_altered_value_fails(spark, lake, tmp_path, monkeypatch):
+    refresh.refresh_diamond(spark, lake["root"])
+    write = layers.write_observed
+
+    def alters(df, path, totals=None, files=None):
+        """The rows that arrive differ in one value from those that were counted."""
+        seen = write(df, path, totals, files)
+        changed = spark.read.parquet(path).withColumn("net_revenue", F.when(F.col("rank_net_revenue") == 1, 0).otherwise(F.col("net_revenue")))
+        kept = changed.collect()
+        spark.createDataFrame(kept, spark.read.parquet(path).schema).write.mode("overwrite").parquet(path)
+        return seen
+
+    table = read_layer(spark, lake["root"], "diamond", "product_ranking")
+    good = layers.export_snapshot(table, str(tmp_path / "good"), files=1)
+    assert good["ok"] and good["content_matches"]
+    monkeypatch.setattr(layers, "write_observed", alters)
+    bad = layers.export_snapshot(table, str(tmp_path / "bad"))
+    assert bad["source_count"] == bad["snapshot_count"] and bad["columns_match"] and not bad["content_matches"]
+    with pytest.raises(RuntimeError, match="bad"):
+        layers.require_ok([good, bad])
+
+
 def test_misread_texts_are_repaired_on_the_way_in(spark, tmp_path):
     source = spark.sql("SELECT 1 AS ProductID, 'MÃ³vel' AS ProductName, 'SÃ£o' AS CategoryName, TIMESTAMP '2031-05-17 12:00:00' AS UpdatedAt")
     table = next(t for t in SOURCE_TABLES if t.source == "erp.Products")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _MODULUS = 1_000_000_007
@@ -10,11 +10,14 @@ _MODULUS = 1_000_000_007
 
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and two order-independent hashes of the content: equal tables, equal row."""
-    columns = sorted(df.columns)
-    row_hash = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns])
-    hashed = df.select(row_hash.alias("_hash"))
-    return hashed.agg(
-        F.count("*").alias("row_count"),
-        F.coalesce(F.bit_xor("_hash"), F.lit(0).cast("bigint")).alias("hash_xor"),
-        F.coalesce(F.sum(F.pmod("_hash", F.lit(_MODULUS))), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
-    )
+    return df.agg(*[part.alias(name) for name, part in fingerprint_parts(df).items()])
+
+
+def fingerprint_parts(df: DataFrame) -> dict[str, Column]:
+    """The aggregates of a fingerprint, to be taken while the rows are written."""
+    row_hash = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in sorted(df.columns)])
+    return {
+        "row_count": F.count(F.lit(1)),
+        "hash_xor": F.coalesce(F.bit_xor(row_hash), F.lit(0).cast("bigint")),
+        "hash_sum": F.coalesce(F.sum(F.pmod(row_hash, F.lit(_MODULUS))), F.lit(0)).cast("decimal(38,0)"),
+    }

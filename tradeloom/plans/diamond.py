@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -266,7 +267,7 @@ def entity_totals(base: DataFrame, fact_returns: DataFrame, key: str) -> DataFra
     Each group is pre-aggregated by task, and distinct invoices are counted on
     (entity, invoice) pairs, so a hot entity does not meet in one task.
     """
-    sales = base.groupBy(key).agg(*[e.alias(name) for name, e in _sales_sums().items()])
+    sales = sales_totals(base, key)
     returned = fact_returns.groupBy(key).agg(
         F.sum("returned_amount").alias("returned_amount"), F.sum("quantity").alias("returned_quantity")
     )
@@ -275,6 +276,11 @@ def entity_totals(base: DataFrame, fact_returns: DataFrame, key: str) -> DataFra
     return _with_ratios(joined)
 
 
+def sales_totals(base: DataFrame, key: str) -> DataFrame:
+    """Sales of each entity sold, without its returns."""
+    return base.groupBy(key).agg(*[e.alias(name) for name, e in _sales_sums().items()])
+
+
 def _with_ratios(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
@@ -292,8 +298,24 @@ def _or_zero(df: DataFrame, column: str) -> Column:
 # --- reconciliation ---
 
 
+def issued_revenue() -> Column:
+    """Net revenue of the issued sales among all facts; for taking on the way to the stored facts."""
+    return F.sum(F.when(F.col("invoice_status") == ISSUED, F.col("net_revenue")))
+
+
+def revenue_differences(
+    expected: Decimal, found: Mapping[str, Decimal | None], tolerance: float = TOLERANCE
+) -> dict[str, Decimal]:
+    """Of totals taken while tables were written, those that are off, and by how much. No rows add up to 0."""
+    off = {name: (total or Decimal(0)) - expected for name, total in found.items()}
+    return {name: by for name, by in off.items() if abs(by) > Decimal(str(tolerance))}
+
+
 def revenue_check(base: DataFrame, tables: Mapping[str, DataFrame], tolerance: float = TOLERANCE) -> DataFrame:
-    """Net revenue of each table against that of the base."""
+    """Net revenue of each table against that of the base, all added up in one aggregate.
+
+    Of the ranked tables give the totals, without names and ranks.
+    """
     parts = base.select(F.lit("").alias("table_name"), "net_revenue")
     for name, table in tables.items():
         parts = parts.unionAll(table.select(F.lit(name), "net_revenue"))

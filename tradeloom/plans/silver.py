@@ -25,7 +25,8 @@ from tradeloom.operators.quality import (
 )
 from tradeloom.operators.schema import CONTROL_COLUMNS, drop_control_columns, standardize_columns
 from tradeloom.session import stage
-from tradeloom.sources.layers import table_path, write_table
+from tradeloom.sources.layers import write_table
+from tradeloom.sources.versions import LayerVersion
 
 UPDATED_AT = "UpdatedAt"
 
@@ -171,14 +172,14 @@ def silver_table(
 
 
 def write_silver_table(
-    rules: TableRules, bronze: Mapping[str, DataFrame], root: str, as_of: datetime | None = None
+    rules: TableRules, bronze: Mapping[str, DataFrame], version: LayerVersion, as_of: datetime | None = None
 ) -> dict[str, int]:
-    """Check once, then write the valid table and its quarantine, which a clean run empties."""
+    """Check once, then write the valid table and its quarantine, which a clean run leaves empty."""
     checked = stage(check_table(rules, bronze, as_of), rules.table)
     valid, rejected = finish(rules, *split_valid_rejected(checked))
     return {
-        "valid": write_table(valid, table_path(root, "silver", rules.table)),
-        "rejected": write_table(rejected, table_path(root, "silver", f"{rules.table}_quarantine")),
+        "valid": write_table(valid, version.path(rules.table)),
+        "rejected": write_table(rejected, version.path(f"{rules.table}_quarantine")),
     }
 
 

@@ -2,32 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tradeloom.operators.checks import fingerprint, fingerprint_parts
 from tradeloom.operators.merge import duplicate_keys, last_watermark, upsert
+from tradeloom.sources.versions import KEY_RANGE, LAYERS, current_version, layer_path
 
-LAYERS = ("bronze", "silver", "gold", "diamond")
+__all__ = ["KEY_RANGE", "LAYERS", "read_layer", "table_path", "write_table", "write_upsert"]
 
-# Column that splits an upserted table by key; every split is rewritten as a whole.
-KEY_RANGE = "key_range"
 KEYS_PER_RANGE = 10_000_000
 
 
 def table_path(root: str, layer: str, table: str) -> str:
-    """<root>/<layer>/<table>; joined as text, which keeps s3a:// and the like intact."""
-    if layer not in LAYERS:
-        raise ValueError(f"unknown layer: {layer!r}")
-    return f"{root.rstrip('/')}/{layer}/{table}"
+    """Where a table of a layer without versions is."""
+    return f"{layer_path(root, layer)}/{table}"
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    df = spark.read.parquet(table_path(root, layer, table))
-    return df.drop(KEY_RANGE) if KEY_RANGE in df.columns else df
+    """A table of the layer's current version. Read tables that belong together from one `current_version`."""
+    return current_version(spark, root, layer).read(spark, table)
 
 
 def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -40,15 +38,31 @@ def table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def observe_while(
+    df: DataFrame, action: Callable[[DataFrame], None], totals: Mapping[str, Column] | None = None
+) -> dict[str, object]:
+    """Run an action on the frame; count its rows and take totals on the way, without a second pass.
+
+    The totals are taken in the tasks that write, of which each counts once however often it is tried.
+    """
+    seen = Observation()
+    action(df.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in (totals or {}).items()]))
+    return seen.get
+
+
 def count_while(df: DataFrame, action: Callable[[DataFrame], None]) -> int:
     """Run an action on the frame and count its rows on the way, without a second pass."""
-    rows = Observation()
-    action(df.observe(rows, F.count(F.lit(1)).alias("rows")))
-    return rows.get["rows"]
+    return observe_while(df, action)["rows"]
 
 
-def write_table(df: DataFrame, path: str, files: int | None = None, partition_by: Iterable[str] = ()) -> int:
-    """Replace data and schema of a table; returns the number of rows.
+def write_observed(
+    df: DataFrame,
+    path: str,
+    totals: Mapping[str, Column] | None = None,
+    files: int | None = None,
+    partition_by: Iterable[str] = (),
+) -> dict[str, object]:
+    """Replace data and schema of a table; returns its `rows` and the totals of what was written.
 
     `files` merges small results into that many files; leave it out for large tables.
     `partition_by` lays a large table out by columns that readers filter on.
@@ -58,21 +72,12 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
     if columns:
         # few files per value, and a value that is too large for one task is split
         out = out.hint("rebalance", *columns)
-    return count_while(out, lambda o: o.write.mode("overwrite").partitionBy(*columns).parquet(path))
+    return observe_while(out, lambda o: o.write.mode("overwrite").partitionBy(*columns).parquet(path), totals)
 
 
-def replace_folder(spark: SparkSession, new: str, old: str) -> None:
-    """Move a finished table to its place; the one there before is gone afterwards."""
-    jvm = spark._jvm.org.apache.hadoop.fs.Path
-    source, place, aside = jvm(new), jvm(old), jvm(f"{old}_previous")
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    files.delete(aside, True)
-    if files.exists(place) and not files.rename(place, aside):
-        raise OSError(f"cannot move {old} aside")
-    if not files.rename(source, place):
-        raise OSError(f"cannot move {new} to {old}")
-    files.delete(aside, True)
-    spark.catalog.refreshByPath(old)
+def write_table(df: DataFrame, path: str, files: int | None = None, partition_by: Iterable[str] = ()) -> int:
+    """`write_observed` for the number of rows alone."""
+    return write_observed(df, path, None, files, partition_by)["rows"]
 
 
 def stored_watermark(spark: SparkSession, path: str, column: str) -> datetime | None:
@@ -119,17 +124,22 @@ def write_upsert(
 
 
 def export_snapshot(df: DataFrame, path: str, files: int | None = None) -> dict:
-    """Write a table for other tools, read it back and compare rows and ordered columns."""
-    rows = write_table(df, path, files)
+    """Write a table for other tools, read it back and compare rows, ordered columns and content.
+
+    The content is compared by its fingerprint, which is taken of the rows as they are written.
+    """
+    written = write_observed(df, path, fingerprint_parts(df), files)
     copy = df.sparkSession.read.parquet(path)
-    found = copy.count()
+    found = fingerprint(copy).first().asDict()
     same = copy.columns == df.columns
+    content = all(found[name] == written[name] for name in fingerprint_parts(df))
     return {
         "table": path.rsplit("/", 1)[-1],
-        "source_count": rows,
-        "snapshot_count": found,
+        "source_count": written["rows"],
+        "snapshot_count": found["row_count"],
         "columns_match": same,
-        "ok": rows == found and same,
+        "content_matches": content,
+        "ok": written["rows"] == found["row_count"] and same and content,
         "path": path,
     }
 
@@ -144,15 +154,22 @@ def require_ok(results: Iterable[dict]) -> None:
 def register_tables(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> list[str]:
     """Enter a layer's tables in the session catalog as <layer>_<table>, for ad-hoc SQL.
 
-    The entries are views of the stored files, so that they show what `read_layer` does:
-    every partition of an upserted table, without the column that splits it.
+    The entries are views of the current version's files, so that they show what `read_layer`
+    does: every partition of an upserted table, without the column that splits it. A
+    refresh enters the tables that have an entry again.
     """
+    version = current_version(spark, root, layer)
     names = []
     for table in tables:
         name = f"{layer}_{table}"
         if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
             spark.sql(f"DROP TABLE {name}")
-        columns = ", ".join(f"`{c}`" for c in read_layer(spark, root, layer, table).columns)
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{table_path(root, layer, table)}`")
+        columns = ", ".join(f"`{c}`" for c in version.read(spark, table).columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{version.path(table)}`")
         names.append(name)
     return names
+
+
+def update_entries(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> list[str]:
+    """Let the catalog entries that exist follow the layer's current version."""
+    return register_tables(spark, root, layer, [t for t in tables if spark.catalog.tableExists(f"{layer}_{t}")])

@@ -570,12 +570,13 @@ for _name in DIAMOND:
 
 @query("items", "header", "returns", "base")
 def revenue_reconciliation(m: Model) -> DataFrame:
-    m.base_by_region = m.base_by_product = m.base
+    # each table's own sums over the sales; its names, returns and ranks do not enter them
+    m.base_by_region = m.base
     tables = {
         "monthly_sales": m.monthly_sales,
-        "product_ranking": m.product_ranking,
-        "customer_ranking": m.customer_ranking,
-        "salesperson_performance": m.salesperson_performance,
+        "product_ranking": diamond.sales_totals(m.base, "product_key"),
+        "customer_ranking": diamond.sales_totals(m.base, "customer_key"),
+        "salesperson_performance": diamond.sales_totals(m.base, "salesperson_key"),
     }
     return diamond.revenue_check(m.base, tables)
 
