@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tradeloom.functions.amounts import safe_ratio
 from tradeloom.functions.dates import key_month, key_year, month_start, month_text
+from tradeloom.operators.distinct import with_distinct_counts
 from tradeloom.operators.ranking import dense_ranks
 from tradeloom.session import stage
 
@@ -184,18 +185,13 @@ def commercial_kpis(base: DataFrame, fact_returns: DataFrame, fact_sales_targets
     The month's target is the sum over all targets. Every target appears exactly once in
     the comparison of targets with sales, so the sum is taken from the targets themselves.
     """
-    # one row per invoice first: the distinct counts then work on far fewer rows
-    per_invoice = base.groupBy("date_key", "invoice_id", "customer_key", "salesperson_key").agg(
-        F.sum("gross_revenue").alias("gross_revenue"),
-        F.sum("net_revenue").alias("net_revenue"),
-        F.sum("margin_amount").alias("margin_amount"),
-        F.sum("quantity").alias("quantity"),
-    )
+    sums = {n: n for n in ("gross_revenue", "net_revenue", "margin_amount")} | {"units_sold": "quantity"}
     distinct = {
-        "active_customers": F.count_distinct("customer_key"),
-        "active_salespersons": F.count_distinct("salesperson_key"),
+        "invoice_count": "invoice_id",
+        "active_customers": "customer_key",
+        "active_salespersons": "salesperson_key",
     }
-    sales = _with_month_names(_by_month(per_invoice, [], {**_sales_sums(), **distinct}))
+    sales = _with_month_names(with_distinct_counts(_dated(base), ["year", "month"], distinct, sums))
     returned = _by_month(fact_returns, [], {"returned_amount": F.sum("returned_amount")})
     returned = _with_month_names(returned).select("year_month", "returned_amount")
     joined = sales.join(returned, "year_month", "left").join(
@@ -246,8 +242,11 @@ def _sales_sums(discounts: bool = False) -> dict[str, Column]:
 
 def _by_month(rows: DataFrame, keys: list[str], sums: Mapping[str, Column]) -> DataFrame:
     """Sums by `year`, `month` and keys. The date key holds its month, so no calendar is joined."""
-    dated = rows.withColumns({"year": key_year("date_key"), "month": key_month("date_key")})
-    return dated.groupBy("year", "month", *keys).agg(*[e.alias(name) for name, e in sums.items()])
+    return _dated(rows).groupBy("year", "month", *keys).agg(*[e.alias(name) for name, e in sums.items()])
+
+
+def _dated(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({"year": key_year("date_key"), "month": key_month("date_key")})
 
 
 def _with_month_names(df: DataFrame) -> DataFrame:

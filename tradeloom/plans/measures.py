@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tradeloom.functions.amounts import growth, safe_ratio
@@ -27,20 +27,15 @@ def with_earlier_month(
 ) -> DataFrame:
     """Add the values of the calendar month so many months earlier, NULL if that month is absent.
 
-    `values` maps new names to columns. `df` has one row per month and `within` group; the
-    join is on the month's index, so a gap is a gap and not the row before.
+    `values` maps new names to columns. `df` has one row per month and `within` group. The
+    window's frame holds the one month of that index, so a gap is a gap and not the row
+    before; a row without a month has no earlier one.
     """
     index = month_index(year, month)
-    earlier = df.select(
-        (index + months_back).alias("_index"),
-        *[F.col(c).alias(f"_{c}") for c in within],
-        *[F.col(c).alias(name) for name, c in values.items()],
-    )
-    same = F.col("_at") == F.col("_index")
-    for column in within:
-        same = same & F.col(column).eqNullSafe(F.col(f"_{column}"))
-    joined = df.withColumn("_at", index).join(earlier, same, "left")
-    return joined.drop("_at", "_index", *[f"_{c}" for c in within])
+    # without `within` these are the months of the company: one row each, whatever the sales
+    frame = Window.partitionBy(*within).orderBy("_at").rangeBetween(-months_back, -months_back)
+    earlier = {name: F.when(F.col("_at").isNotNull(), F.first(c).over(frame)) for name, c in values.items()}
+    return df.withColumn("_at", index).withColumns(earlier).drop("_at")
 
 
 def month_over_month(kpis: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.amounts import line_amount, safe_ratio
 from tradeloom.functions.dates import date_key, month_index, month_start, month_text
 from tradeloom.functions.text import misread_as_cp1252, repair_encoding
+from tradeloom.operators.distinct import with_distinct_counts
 from tradeloom.operators.joins import lookup_join
 from tradeloom.operators.merge import last_watermark, rows_after, upsert
 from tradeloom.operators.quality import (
@@ -414,11 +415,9 @@ def revenue_by_key(m: Model) -> DataFrame:
 
 @query()
 def distinct_activity(m: Model) -> DataFrame:
-    return m.invoices.groupBy(F.date_format("issue_date", "yyyy-MM").alias("year_month")).agg(
-        F.count_distinct("invoice_id").alias("invoices"),
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("salesperson_id").alias("salespersons"),
-    )
+    months = m.invoices.withColumn("year_month", F.date_format("issue_date", "yyyy-MM"))
+    distinct = {"invoices": "invoice_id", "customers": "customer_id", "salespersons": "salesperson_id"}
+    return with_distinct_counts(months, ["year_month"], distinct)
 
 
 @query()
