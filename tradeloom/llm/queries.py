@@ -17,6 +17,7 @@ from tradeloom.llm.rules import op6_quality_rules
 from tradeloom.llm.secrets import op3_secret_scans
 from tradeloom.llm.segment import op10_sentencepiece
 from tradeloom.llm.sharding import OP5_SQL, op5_sharding
+from tradeloom.llm.spelling import op13_spelling
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ann": op1_ann,
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_sentencepiece": op10_sentencepiece,
+    "op13_spelling": op13_spelling,
     "pipeline": run,
 }
 
