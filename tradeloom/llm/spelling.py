@@ -143,16 +143,18 @@ def _batches_of_one_length(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             yield rows[start : start + at_once]
 
 
-def _keyed(vocabulary: DataFrame, symbols: int, whole: bool) -> DataFrame:
-    """`key, id, n, word` of the reduced words, or with `whole` of all their neighbours too (and `kind`: 0 for the word itself)."""
+def _keyed(vocabulary: DataFrame, symbols: int, whole: bool, carried: list[str]) -> DataFrame:
+    """Keys of the reduced words, or with `whole` of all their neighbours too: `key, kind, id, n` and the columns `carried`.
+
+    The kind is 0 for the reduced word itself.
+    """
 
     def generate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows in _batches_of_one_length(batch):
                 part = batch.take(pa.array(rows))
                 words = part.column("word").to_pylist()
-                if len(words[0]) > LONG:
-                    part = part.set_column(2, "word", pa.nulls(len(words), pa.string()))
+                part = part.select(["id", "n", *carried])
                 keys = neighbour_keys(words, symbols) if whole else [(np.arange(len(words)), reduced_keys(words, symbols)[0])]
                 held: list[tuple[np.ndarray, np.ndarray, int]] = []
                 size = 0
@@ -165,7 +167,8 @@ def _keyed(vocabulary: DataFrame, symbols: int, whole: bool) -> DataFrame:
                 if held:
                     yield _rows_of(part, held)
 
-    return map_batches(vocabulary.select("id", "n", "word"), generate, "key bigint, kind int, id bigint, n bigint, word string")
+    columns = "".join(f", {c} string" for c in carried)
+    return map_batches(vocabulary.select("id", "n", "word"), generate, f"key bigint, kind int, id bigint, n bigint{columns}")
 
 
 def _rows_of(part: pa.RecordBatch, held: list[tuple[np.ndarray, np.ndarray, int]]) -> pa.RecordBatch:
@@ -173,30 +176,34 @@ def _rows_of(part: pa.RecordBatch, held: list[tuple[np.ndarray, np.ndarray, int]
     keys = np.concatenate([k for _, k, _ in held]).view(np.int64)
     kinds = np.concatenate([np.full(len(p), kind, np.int32) for p, _, kind in held])
     taken = part.take(pa.array(places))
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(kinds), *taken.columns], ["key", "kind", "id", "n", "word"])
+    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(kinds), *taken.columns], ["key", "kind", *part.schema.names])
 
 
 def near_pairs(vocabulary: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """Every unordered pair of words one edit apart, once: `id, n, word, other_id, other_n, other`.
 
-    `vocabulary` is a stored frame of distinct words: id, word, n.
+    `vocabulary` is a stored frame of distinct words: id, word, n. Pairs with a word of more than `LONG` letters,
+    of which both have at least `LONG`, are met by number; the others carry their words.
     """
-    generated = _keyed(vocabulary, symbols, whole=True)
-    reduced = _keyed(vocabulary, symbols, whole=False).select(
-        "key", F.col("id").alias("other_id"), F.col("n").alias("other_n"), F.col("word").alias("other")
-    )
-    met = generated.join(reduced, "key").filter((F.col("kind") == 1) | (F.col("id") < F.col("other_id"))).drop("key", "kind")
-    # the lengths of words of any length differ by one at most, or the pair is none
-    known = F.col("word").isNotNull() & F.col("other").isNotNull()
-    by_number = vocabulary.select("id", "word")
-    looked_up = (
-        met.filter(~known)
-        .drop("word", "other")
+    letters = F.length("word")
+    one_edit = F.levenshtein("word", "other", 1) == 1
+    short = _met(vocabulary.filter(letters <= LONG), symbols, ["word"]).filter(one_edit)
+    by_number = vocabulary.filter(letters >= LONG).select("id", "word")
+    long = (
+        _met(vocabulary.filter(letters >= LONG), symbols, [])
         .join(by_number, "id")
         .join(by_number.select(F.col("id").alias("other_id"), F.col("word").alias("other")), "other_id")
+        .filter((F.greatest(letters, F.length("other")) > LONG) & one_edit)
     )
-    one_edit = F.levenshtein("word", "other", 1) == 1
-    return met.filter(known & one_edit).unionByName(looked_up.filter(one_edit))
+    return short.unionByName(long)
+
+
+def _met(vocabulary: DataFrame, symbols: int, carried: list[str]) -> DataFrame:
+    """Pairs of words of which one's neighbourhood holds the other, with the columns `carried` of both."""
+    names = {"id": "other_id", "n": "other_n", "word": "other"}
+    reduced = _keyed(vocabulary, symbols, False, carried).drop("kind").withColumnsRenamed(names)
+    met = _keyed(vocabulary, symbols, True, carried).join(reduced, "key")
+    return met.filter((F.col("kind") == 1) | (F.col("id") < F.col("other_id"))).drop("key", "kind")
 
 
 # --- groups ---
