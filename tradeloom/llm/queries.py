@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpus_pipeline import ORACLE_SQL, run
 from tradeloom.llm.ann import OP1_SQL, op1_ann
+from tradeloom.llm.chat import OP12_SQL, op12_chat
 from tradeloom.llm.html import op2_html_extraction
 from tradeloom.llm.jaccard import OP4_SQL, op4_ngram_jaccard
 from tradeloom.llm.lm import op8_lm_scoring
@@ -30,10 +31,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_mixing": op9_mixing,
     "op10_sentencepiece": op10_sentencepiece,
+    "op12_chat": op12_chat,
     "op13_spelling": op13_spelling,
     "pipeline": run,
 }
 
-ORACLE: dict[str, str] = {"op1_ann": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_sharding": OP5_SQL}
+ORACLE: dict[str, str] = {"op1_ann": OP1_SQL, "op4_ngram_jaccard": OP4_SQL, "op5_sharding": OP5_SQL, "op12_chat": OP12_SQL}
 if ORACLE_SQL is not None:
     ORACLE["pipeline"] = ORACLE_SQL
