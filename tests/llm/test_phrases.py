@@ -3,6 +3,7 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -64,26 +65,38 @@ def test_passages_repeats_and_a_very_common_pair(spark):
     assert ours(df.filter("false"), 3) == []
 
 
-@pytest.mark.parametrize("at_once", [7, 1 << 20])
-def test_a_text_is_read_in_parts_without_losing_pairs(spark, monkeypatch, at_once):
-    text = "one two three, " * 40 + "w" * 50 + " " + "four five. " * 30
+@pytest.mark.parametrize("at_once", [7, 40, 1 << 20])
+def test_a_text_is_read_in_parts_without_losing_or_repeating_phrases(monkeypatch, at_once):
+    """Every phrase of up to five tokens lies in one chunk as new, whatever the chunks' size."""
+    text = "one two three, " * 40 + "w" * 50 + " " + "four five six seven eight nine " * 30
     whole = phrases.TOKEN.findall(text)
     monkeypatch.setattr(phrases, "TEXT_AT_ONCE", at_once)
     monkeypatch.setattr(phrases, "TOKENS_AT_ONCE", at_once)
     assert [t for part in phrases.tokens_of(text) for t in part] == whole
-    pieces = [t for langs, sizes, tokens in phrases._runs(iter([])) for t in tokens]
-    assert pieces == []
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_pydict({"lang": ["x", "y"], "text": [text, text]})
-    seen, pairs = 0, Counter()
-    for langs, sizes, tokens in phrases._runs(iter([batch])):
-        assert sum(sizes) == len(tokens)
-        owners = [lang for lang, size in zip(langs, sizes) for _ in range(size)]
-        pairs.update((o, a, b) for o, a, b in zip(owners, tokens, tokens[1:]) if a not in phrases.SEPARATORS and b not in phrases.SEPARATORS)
-        seen += 1
-    expected = Counter((o, a, b) for o in "xy" for a, b in zip(whole, whole[1:]) if a not in phrases.SEPARATORS and b not in phrases.SEPARATORS)
-    assert pairs == expected and (seen > 1) == (at_once == 7)
+    monkeypatch.setattr(phrases, "TOKENS_HELD", 2 * at_once)
+    texts = [("x", whole), ("y", whole), ("x", ["z", "z"])]
+    runs = [(lang, c.seen, c.last(len(c.tokens))) for lang, c in phrases.chunks_of(iter([("x", text), ("y", text), ("y", ""), ("x", "z z")]), 4)]
+    assert (len(runs) > 2) == (at_once < 1000)
+    for k in range(1, 6):
+        new = Counter((lang, *tokens[at : at + k]) for lang, seen, tokens in runs for at in range(len(tokens) - k + 1) if at > seen - k)
+        expected = Counter((lang, *tokens[at : at + k]) for lang, tokens in texts for at in range(len(tokens) - k + 1))
+        marks = set(phrases.SEPARATORS)
+        assert {p: c for p, c in new.items() if not set(p[1:]) & marks} == {p: c for p, c in expected.items() if not set(p[1:]) & marks}
+
+
+def test_collocations_over_many_chunks(spark):
+    """The workers read the limit from the closure's module, so small chunks come from many partitions and long texts."""
+    docs = [("en", "a b c d e, f g " * 30 + "a b " * (n % 3)) for n in range(12)] + [(None, "a b c. " * 50)]
+    df = spark.createDataFrame(docs, "lang string, text string").repartition(6)
+    found = ours(df, 5)
+    assert found == slow(docs, 5) and len(found) > 5
+
+
+def test_merging_counts_only_what_is_new():
+    at, phrase = np.arange(7, dtype=np.int32), np.array([3, 4, 3, 4, 3, 4, 3])
+    begin, candidate, a, b, counts = phrases.merged(at, phrase, 4, 2)
+    assert begin.tolist() == [0, 1, 2, 3, 4, 5] and dict(zip(zip(a.tolist(), b.tolist()), counts.tolist())) == {(3, 4): 1, (4, 3): 2}
+    assert [v.tolist() for v in phrases.merged(at[:0], phrase[:0], 0, 2)] == [[]] * 5
 
 
 def test_scores_beyond_64_bits(spark):

@@ -1,26 +1,26 @@
 """Collocations by relational mining: occurrences of phrases as sorted relations.
 
-A relation of level k has a row `at, id` for every occurrence of a frequent phrase of k words: where it begins
-and which phrase it is. Positions are numbered through all texts, and a separator of pieces or documents takes one of its
-own, so that two rows belong together exactly if one begins a position after the other. A level is joined
-with itself on adjacent positions, the pairs are counted, the pairs of frequent phrases are kept by a semi-join
-and stored in order: these are the occurrences of the next level. Two overlapping phrases of k words are one of k + 1.
-
-The words of all texts in reading order are the first relation as it is; its pairs are read off the texts, and the frequent
-words among them are joined to their numbers. Nothing is sampled or capped: a phrase counts wherever it is.
-Joins to frequent words and phrases are plain joins to unique keys, which Spark broadcasts within its own limit and
-otherwise splits where a phrase is very common; counts are added up by task before they are shuffled.
+The texts of a language are taken apart into chunks of some million tokens. The relation of level k
+holds, chunk by chunk and sorted by position, where each frequent phrase of k words begins. A separator of pieces or
+documents takes a position of its own, so that two occurrences belong together exactly if one begins a position
+after the other. A level is merged with itself on adjacent positions, which gives the candidates of the next (two
+overlapping phrases of k words are one of k + 1), stored in order. Their groups are counted: per chunk first, then
+over all. The frequent groups go back to the chunks that hold them, and the semi-join there leaves
+the next level.
+
+Nothing is sampled or capped. What is shuffled are the groups of each chunk, so a very common phrase is one row
+per chunk, and a chunk's occurrences, whole, to the groups that it holds. A text longer than a chunk goes on in
+the next one, which begins with the words before it; what lies in these alone was counted before.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -36,12 +36,12 @@ FEWEST = 100
 LONGEST = 5
 TOP = 2000
 
-# Characters of a text that are taken apart at once, tokens handed on at once, distinct words held by a task.
+# Characters of a text that are taken apart at once; tokens after which a chunk ends; tokens that a task holds.
 TEXT_AT_ONCE = 1 << 20
-TOKENS_AT_ONCE = 200_000
-HELD_WORDS = 200_000
-# A task numbers its positions from its own multiple of this on.
-POSITION_BITS = 40
+TOKENS_AT_ONCE = 1 << 20
+TOKENS_HELD = 1 << 21
+# Chunks of a task, and candidates of a chunk, are numbered in so many bits.
+NUMBER_BITS = 21
 
 
 # --- tokens ---
@@ -59,79 +59,180 @@ def tokens_of(text: str) -> Iterator[list[str]]:
         start = end
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[str], list[int], list[str]]]:
-    """(languages, how many tokens each has, tokens) of consecutive texts; a separator ends a text."""
-    langs: list[str] = []
-    sizes: list[int] = []
-    tokens: list[str] = []
-    for batch in batches:
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            for part in tokens_of(text):
-                langs.append(lang)
-                sizes.append(len(part))
-                tokens += part
-                if len(tokens) >= TOKENS_AT_ONCE:
-                    yield langs, sizes, tokens
-                    # the last one goes on, as the next may be beside it
-                    langs, sizes, tokens = [lang], [1], tokens[-1:]
-            langs.append(lang)
-            sizes.append(1)
-            tokens.append("\n")
-    yield langs, sizes, tokens
-
-
-def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
-    return docs.select(
+class Chunk:
+    """Consecutive tokens of one language as places of their words; -1 is a separator.
+
+    The first `seen` tokens are the end of the chunk before, where a text goes on.
+    """
+
+    def __init__(self, before: list[str] = ()) -> None:
+        self.words: list[str] = []
+        self.places = dict.fromkeys(SEPARATORS, -1)
+        self.tokens = array("i")
+        self.add(before)
+        self.seen = len(before)
+
+    def add(self, tokens: list[str]) -> None:
+        places, words = self.places, self.words
+        for token in tokens:
+            place = places.get(token)
+            if place is None:
+                place = places[token] = len(words)
+                words.append(token)
+            self.tokens.append(place)
+
+    def last(self, count: int) -> list[str]:
+        return [SEPARATORS[0] if p < 0 else self.words[p] for p in self.tokens[-count:]]
+
+    def counts(self) -> np.ndarray:
+        """How often each word is new here."""
+        new = np.frombuffer(self.tokens, np.int32)[self.seen :]
+        return np.bincount(new[new >= 0], minlength=len(self.words))
+
+
+def chunks_of(texts: Iterator[tuple[str, str]], overlap: int) -> Iterator[tuple[str, Chunk]]:
+    """The texts (language, text) cut into chunks. A text ends in a separator, or goes on in the next chunk after `overlap` tokens."""
+    held: dict[str, Chunk] = {}
+    size = 0
+    for lang, text in texts:
+        for part in tokens_of(text):
+            if lang not in held:
+                held[lang] = Chunk()
+            held[lang].add(part)
+            size += len(part)
+            full = [lang] if len(held[lang].tokens) >= TOKENS_AT_ONCE else list(held) if size >= TOKENS_HELD else []
+            for name in full:
+                chunk = held.pop(name)
+                size -= len(chunk.tokens)
+                yield name, chunk
+                if name == lang:
+                    rest = Chunk(chunk.last(overlap))
+            if full:
+                held[lang] = rest
+                size += len(rest.tokens)
+        if lang in held:
+            held[lang].add(SEPARATORS[:1])
+            size += 1
+    yield from held.items()
+
+
+def token_chunks(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int = LONGEST) -> DataFrame:
+    """`chunk, lang, seen, words, counts, tokens`: the distinct words of a chunk, how often each is new in it, and all tokens."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << NUMBER_BITS
+        texts = (pair for b in batches for pair in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()))
+        for number, (name, chunk) in enumerate(chunks_of(texts, longest - 1)):
+            columns = [[first + number], [name], [chunk.seen], [chunk.words], [chunk.counts()], [chunk.tokens.tobytes()]]
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "lang", "seen", "words", "counts", "tokens"]
+            )
+
+    texts = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANG)).alias("lang"), F.coalesce(text, F.lit("")).alias("text")
     )
+    return map_batches(texts, cut, "chunk bigint, lang string, seen int, words array<string>, counts array<bigint>, tokens binary")
 
 
-def word_counts(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """`lang, word, f`: how often each word occurs, and in the row without a word how many there are."""
+# --- levels ---
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = defaultdict(Counter)
 
-        def out() -> pa.RecordBatch:
-            rows: list[tuple[str, str | None, int]] = []
-            for name, words in held.items():
-                found = [(name, w, n) for w, n in words.items() if w not in SEPARATORS]
-                rows += [*found, (name, None, sum(n for _, _, n in found))]
-            columns = zip(*rows) if rows else [[]] * 3
-            kinds = (pa.string(), pa.string(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["lang", "word", "f"])
+def merged(at: np.ndarray, phrase: np.ndarray, seen: int, length: int) -> tuple[np.ndarray, ...]:
+    """Occurrences of `length` words from those of one word less: (at, candidate, a, b, count).
 
-        for batch in batches:
-            for name, value in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for part in tokens_of(value):
-                    held[name].update(part)
-                if sum(map(len, held.values())) >= HELD_WORDS:
-                    yield out()
-                    held.clear()
-        yield out()
+    `at` is sorted and `phrase` says what begins there. A candidate is the place of a pair in `a` and `b`;
+    it counts where it does not lie in the first `seen` tokens alone.
+    """
+    first = np.flatnonzero(at[1:] == at[:-1] + 1)
+    names, place = np.unique(phrase, return_inverse=True)
+    code = place[first].astype(np.int64) * len(names) + place[first + 1]
+    pairs, candidate = np.unique(code, return_inverse=True)
+    begin = at[first]
+    counts = np.bincount(candidate[begin > seen - length], minlength=len(pairs))
+    size = max(len(names), 1)
+    return begin, candidate, names[pairs // size], names[pairs % size], counts
 
-    return map_batches(_texts(docs, lang, text), count, "lang string, word string, f bigint").groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
+def _named(candidate: np.ndarray, kept: pa.Table, length: int) -> np.ndarray:
+    """The number of each occurrence's group of `length` words, -1 where it is not frequent."""
+    names = np.full(int(candidate.max(initial=-1)) + 2, -1, np.int64)  # the last is for separators
+    own = kept.filter(pa.array(kept.column("length").to_numpy() == length))
+    names[own.column("candidate").to_numpy()] = own.column("id").to_numpy()
+    return names[candidate]
 
-def word_pairs(docs: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
-    """`at, lang, word, next`: every pair of neighbouring words of a piece, and where it begins."""
 
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << POSITION_BITS
-        separators = pa.array(list(SEPARATORS))
-        for langs, sizes, tokens in _runs(batches):
-            words = pa.array(tokens, pa.string())
-            is_word = ~pc.is_in(words, value_set=separators).to_numpy(zero_copy_only=False)
-            first = np.flatnonzero(is_word[:-1] & is_word[1:])
-            owner = np.repeat(np.arange(len(langs)), sizes)[first]
-            columns = [pa.array(at + first), pa.array(langs, pa.string()).take(pa.array(owner)), words.take(pa.array(first)), words.take(pa.array(first + 1))]
-            yield pa.RecordBatch.from_arrays(columns, ["at", "lang", "word", "next"])
-            at += max(len(tokens) - 1, 0)
+def _next_level(at: np.ndarray, candidate: np.ndarray, kept: pa.Table, seen: int, length: int) -> tuple[np.ndarray, ...]:
+    """The candidates of one word more, from those of `length` words of which the frequent are kept."""
+    phrase = _named(candidate, kept, length)
+    frequent = phrase >= 0
+    return merged(at[frequent], phrase[frequent], seen, length + 1)
 
-    return map_batches(_texts(docs, lang, text), pair, "at bigint, lang string, word string, next string")
 
+def _word_pairs(chunks: DataFrame, kept: DataFrame) -> DataFrame:
+    """The groups of two words of every chunk: `chunk, candidate, a, b, count`."""
 
-# --- levels ---
+    def merge(left: pa.Table, right: pa.Table) -> pa.Table:
+        tokens = np.frombuffer(left.column("tokens")[0].as_buffer(), np.int32)
+        _, _, a, b, counts = _next_level(np.arange(len(tokens)), tokens, right, left.column("seen")[0].as_py(), 1)
+        chunk = np.full(len(a), left.column("chunk")[0].as_py(), np.int64)
+        columns = [chunk, np.arange(len(a), dtype=np.int32), a, b, counts]
+        return pa.Table.from_arrays([pa.array(c) for c in columns], ["chunk", "candidate", "a", "b", "count"])
+
+    left = chunks.select("chunk", "seen", "tokens").groupBy("chunk")
+    return left.cogroup(kept.groupBy("chunk")).applyInArrow(merge, "chunk bigint, candidate int, a bigint, b bigint, count bigint")
+
+
+def _occurrences(relation: DataFrame, kept: DataFrame, length: int) -> DataFrame:
+    """The candidates of `length` words by chunk: `chunk, seen, at, candidate` and their groups `a, b, counts`.
+
+    `kept` has the frequent groups of the level before in each chunk. For three words the relation is the tokens, and `kept`
+    those of both levels before. `at` is a bit for every position, as candidates are sorted by it.
+    """
+
+    def merge(left: pa.Table, right: pa.Table) -> pa.Table:
+        seen = left.column("seen")[0].as_py()
+        candidate = np.frombuffer(left.column("candidate")[0].as_buffer(), np.int32)
+        if length == 3:
+            at, candidate, *_ = _next_level(np.arange(len(candidate)), candidate, right, seen, 1)
+        else:
+            at = np.flatnonzero(np.unpackbits(np.frombuffer(left.column("at")[0].as_buffer(), np.uint8)))
+        begin, found, a, b, counts = _next_level(at, candidate, right, seen, length - 1)
+        places = np.zeros(int(begin.max(initial=-1)) + 1, bool)
+        places[begin] = True
+        binary = [pa.array([v.tobytes()], pa.binary()) for v in (np.packbits(places), found.astype(np.int32))]
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, pa.int64())) for v in (a, b, counts)]
+        keys = [pa.array([left.column(c)[0].as_py()], k) for c, k in (("chunk", pa.int64()), ("seen", pa.int32()))]
+        return pa.Table.from_arrays([*keys, *binary, *lists], ["chunk", "seen", "at", "candidate", "a", "b", "counts"])
+
+    schema = "chunk bigint, seen int, at binary, candidate binary, a array<bigint>, b array<bigint>, counts array<bigint>"
+    left = relation.select("chunk", "seen", "at", "candidate").groupBy("chunk")
+    return left.cogroup(kept.groupBy("chunk")).applyInArrow(merge, schema)
+
+
+def _frequent(groups: DataFrame, by: list[str], fewest: int) -> DataFrame:
+    """The rows of frequent groups, one for each chunk, with the group's count `f` and its number `id`.
+
+    The number is the chunk and candidate of the group's first row; `first` marks that row.
+    """
+    here = F.shiftleft("chunk", NUMBER_BITS).bitwiseOR(F.col("candidate").cast("bigint"))
+    group = Window.partitionBy(*by)
+    counted = groups.withColumns({"here": here, "f": F.sum("count").over(group)})
+    named = counted.filter(F.col("f") >= fewest).withColumn("id", F.min("here").over(group))
+    first = F.col("here") == F.col("id")
+    # one row of a group says what it is
+    return named.select("chunk", "candidate", "id", first.alias("first"), *[F.when(first, F.col(c)).alias(c) for c in (*by, "f")])
+
+
+def _marks(kept: DataFrame, length: int) -> DataFrame:
+    return kept.select("chunk", "candidate", "id", F.lit(length).alias("length"))
+
+
+def _settled(df: DataFrame, label: str) -> DataFrame:
+    """The stored frame. Its shuffles are not read again, and Spark deletes their files when the driver forgets them."""
+    stored = stage(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return stored
 
 
 def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", *, fewest: int = FEWEST, longest: int = LONGEST) -> DataFrame:
@@ -139,33 +240,31 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", *,
 
     `lang, words, f, n, prefixes, suffixes, covered`: its words; how often it occurs; the words of the language; how often
     its first 1, 2, … words occur and its last 1, 2, … words; whether a longer phrase holds it at every occurrence.
-    A NULL language is `und`, a NULL text is empty.
+    A NULL language is `und`, a NULL text is empty; other columns do not matter.
     """
-    counted = word_counts(docs, lang, text).filter(F.col("word").isNull() | (F.col("f") >= fewest))
-    words = stage(counted.withColumn("id", F.monotonically_increasing_id()), "words")
-    totals = words.filter("word IS NULL").select("lang", F.col("f").alias("n"))
-    frequent = words.filter("word IS NOT NULL")
+    chunks = _settled(token_chunks(docs, lang, text, longest), "chunks")
+    add = lambda total, count: total + count
+    totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), add)).alias("n"))
+    groups = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("candidate", "group"))
+    groups = groups.select("chunk", "candidate", "lang", F.col("group.words").alias("word"), F.col("group.counts").alias("count"))
+    kept = _settled(_frequent(groups, ["lang", "word"], fewest), "frequent")
     none = F.array().cast("array<bigint>")
-    phrases = frequent.select("lang", "id", F.array("word").alias("words"), "f", none.alias("prefixes"), none.alias("suffixes"))
+    phrases = kept.filter("first").select("lang", "id", F.array("word").alias("words"), "f", none.alias("prefixes"), none.alias("suffixes"))
+    words = _marks(kept, 1)
 
     found: list[DataFrame] = []
-    occurrences: DataFrame | None = None
+    relation = chunks.select("chunk", "seen", F.lit(None).cast("binary").alias("at"), F.col("tokens").alias("candidate"))
     for length in range(2, longest + 1):
-        if occurrences is None:
-            starts = frequent.select("lang", "word", F.col("id").alias("a"))
-            ends = frequent.select("lang", F.col("word").alias("next"), F.col("id").alias("b"))
-            pairs = word_pairs(docs, lang, text).join(starts, ["lang", "word"]).join(ends, ["lang", "next"]).select("at", "a", "b")
+        if length == 2:
+            groups = _word_pairs(chunks, words)
         else:
-            after = occurrences.select((F.col("at") - 1).alias("at"), F.col("id").alias("b"))
-            pairs = stage(occurrences.select("at", F.col("id").alias("a")).join(after, "at"), "pairs")
-        # a phrase is known by its first position, of which no other phrase of the length begins at
-        counts = pairs.groupBy("a", "b").agg(F.count("*").alias("f"), F.min("at").alias("id")).filter(F.col("f") >= fewest)
-        counts = stage(counts, "counts")
-        phrases = stage(_grown(counts, phrases), "phrases")
+            marks = _marks(kept, length - 1)
+            relation = _settled(_occurrences(relation, words.unionByName(marks) if length == 3 else marks, length), "occurrences")
+            groups = relation.select("chunk", F.posexplode(F.arrays_zip("a", "b", "counts")).alias("candidate", "group"))
+            groups = groups.select("chunk", "candidate", "group.a", "group.b", F.col("group.counts").alias("count"))
+        kept = _settled(_frequent(groups, ["a", "b"], fewest), "frequent")
+        phrases = stage(_grown(kept.filter("first").select("id", "a", "b", "f"), phrases), "phrases")
         found.append(phrases)
-        if length < longest:
-            kept = pairs.join(counts.select("a", "b", "id"), ["a", "b"]).select("at", "id")
-            occurrences = stage(kept.sortWithinPartitions("at"), "occurrences")
 
     result = None
     for phrases, longer in zip(found, [*found[1:], None]):
