@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tradeloom.llm.common import map_batches, stage, table
@@ -42,6 +42,8 @@ TOKENS_AT_ONCE = 1 << 20
 TOKENS_HELD = 1 << 21
 # Chunks of a task, and candidates of a chunk, are numbered in so many bits.
 NUMBER_BITS = 21
+# Levels that are told apart in one pass.
+_LEVELS = 2
 
 
 # --- tokens ---
@@ -157,8 +159,9 @@ def merged(at: np.ndarray, phrase: np.ndarray, seen: int, length: int) -> tuple[
 def _named(candidate: np.ndarray, kept: pa.Table, length: int) -> np.ndarray:
     """The number of each occurrence's group of `length` words, -1 where it is not frequent."""
     names = np.full(int(candidate.max(initial=-1)) + 2, -1, np.int64)  # the last is for separators
-    own = kept.filter(pa.array(kept.column("length").to_numpy() == length))
-    names[own.column("candidate").to_numpy()] = own.column("id").to_numpy()
+    mark, number = kept.column("mark").to_numpy(), kept.column("id").to_numpy()
+    own = mark % _LEVELS == length % _LEVELS
+    names[mark[own] // _LEVELS] = number[own]
     return names[candidate]
 
 
@@ -170,17 +173,16 @@ def _next_level(at: np.ndarray, candidate: np.ndarray, kept: pa.Table, seen: int
 
 
 def _word_pairs(chunks: DataFrame, kept: DataFrame) -> DataFrame:
-    """The groups of two words of every chunk: `chunk, candidate, a, b, count`."""
+    """The groups of two words of every chunk: `here, a, b, count`."""
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         tokens = np.frombuffer(left.column("tokens")[0].as_buffer(), np.int32)
         _, _, a, b, counts = _next_level(np.arange(len(tokens)), tokens, right, left.column("seen")[0].as_py(), 1)
-        chunk = np.full(len(a), left.column("chunk")[0].as_py(), np.int64)
-        columns = [chunk, np.arange(len(a), dtype=np.int32), a, b, counts]
-        return pa.Table.from_arrays([pa.array(c) for c in columns], ["chunk", "candidate", "a", "b", "count"])
+        here = (left.column("chunk")[0].as_py() << NUMBER_BITS) + np.arange(len(a))
+        return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (here, a, b, counts)], ["here", "a", "b", "count"])
 
     left = chunks.select("chunk", "seen", "tokens").groupBy("chunk")
-    return left.cogroup(kept.groupBy("chunk")).applyInArrow(merge, "chunk bigint, candidate int, a bigint, b bigint, count bigint")
+    return left.cogroup(kept.groupBy("chunk")).applyInArrow(merge, "here bigint, a bigint, b bigint, count bigint")
 
 
 def _occurrences(relation: DataFrame, kept: DataFrame, length: int) -> DataFrame:
@@ -210,22 +212,27 @@ def _occurrences(relation: DataFrame, kept: DataFrame, length: int) -> DataFrame
     return left.cogroup(kept.groupBy("chunk")).applyInArrow(merge, schema)
 
 
+def _here(group: str) -> Column:
+    """Chunk and candidate as one number."""
+    return F.shiftleft("chunk", NUMBER_BITS).bitwiseOR(F.col(group).cast("bigint")).alias("here")
+
+
 def _frequent(groups: DataFrame, by: list[str], fewest: int) -> DataFrame:
-    """The rows of frequent groups, one for each chunk, with the group's count `f` and its number `id`.
+    """The rows of frequent groups, one for each chunk, with the group's number `id`, that of its first row.
 
-    The number is the chunk and candidate of the group's first row; `first` marks that row.
+    That row, where `here` is `id`, says what the group is and how often it occurs, `f`.
     """
-    here = F.shiftleft("chunk", NUMBER_BITS).bitwiseOR(F.col("candidate").cast("bigint"))
     group = Window.partitionBy(*by)
-    counted = groups.withColumns({"here": here, "f": F.sum("count").over(group)})
-    named = counted.filter(F.col("f") >= fewest).withColumn("id", F.min("here").over(group))
-    first = F.col("here") == F.col("id")
-    # one row of a group says what it is
-    return named.select("chunk", "candidate", "id", first.alias("first"), *[F.when(first, F.col(c)).alias(c) for c in (*by, "f")])
+    counted = groups.withColumn("f", F.sum("count").over(group)).filter(F.col("f") >= fewest)
+    named = counted.withColumn("id", F.min("here").over(group))
+    return named.select("here", "id", *[F.when(F.col("here") == F.col("id"), F.col(c)).alias(c) for c in (*by, "f")])
 
 
 def _marks(kept: DataFrame, length: int) -> DataFrame:
-    return kept.select("chunk", "candidate", "id", F.lit(length).alias("length"))
+    """`chunk, mark, id` of frequent groups; the mark is the candidate, and the level beside it."""
+    candidate = F.col("here").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1).cast("bigint"))
+    mark = (candidate * _LEVELS + length % _LEVELS).cast("int")
+    return kept.select(F.shiftright("here", NUMBER_BITS).alias("chunk"), mark.alias("mark"), "id")
 
 
 def _settled(df: DataFrame, label: str) -> DataFrame:
@@ -246,10 +253,10 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", *,
     add = lambda total, count: total + count
     totals = chunks.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("bigint"), add)).alias("n"))
     groups = chunks.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("candidate", "group"))
-    groups = groups.select("chunk", "candidate", "lang", F.col("group.words").alias("word"), F.col("group.counts").alias("count"))
+    groups = groups.select(_here("candidate"), "lang", F.col("group.words").alias("word"), F.col("group.counts").alias("count"))
     kept = _settled(_frequent(groups, ["lang", "word"], fewest), "frequent")
     none = F.array().cast("array<bigint>")
-    phrases = kept.filter("first").select("lang", "id", F.array("word").alias("words"), "f", none.alias("prefixes"), none.alias("suffixes"))
+    phrases = kept.filter("f IS NOT NULL").select("lang", "id", F.array("word").alias("words"), "f", none.alias("prefixes"), none.alias("suffixes"))
     words = _marks(kept, 1)
 
     found: list[DataFrame] = []
@@ -261,9 +268,9 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", *,
             marks = _marks(kept, length - 1)
             relation = _settled(_occurrences(relation, words.unionByName(marks) if length == 3 else marks, length), "occurrences")
             groups = relation.select("chunk", F.posexplode(F.arrays_zip("a", "b", "counts")).alias("candidate", "group"))
-            groups = groups.select("chunk", "candidate", "group.a", "group.b", F.col("group.counts").alias("count"))
+            groups = groups.select(_here("candidate"), "group.a", "group.b", F.col("group.counts").alias("count"))
         kept = _settled(_frequent(groups, ["a", "b"], fewest), "frequent")
-        phrases = stage(_grown(kept.filter("first").select("id", "a", "b", "f"), phrases), "phrases")
+        phrases = stage(_grown(kept.filter("f IS NOT NULL").select("id", "a", "b", "f"), phrases), "phrases")
         found.append(phrases)
 
     result = None
