@@ -1,13 +1,15 @@
 import time
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tradeloom.operators.merge import duplicate_keys, last_watermark, rows_after, upsert
 from tradeloom.operators.quality import deduplicate_latest
-from tradeloom.sources import jdbc
+from tradeloom.plans import bronze
+from tradeloom.sources import footers, jdbc
 from tradeloom.sources.layers import (
     export_snapshot,
     read_layer,
@@ -18,6 +20,8 @@ from tradeloom.sources.layers import (
     write_table,
     write_upsert,
 )
+from tradeloom.sources.ledger import Batch, Ledger
+from tradeloom.sources.versions import LayerVersion
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 TABLE = st.dictionaries(st.integers(0, 9), st.integers(0, 99), max_size=8)
@@ -209,3 +213,98 @@ def test_times_are_those_of_the_session_and_not_of_the_process(spark, rows, tmp_
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_connections_follow_the_rows():
+    assert jdbc.bounds_query("erp.T", "ID") == "SELECT MIN(ID) AS lowest, MAX(ID) AS highest, COUNT(*) AS row_count FROM erp.T"
+    after = jdbc.bounds_query("erp.T", "ID", "UpdatedAt", datetime(2024, 1, 2, 3, 4, 5, 678))
+    assert after.endswith(" FROM erp.T WHERE UpdatedAt >= '2024-01-02T03:04:05'")
+    assert jdbc.bounds_query("erp.T", "ID", "UpdatedAt", None) == jdbc.bounds_query("erp.T", "ID")
+    assert jdbc.derive_split("id", None, None, 0) is None and jdbc.derive_split("id", 5, 5, 9_000_000) is None
+    assert jdbc.derive_split("id", 1, 900_000, 1_000_000) is None
+    split = jdbc.derive_split("id", 1, 4_000_000, 3_500_001)
+    assert split.reader_options() == {"partitionColumn": "id", "lowerBound": "1", "upperBound": "4000001", "numPartitions": "4"}
+    assert jdbc.derive_split("id", -10, 10**12, 10**10).parts == jdbc.MOST_PARTS
+    assert jdbc.derive_split("id", 1, 3, 10**7).parts == 3
+
+
+@pytest.mark.parametrize("mark", [None, datetime(2024, 1, 2)])
+def test_an_extract_divides_tables_with_a_key(spark, monkeypatch, mark):
+    asked, read = [], []
+    split = jdbc.Split("ProductID", "1", "9", 2)
+    monkeypatch.setattr(bronze, "find_split", lambda *a: asked.append(a[2:]) or split)
+    monkeypatch.setattr(bronze, "read_incremental", lambda *a: read.append(a[2:]))
+    tables = {t.source: t for t in bronze.SOURCE_TABLES}
+    extract = bronze.database_extract(spark, jdbc.Database("jdbc:x"), {"erp.Customers": jdbc.Split("CustomerID", "0", "1", 7)})
+    for source in ("erp.Products", "erp.Regions", "erp.Customers"):
+        extract(tables[source], mark)
+    assert asked == [("erp.Products", "ProductID", "UpdatedAt", mark)]
+    assert [(r[0], r[3] and r[3].parts) for r in read] == [("erp.Products", 2), ("erp.Regions", None), ("erp.Customers", 7)]
+
+
+def test_footers_answer_counts_and_bounds(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.sql("SELECT id, date_add(DATE '2031-01-01', cast(id % 50 AS int)) AS d, cast(id AS string) AS s, cast(id AS decimal(9, 2)) AS m FROM range(1000)").write.parquet(path)
+    for column, bounds in (("id", (0, 999, 1000)), ("d", (date(2031, 1, 1), date(2031, 2, 19), 1000)), ("m", (0, 999, 1000))):
+        assert footers.stored_bounds(spark, path, column) == bounds
+        found = footers.bounds(footers.read_footers(spark, path), column)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert footers.has_bounds(spark.read.parquet(path), column) == ("PushedAggregation: [MIN(" in plan) == (column != "m")
+    marked = last_watermark(footers.read_footers(spark, path), "d")
+    assert marked.first()[0] == date(2031, 2, 19)
+    counted = footers.read_footers(spark, path).agg(F.count("*"))
+    assert "PushedAggregation: [COUNT(*)]" in counted._jdf.queryExecution().executedPlan().toString()
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session is as it was
+    spark.range(0).selectExpr("id").write.parquet(f"{path}/none")
+    assert footers.stored_bounds(spark, f"{path}/none", "id") == (None, None, 0)
+    version = LayerVersion(str(tmp_path), "gold")
+    spark.range(7).write.parquet(version.path("t7"))
+    assert footers.stored_counts(spark, version, ["t7"]) == {"t7": 7}
+
+
+class Died(Exception):
+    """Stands for a lost driver."""
+
+
+def test_a_batch_that_died_after_the_upsert_is_repeated_unchanged(spark, tmp_path, monkeypatch):
+    root, table = str(tmp_path), next(t for t in bronze.SOURCE_TABLES if t.source == "erp.Products")
+    source = {1: "2031-01-01 00:00:01", 2: "2031-01-01 00:00:05.5"}
+    marks = []
+
+    def extract(_, mark):
+        marks.append(mark)
+        rows = [(k, "n", "c", t) for k, t in source.items()]
+        df = spark.createDataFrame(rows, "ProductID int, ProductName string, CategoryName string, t string")
+        return rows_after(df.select("ProductID", "ProductName", "CategoryName", F.to_timestamp("t").alias("UpdatedAt")), "UpdatedAt", mark)
+
+    def ingest(batch):
+        return bronze.ingest_table(spark, table, extract, root, batch, "erp")
+
+    ledger = Ledger(spark, root, table.bronze)
+    assert ingest("b1") == 2 and ledger.last() == Batch("b1", "incremental", 2, datetime(2031, 1, 1, 0, 0, 5))
+    source[2], source[3] = "2031-01-01 00:00:07", "2031-01-01 00:00:09"
+
+    def dies(*_):
+        raise Died
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Ledger, "add", dies)
+        with pytest.raises(Died):
+            ingest("b/2")
+    stored = read_layer(spark, root, "bronze", table.bronze)
+    assert stored.count() == 3 and ledger.last().batch_id == "b1"  # the upsert had happened
+    assert ingest("b/2") == 2 and marks[-1] == marks[-2] == datetime(2031, 1, 1, 0, 0, 5)
+    after = ledger.last()
+    assert after == Batch("b/2", "incremental", 2, datetime(2031, 1, 1, 0, 0, 9)) and ledger.find("b/2") == after
+    assert read_layer(spark, root, "bronze", table.bronze).count() == 3
+    # a finished batch is recognised and asks the source nothing; one without rows keeps the mark
+    assert ingest("b/2") == 2 and len(marks) == 3
+    assert ingest("b3") == 0 and ledger.last() == Batch("b3", "incremental", 0, datetime(2031, 1, 1, 0, 0, 9))
+    full = next(t for t in bronze.SOURCE_TABLES if t.source == "erp.Regions")
+
+    def regions(n):
+        return spark.range(n).selectExpr("id AS RegionID", "'r' AS RegionName")
+
+    assert bronze.ingest_table(spark, full, lambda *_: regions(4), root, "b1", "erp") == 4
+    assert bronze.ingest_table(spark, full, lambda *_: regions(9), root, "b1", "erp") == 4
+    assert read_layer(spark, root, "bronze", full.bronze).count() == 4

@@ -11,8 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom.functions.text import repair_encoding
 from tradeloom.operators.schema import add_control_columns, repair_text_columns
 from tradeloom.session import stage
-from tradeloom.sources.jdbc import Database, Split, read_incremental
-from tradeloom.sources.layers import stored_watermark, table_path, write_table, write_upsert
+from tradeloom.sources.jdbc import Database, Split, find_split, read_incremental
+from tradeloom.sources.layers import (
+    stored_watermark,
+    table_or_none,
+    table_path,
+    watermark_of,
+    write_table,
+    write_upsert,
+)
+from tradeloom.sources.ledger import Batch, Ledger
 
 WATERMARK = "UpdatedAt"
 
@@ -76,10 +84,15 @@ Extract = Callable[[SourceTable, datetime | None], DataFrame]
 
 
 def database_extract(spark: SparkSession, database: Database, splits: Mapping[str, Split] | None = None) -> Extract:
-    """Extract through JDBC; `splits` says per source table how to divide its read."""
+    """Extract through JDBC. A table with a key is divided by it, into as many reads as its rows ask for.
+
+    `splits` says per source table how to divide it instead.
+    """
 
     def extract(table: SourceTable, mark: datetime | None) -> DataFrame:
         split = (splits or {}).get(table.source)
+        if split is None and table.key:
+            split = find_split(spark, database, table.source, table.key, WATERMARK, mark)
         return read_incremental(spark, database, table.source, WATERMARK, mark, split)
 
     return extract
@@ -88,17 +101,41 @@ def database_extract(spark: SparkSession, database: Database, splits: Mapping[st
 def ingest_table(
     spark: SparkSession, table: SourceTable, extract: Extract, root: str, batch_id: str, source_system: str
 ) -> int:
-    """Load one table, its texts repaired, and return the number of rows taken from the source."""
+    """Load one table, its texts repaired, and return the number of rows taken from the source.
+
+    A batch may be repeated: one that was finished is recognised and changes nothing, one that died
+    halfway starts from the same mark again.
+    """
     path = table_path(root, "bronze", table.bronze)
-    mark = stored_watermark(spark, path, WATERMARK) if table.key else None
+    ledger = Ledger(spark, root, table.bronze)
+    finished = ledger.find(batch_id)
+    if finished:
+        return finished.rows
+    mark = _mark(spark, path, ledger) if table.key else None
     rows = add_control_columns(repaired_rows(extract(table, mark), table.source), source_system, table.source, batch_id, table.load_type)
     if not table.key:
-        return write_table(rows, path)
+        ledger.add(Batch(batch_id, table.load_type, loaded := write_table(rows, path)))
+        return loaded
     # the source is asked once; the checks and the merge read the copy
     fresh = stage(rows, table.bronze)
     if fresh.isEmpty():
+        ledger.add(Batch(batch_id, table.load_type, 0, mark))
         return 0
-    return write_upsert(spark, fresh, path, table.key)
+    loaded = write_upsert(spark, fresh, path, table.key)
+    marks = [m for m in (mark, watermark_of(fresh, WATERMARK)) if m is not None]
+    ledger.add(Batch(batch_id, table.load_type, loaded, max(marks, default=None)))
+    return loaded
+
+
+def _mark(spark: SparkSession, path: str, ledger: Ledger) -> datetime | None:
+    """Where the next batch continues: as the ledger says, or the table where it says nothing.
+
+    A table that is gone is loaded from the start.
+    """
+    last = ledger.last()
+    if last is None:
+        return stored_watermark(spark, path, WATERMARK)
+    return last.mark if table_or_none(spark, path) is not None else None
 
 
 def ingest_all(

@@ -45,6 +45,39 @@ class Split:
         }
 
 
+# Rows that one connection reads, and connections at most: a database serves only so many.
+ROWS_PER_PART = 1_000_000
+MOST_PARTS = 32
+
+
+def bounds_query(table: str, column: str, changed: str | None = None, mark: datetime | None = None) -> str:
+    """The query for the lowest and highest value of a column and the number of rows, after the mark if there is one."""
+    query = f"SELECT MIN({column}) AS lowest, MAX({column}) AS highest, COUNT(*) AS row_count FROM {table}"
+    if changed and mark:
+        query += f" WHERE {changed} >= '{mark.replace(microsecond=0).isoformat()}'"
+    return query
+
+
+def derive_split(
+    column: str, lowest: int | None, highest: int | None, rows: int, rows_per_part: int = ROWS_PER_PART, most: int = MOST_PARTS
+) -> Split | None:
+    """Connections in proportion to the rows, none of them for less than one id; None where one connection is enough."""
+    if lowest is None or highest is None:
+        return None
+    parts = min(most, -(-rows // rows_per_part), int(highest) - int(lowest) + 1)
+    # Spark's upper bound is exclusive; rows outside the bounds are read all the same
+    return Split(column, str(int(lowest)), str(int(highest) + 1), parts) if parts > 1 else None
+
+
+def find_split(
+    spark: SparkSession, database: Database, table: str, key: str, changed: str | None = None, mark: datetime | None = None
+) -> Split | None:
+    """How to divide a read by an integer key, from one small query to the database."""
+    options = {**database.reader_options(), "query": bounds_query(table, key, changed, mark)}
+    found = spark.read.format("jdbc").options(**options).load().first()
+    return derive_split(key, found[0], found[1], int(found[2]))
+
+
 def read_table(
     spark: SparkSession, database: Database, table: str, split: Split | None = None, fetch_size: int = 10_000
 ) -> DataFrame:

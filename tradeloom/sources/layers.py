@@ -81,14 +81,14 @@ def write_table(df: DataFrame, path: str, files: int | None = None, partition_by
 
 
 def stored_watermark(spark: SparkSession, path: str, column: str) -> datetime | None:
-    """Where the next incremental load continues; None for a table that is absent or empty.
-
-    The time is taken as text, in the session's zone rather than that of the Python process.
-    """
+    """The highest time that a stored table holds, in whole seconds; None for a table that is absent or empty."""
     stored = table_or_none(spark, path)
-    if stored is None:
-        return None
-    text = last_watermark(stored, column).select(F.col("last_watermark").cast("string")).first()[0]
+    return None if stored is None else watermark_of(stored, column)
+
+
+def watermark_of(df: DataFrame, column: str) -> datetime | None:
+    """The highest time of a frame in whole seconds, taken as text, in the session's zone rather than that of the Python process."""
+    text = last_watermark(df, column).select(F.col("last_watermark").cast("string")).first()[0]
     return datetime.fromisoformat(text) if text else None
 
 
