@@ -114,7 +114,7 @@ SUBQUERIES = {
     "targets": """SELECT salesperson_id * 100 + (m - 24007) AS target_id, salesperson_id, region_id,
         CAST((m - 1) // 12 AS INTEGER) AS target_year, CAST((m - 1) % 12 + 1 AS INTEGER) AS target_month,
         CAST(15000 + (salesperson_id * 37 + ((m - 1) % 12 + 1) * 101) % 10000 AS DECIMAL(14,2)) AS target_value
-        FROM (SELECT *, unnest(generate_series(24007, 24018)) AS m FROM salespersons WHERE is_active)""",
+        FROM (SELECT *, unnest(generate_series(24007, 24018)) AS m FROM salespersons)""",
     # --- source tables ---
     "b_regions": f"""SELECT region_id AS RegionID, CASE WHEN region_id <> 4 THEN region_code END AS RegionCode,
         concat(region_name, CASE WHEN version = 1 THEN ' v1' ELSE '' END) AS RegionName, state AS State,

@@ -194,10 +194,10 @@ class Tables:
 
     @cached_property
     def targets(self) -> DataFrame:
-        """Twelve months of targets for the active salespersons."""
+        """Twelve months of targets for every salesperson."""
         months = F.explode(F.sequence(F.lit(FIRST_TARGET_MONTH), F.lit(LAST_TARGET_MONTH)))
         return (
-            self.salespersons.filter("is_active")
+            self.salespersons
             .select("salesperson_id", "region_id", months.alias("m"))
             .selectExpr(
                 f"salesperson_id * 100 + (m - {FIRST_TARGET_MONTH}) AS target_id",
