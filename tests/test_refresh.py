@@ -108,6 +108,15 @@ def test_a_failing_check_leaves_the_old_layer(spark, lake, monkeypatch):
     assert prints(spark, lake["root"], "diamond") == before
 
 
+def test_a_lost_row_fails_the_refresh_of_gold(spark, lake, monkeypatch):
+    before = current_version(spark, lake["root"], "gold")
+    whole = refresh.gold.dim_region
+    monkeypatch.setattr(refresh.gold, "dim_region", lambda *a: whole(*a).limit(1))
+    with pytest.raises(refresh.CheckFailed, match="row counts.*dim_region"):
+        refresh.refresh_gold(spark, lake["root"])
+    assert current_version(spark, lake["root"], "gold") == before
+
+
 class Stopped(Exception):
     """Stands for a lost driver."""
 

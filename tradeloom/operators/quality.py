@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tradeloom.functions.dates import moment
 from tradeloom.operators.joins import existence_flag
 
+# The columns that hold a row's reasons, while it is checked and in quarantine.
 REASONS = "_rejection_reasons"
 REASON_TEXT = "rejection_reason"
 

@@ -18,6 +18,7 @@ from tradeloom.session import stage
 ISSUED = "issued"
 # Fixed value: the largest difference between two totals that still counts as equal.
 TOLERANCE = 0.01
+# Fixed values, here and in the tables below: the columns of every executive table, their names and their order.
 MONTHS = ["year_month", "year", "month", "month_name"]
 # The order in which each executive table is read.
 READ_ORDER = {

@@ -13,6 +13,7 @@ from tradeloom.operators.joins import lookup_join
 from tradeloom.operators.ranking import surrogate_key
 
 # --- dimensions ---
+# The columns of every table, their names and their order.
 
 
 def dim_region(regions: DataFrame) -> DataFrame:
@@ -337,6 +338,7 @@ def _invoice_attributes(
 
 # --- checks of the star schema ---
 
+# The dimension keys of each fact, any of which makes an orphan if it is missing.
 SALES_KEYS = ["customer_key", "salesperson_key", "payment_method_key", "region_key", "date_key"]
 RETURN_KEYS = ["customer_key", "product_key", *SALES_KEYS[1:]]
 TARGET_KEYS = ["salesperson_key", "region_key", "date_key"]
