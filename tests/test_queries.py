@@ -24,7 +24,11 @@ SAMPLE = [
     "join_left_dims",
     "surrogate_key",
     "global_dense_rank",
+    "dense_rank_text",
     "dense_rank_per_group",
+    "key_bounds",
+    "monthly_activity",
+    "region_year_over_year",
     "dim_date",
     "fact_sales",
     "fact_returns",

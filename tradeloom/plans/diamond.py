@@ -221,6 +221,17 @@ def commercial_kpis(base: DataFrame, fact_returns: DataFrame, fact_sales_targets
     )
 
 
+def monthly_activity(base: DataFrame) -> DataFrame:
+    """Per month and region of the salesperson: who bought, who sold, what and how often, beside the net revenue."""
+    distinct = {
+        "invoice_count": "invoice_id",
+        "active_customers": "customer_key",
+        "active_salespersons": "salesperson_key",
+        "active_products": "product_key",
+    }
+    return with_distinct_counts(_dated(base), ["year", "month", "region_key"], distinct, {"net_revenue": "net_revenue"})
+
+
 def targets_by_month(targets: DataFrame) -> DataFrame:
     return targets.groupBy(month_text("target_year", "target_month").alias("year_month")).agg(
         F.sum("target_value").alias("target_total")

@@ -61,6 +61,14 @@ def region_month_over_month(monthly: DataFrame) -> DataFrame:
     return compared.withColumn("net_revenue_growth", growth("net_revenue", "previous_net_revenue"))
 
 
+def region_year_over_year(monthly: DataFrame) -> DataFrame:
+    """Year over year within each region, beside the month before."""
+    rows = monthly.select("region_key", "region_name", "year_month", "year", "month", "net_revenue")
+    compared = with_earlier_month(rows, {"last_year_net_revenue": "net_revenue"}, YEAR, within=["region_key"])
+    compared = with_earlier_month(compared, {"previous_net_revenue": "net_revenue"}, MONTH, within=["region_key"])
+    return compared.withColumn("net_revenue_growth", growth("net_revenue", "last_year_net_revenue"))
+
+
 def attainment(target_vs_actual: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Attainment of a group: the sum of actuals over the sum of targets, never a mean of ratios."""
     sums = target_vs_actual.groupBy(*by).agg(

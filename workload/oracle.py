@@ -644,6 +644,8 @@ SELECTS = {
     "global_dense_rank": f"""SELECT *, {dense("units_sold")} AS rank_units_sold, {dense("top_price")} AS rank_top_price
         FROM (SELECT product_id, {total("quantity", 22, 2)} AS units_sold, max(unit_price) AS top_price
               FROM items GROUP BY product_id)""",
+    "dense_rank_text": f"""SELECT customer_id, customer_segment, customer_name,
+        {dense("customer_segment")} AS rank_segment, {dense("customer_name")} AS rank_name FROM customers""",
     "dense_rank_per_group": f"""SELECT *, CAST(dense_rank() OVER (PARTITION BY category_name ORDER BY units_sold DESC)
             AS INTEGER) AS rank_in_category
         FROM (SELECT product_id, category_name, {total("quantity", 22, 2)} AS units_sold
@@ -714,6 +716,29 @@ SELECTS = {
         {ratio("k.net_revenue - p.net_revenue", "p.net_revenue")} AS net_revenue_growth
         FROM monthly_sales k LEFT JOIN monthly_sales p
             ON p.region_key = k.region_key AND k.year * 12 + k.month = p.year * 12 + p.month + 1""",
+    "region_year_over_year": f"""SELECT k.region_key, k.region_name, k.year_month, k.year, k.month, k.net_revenue,
+        y.net_revenue AS last_year_net_revenue, p.net_revenue AS previous_net_revenue,
+        {ratio("k.net_revenue - y.net_revenue", "y.net_revenue")} AS net_revenue_growth
+        FROM monthly_sales k
+        LEFT JOIN monthly_sales y ON y.region_key = k.region_key AND y.year = k.year - 1 AND y.month = k.month
+        LEFT JOIN monthly_sales p
+            ON p.region_key = k.region_key AND k.year * 12 + k.month = p.year * 12 + p.month + 1""",
+    "monthly_activity": f"""SELECT year, month, region_key, {total("net_revenue", 38, 6)} AS net_revenue,
+        count(DISTINCT invoice_id) AS invoice_count, count(DISTINCT customer_key) AS active_customers,
+        count(DISTINCT salesperson_key) AS active_salespersons, count(DISTINCT product_key) AS active_products
+        FROM base LEFT JOIN dim_date USING (date_key) GROUP BY year, month, region_key""",
+    "key_bounds": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, min({key}) AS lowest, max({key}) AS highest, count(*) AS rows FROM {table}"
+        for table, key in (
+            ("customer", "c_custkey"),
+            ("documents", "doc_id"),
+            ("events", "event_id"),
+            ("lineitem", "l_orderkey"),
+            ("orders", "o_orderkey"),
+            ("part", "p_partkey"),
+            ("supplier", "s_suppkey"),
+        )
+    ),
     "attainment_weighted": f"""SELECT region_name, target_year, {total("actual_net_revenue", 38, 6)} AS actual_net_revenue,
         {total("target_value", 24, 2)} AS target_value,
         {ratio("sum(actual_net_revenue)", "sum(target_value)")} AS target_attainment

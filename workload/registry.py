@@ -29,6 +29,7 @@ from tradeloom.operators.ranking import dense_ranks, surrogate_key
 from tradeloom.operators.schema import cast_columns, drop_control_columns, fill_nulls, snake_case, standardize_columns
 from tradeloom.plans import diamond, gold, measures, reports
 from tradeloom.plans.silver import RULES, quarantine_reasons, silver_table
+from tradeloom.sources.footers import stored_bounds
 from workload.tables import Tables, as_of, with_control_columns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -279,6 +280,27 @@ def table_counts(m: Model) -> DataFrame:
     return reports.table_counts(m.bronze)
 
 
+# Every raw table with an integer key.
+KEYED_TABLES = {
+    "customer": "c_custkey",
+    "documents": "doc_id",
+    "events": "event_id",
+    "lineitem": "l_orderkey",
+    "orders": "o_orderkey",
+    "part": "p_partkey",
+    "supplier": "s_suppkey",
+}
+
+
+def _key_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bounds of the keys of the stored tables, from their footers: a row for each table."""
+    rows = [(name, *stored_bounds(spark, f"{sf_dir}/{name}.parquet", key)) for name, key in KEYED_TABLES.items()]
+    return spark.createDataFrame(rows, "table_name string, lowest bigint, highest bigint, rows bigint")
+
+
+QUERIES["key_bounds"] = _key_bounds
+
+
 @query()
 def invoices_per_month(m: Model) -> DataFrame:
     return reports.invoices_per_month(standardize_columns(m.bronze["erp_sales_invoice_header"]))
@@ -482,6 +504,13 @@ def global_dense_rank(m: Model) -> DataFrame:
     return dense_ranks(totals, ranks)
 
 
+@query()
+def dense_rank_text(m: Model) -> DataFrame:
+    """Customers by segment and by name, both of which are text: the last in order comes first."""
+    rows = m.customers.select("customer_id", "customer_segment", "customer_name")
+    return dense_ranks(rows, {"rank_segment": "customer_segment", "rank_name": "customer_name"})
+
+
 @query()
 def dense_rank_per_group(m: Model) -> DataFrame:
     sold = m.items.groupBy("product_id").agg(F.sum("quantity").alias("units_sold"))
@@ -567,7 +596,7 @@ for _name in DIAMOND:
     _gold(_name, "items", "header", "returns")
 
 
-@query("items", "header", "returns", "base")
+@query("items", "header", "base")
 def revenue_reconciliation(m: Model) -> DataFrame:
     # each table's own sums over the sales; its names, returns and ranks do not enter them
     m.base_by_region = m.base
@@ -580,6 +609,11 @@ def revenue_reconciliation(m: Model) -> DataFrame:
     return diamond.revenue_check(m.base, tables)
 
 
+@query("items", "header")
+def monthly_activity(m: Model) -> DataFrame:
+    return diamond.monthly_activity(m.base)
+
+
 @query("items", "header", "returns", "base")
 def invoice_count_check(m: Model) -> DataFrame:
     m.base_by_region = m.base
@@ -615,6 +649,11 @@ def region_month_over_month(m: Model) -> DataFrame:
     return measures.region_month_over_month(m.monthly_sales)
 
 
+@query("items", "header", "returns", "monthly_sales")
+def region_year_over_year(m: Model) -> DataFrame:
+    return measures.region_year_over_year(m.monthly_sales)
+
+
 @query("items", "header", "returns")
 def attainment_weighted(m: Model) -> DataFrame:
     return measures.attainment(m.target_vs_actual, ["region_name", "target_year"])
