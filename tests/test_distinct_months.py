@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from workload.registry import QUERIES, Model
 
 from tradeloom.operators.distinct import with_distinct_counts
-from tradeloom.plans import measures
+from tradeloom.plans import diamond, measures
 
 SF = "/root/testdata/sf0.001"
 FIXTURE = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -35,6 +35,13 @@ def test_distinct_counts_of_hot_dense_ids(spark):
         with_distinct_counts(df.selectExpr("g", "cast(a AS string) AS a"), ["g"], {"n": "a"})
 
 
+def test_invoices_are_counted_over_all_months(spark):
+    base = spark.createDataFrame([(1,), (1,), (2,), (200,), (None,)], "invoice_id bigint")
+    monthly = spark.createDataFrame([(2,), (1,)], "invoice_count bigint")
+    assert tuple(diamond.invoice_count_check(base, monthly).first()) == (3, 3, True)
+    assert tuple(diamond.invoice_count_check(base.filter("false"), monthly.filter("false")).first()) == (0, 0, True)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -342,7 +342,8 @@ def revenue_check(base: DataFrame, tables: Mapping[str, DataFrame], tolerance: f
 
 def invoice_count_check(base: DataFrame, monthly: DataFrame) -> DataFrame:
     """Distinct invoices of the base against the sum of the monthly counts."""
-    distinct = base.agg(F.count_distinct("invoice_id").alias("base_invoices"))
+    distinct = with_distinct_counts(base, [], {"base_invoices": "invoice_id"})
+    distinct = distinct.select(F.coalesce("base_invoices", F.lit(0)).alias("base_invoices"))
     summed = monthly.agg(F.coalesce(F.sum("invoice_count"), F.lit(0)).alias("monthly_invoices"))
     return distinct.withColumn("monthly_invoices", summed.scalar()).withColumn(
         "ok", F.col("base_invoices") == F.col("monthly_invoices")
