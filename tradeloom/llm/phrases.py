@@ -39,7 +39,7 @@ TOP = 2000
 # Characters of a text that are taken apart at once; tokens after which a chunk ends; tokens that a task holds.
 TEXT_AT_ONCE = 1 << 20
 TOKENS_AT_ONCE = 1 << 20
-TOKENS_HELD = 1 << 21
+TOKENS_HELD = 1 << 22
 # Chunks of a task, and candidates of a chunk, are numbered in so many bits.
 NUMBER_BITS = 21
 # Levels that are told apart in one pass.
@@ -102,16 +102,17 @@ def chunks_of(texts: Iterator[tuple[str, str]], overlap: int) -> Iterator[tuple[
                 held[lang] = Chunk()
             held[lang].add(part)
             size += len(part)
-            full = [lang] if len(held[lang].tokens) >= TOKENS_AT_ONCE else list(held) if size >= TOKENS_HELD else []
-            for name in full:
-                chunk = held.pop(name)
-                size -= len(chunk.tokens)
-                yield name, chunk
-                if name == lang:
-                    rest = Chunk(chunk.last(overlap))
-            if full:
-                held[lang] = rest
-                size += len(rest.tokens)
+            full = lang
+            if len(held[lang].tokens) < TOKENS_AT_ONCE:
+                if size < TOKENS_HELD:
+                    continue
+                full = max(held, key=lambda name: len(held[name].tokens))
+            chunk = held.pop(full)
+            size -= len(chunk.tokens)
+            yield full, chunk
+            if full == lang:
+                held[lang] = Chunk(chunk.last(overlap))
+                size += len(held[lang].tokens)
         if lang in held:
             held[lang].add(SEPARATORS[:1])
             size += 1
@@ -225,7 +226,8 @@ def _frequent(groups: DataFrame, by: list[str], fewest: int) -> DataFrame:
     group = Window.partitionBy(*by)
     counted = groups.withColumn("f", F.sum("count").over(group)).filter(F.col("f") >= fewest)
     named = counted.withColumn("id", F.min("here").over(group))
-    return named.select("here", "id", *[F.when(F.col("here") == F.col("id"), F.col(c)).alias(c) for c in (*by, "f")])
+    named = named.select("here", "id", *[F.when(F.col("here") == F.col("id"), F.col(c)).alias(c) for c in (*by, "f")])
+    return named.sortWithinPartitions("here")
 
 
 def _marks(kept: DataFrame, length: int) -> DataFrame:
