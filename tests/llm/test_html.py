@@ -2,11 +2,12 @@
 
 import html
 import re
+import time
 from collections import Counter
 
 import pytest
 
-from tradeloom.llm.html import count_kinds, extract, learn_weights, main_text, op2_html_extraction, weights
+from tradeloom.llm.html import count_kinds, extract, learn_weights, main_text, op2_html_extraction, tokens, weights
 
 SF = "/root/testdata/sf0.01"
 
@@ -111,3 +112,29 @@ def test_without_labelled_pages(spark):
     none = spark.createDataFrame([("<p>no article here</p>",), (None,)], "html string")
     assert learn_weights(none) == {} and weights(Counter()) == {} and count_kinds("<p>x</p>") == Counter()
     assert main_text("<nav>Menu here</nav><p>Some words of text</p>", {}) == "Some words of text"
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 333_000, "<a" * 500_000, "<![CDATA[" * 111_000, "<b>x " * 200_000, "<b>" * 160_000 + "</i>" * 160_000,
+    "<a \"" * 250_000, "<a '\"" * 200_000, "<a \"'" * 200_001 + ">", "<!" * 500_000, "</a " * 250_000, "<p class=\"" * 100_000,
+], ids=lambda page: page[:9])
+def test_malformed_pages_take_linear_time(page):
+    start = time.perf_counter()
+    main_text(page, {})
+    assert time.perf_counter() - start < 15
+
+
+@pytest.mark.parametrize("page, expected", [
+    ("a < b", ["a ", "<", " b"]),
+    ("<a 'x>y\" z>t", ["<", "a 'x>y\" z>t"]),
+    ("<a b='>' c>t</A >", [("", "a", " b='>' c"), "t", ("/", "a", " ")]),
+    ("<![CDATA[ <p> ]]>t<![CDATA[ <p>u", ["t", "u"]),
+    ("<!doctype html>t<!open", ["t", "<", "!open"]),
+    ("t<!-- <p> --><br/>u<!-- <p>", ["t", ("", "br", "/"), "u"]),
+])
+def test_tokens(page, expected):
+    assert [text if name is None else (text, name, rest) for text, name, rest in tokens(page)] == expected
+
+
+def test_numeric_references_of_any_length():
+    assert main_text("<p>x &#" + "9" * 6000 + "; &#000065; &#x42;</p>", {}) == "x � A B"

@@ -46,10 +46,10 @@ HINTS = frozenset(
 STATES = re.compile(r"(?:has|with|no|is|show|hide|supports)[-_]|.*[-_](?:open|closed|enabled|disabled|visible)$")
 WHOLE = frozenset("body html main".split())
 
-TOKEN = re.compile(
-    r"""<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^'">])*)>|(?P<text>[^<]+|<)""",
-    re.DOTALL,
-)
+TAG_NAME = re.compile(r"[^\s/>]*")
+TAG_MARK = re.compile(r"""["'>]""")
+# Numeric references of leading zeros, and of more digits than any character has.
+ZEROS, TOO_LONG = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[0-9]{9,};?")
 NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.IGNORECASE)
@@ -75,58 +75,159 @@ def hinted(name: str, rest: str, in_article: bool) -> bool:
     return bool(HIDDEN.search(rest))
 
 
+class Tags:
+    """Where tags end. Every stretch of the page is searched once, however many tags are left open in it."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.name_end = 0
+        self.mark_from, self.mark = 0, -1  # no quote or > lies between the two
+        self.unclosed: set[int] = set()  # quotes from which no tag ends
+
+    def _next_mark(self, at: int) -> int:
+        if not self.mark_from <= at <= self.mark:
+            found = TAG_MARK.search(self.page, at)
+            self.mark_from, self.mark = at, found.start() if found else len(self.page)
+        return self.mark
+
+    def end(self, start: int) -> tuple[int, int] | None:
+        """Where the name that starts here and its tag end, the latter at a > outside of quotes; None without one."""
+        page = self.page
+        if start >= self.name_end:
+            self.name_end = TAG_NAME.match(page, start).end()
+        passed = []
+        at = self._next_mark(self.name_end)
+        while at < len(page) and page[at] != ">" and at not in self.unclosed:
+            passed.append(at)
+            close = page.find(page[at], at + 1)
+            if close < 0:
+                break
+            at = self._next_mark(close + 1)
+        else:
+            if at < len(page) and page[at] == ">":
+                return self.name_end, at
+        self.unclosed.update(passed)
+        return None
+
+
+def tokens(page: str) -> Iterator[tuple[str, str | None, str]]:
+    """Texts as (text, None, ""), tags as ("" or "/" if closing, name, rest) in page order, in linear time.
+
+    Comments, CDATA sections and declarations are passed over; an open comment takes the rest of the page. A < that
+    opens nothing is text.
+    """
+    tags = Tags(page)
+    at, n = 0, len(page)
+    no_section = no_declaration = False
+    while at < n:
+        start = page.find("<", at)
+        if start < 0:
+            yield page[at:], None, ""
+            return
+        if start > at:
+            yield page[at:start], None, ""
+        at = start + 1
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            if close < 0:
+                return
+            at = close + 3
+            continue
+        if not no_section and page.startswith("<![CDATA[", start):
+            close = page.find("]]>", start + 9)
+            if close >= 0:
+                at = close + 3
+                continue
+            no_section = True
+        if page.startswith(("<!", "<?"), start):
+            close = -1 if no_declaration else page.find(">", start + 2)
+            no_declaration = close < 0
+            if close >= 0:
+                at = close + 1
+                continue
+        else:
+            closing = page.startswith("/", start + 1)
+            first = start + 1 + closing
+            if page[first : first + 1].isalpha() and page[first].isascii():
+                ends = tags.end(first)
+                if ends:
+                    yield "/" if closing else "", page[first : ends[0]].lower(), page[ends[0] : ends[1]]
+                    at = ends[1] + 1
+                    continue
+        yield "<", None, ""
+
+
+class Open:
+    """The open elements, with what is asked of them at every word."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool]] = []  # names, and whether each is off
+        self.blocks: list[str] = []
+        self.named: Counter = Counter()
+        self.off = self.articles = 0
+
+    def push(self, name: str, is_off: bool) -> None:
+        self.stack.append((name, is_off))
+        self.named[name] += 1
+        self.off += is_off
+        if name in BLOCKS:
+            self.blocks.append(name)
+            self.articles += name in ARTICLE
+
+    def pop(self) -> str:
+        name, was_off = self.stack.pop()
+        self.named[name] -= 1
+        self.off -= was_off
+        if name in BLOCKS:
+            self.blocks.pop()
+            self.articles -= name in ARTICLE
+        return name
+
+    def close(self, name: str) -> None:
+        """Close the innermost element of the name and all within it; nothing if none is open."""
+        if self.named[name]:
+            while self.pop() != name:
+                pass
+
+
 def pieces(page: str) -> Iterator[tuple[str, str, bool, bool]]:
     """The page as (kind, text, starts a block, is content's own) in page order.
 
     Kind is `tag <name>` or `word <block> [link] [off]`; text is empty for tags. `off` marks what lies in an
     element that is never content. The last value tells whether an article element is open.
     """
-    stack: list[tuple[str, bool]] = []  # open elements, and whether each is off
-    off = links = articles = 0
+    opened = Open()
     skip_to = None
-    for m in TOKEN.finditer(page):
-        name = m["name"]
+    for text, name, rest in tokens(page):
         if skip_to is not None:
-            if name is None or not m["close"] or name.lower() != skip_to:
+            if text != "/" or name != skip_to:
                 continue
         elif name is None:
-            text = m["text"]
-            if text:
-                block = next((e for e, _ in reversed(stack) if e in BLOCKS), "body")
-                kind = f"word {block}{' link' if links else ''}{' off' if off else ''}"
-                yield kind, text, False, articles > 0
+            block = opened.blocks[-1] if opened.blocks else "body"
+            kind = f"word {block}{' link' if opened.named['a'] else ''}{' off' if opened.off else ''}"
+            yield kind, text, False, opened.articles > 0
             continue
-        name = name.lower()
         is_block = name in BLOCKS
-        if not m["close"]:
-            if is_block and stack and stack[-1][0] == "p":
+        if not text:
+            if is_block and opened.stack and opened.stack[-1][0] == "p":
                 # a block ends an open paragraph
-                off -= stack.pop()[1]
-            if name in ("li", "dd", "dt", "tr", "td", "th", "option") and any(e == name for e, _ in stack[-3:]):
-                while stack:
-                    e, was_off = stack.pop()
-                    off, links, articles = off - was_off, links - (e == "a"), articles - (e in ARTICLE)
-                    if e == name:
-                        break
-            is_off = name in NEVER_CONTENT or hinted(name, m["rest"], articles > 0) or (name == "header" and not articles)
-            yield f"tag {name if is_block or name == 'a' else 'inline'}{' off' if is_off else ''}", "", is_block, articles > 0
-            if name in VOID or m["rest"].endswith("/"):
+                opened.pop()
+            if name in ("li", "dd", "dt", "tr", "td", "th", "option") and any(e == name for e, _ in opened.stack[-3:]):
+                opened.close(name)
+            articles = opened.articles > 0
+            is_off = name in NEVER_CONTENT or hinted(name, rest, articles) or (name == "header" and not articles)
+            yield f"tag {name if is_block or name == 'a' else 'inline'}{' off' if is_off else ''}", "", is_block, articles
+            if name in VOID or rest.endswith("/"):
                 if name == "br":
-                    yield "word br", " ", False, articles > 0
+                    yield "word br", " ", False, articles
                 continue
             if name in RAW:
                 skip_to = name
-            stack.append((name, is_off))
-            off, links, articles = off + is_off, links + (name == "a"), articles + (name in ARTICLE)
+            opened.push(name, is_off)
         else:
             skip_to = None
-            if any(e == name for e, _ in stack):
-                while stack:
-                    e, was_off = stack.pop()
-                    off, links, articles = off - was_off, links - (e == "a"), articles - (e in ARTICLE)
-                    if e == name:
-                        break
-            yield f"tag {name if is_block or name == 'a' else 'inline'}", "", is_block, articles > 0
+            opened.close(name)
+            yield f"tag {name if is_block or name == 'a' else 'inline'}", "", is_block, opened.articles > 0
 
 
 def count_kinds(page: str) -> Counter:
@@ -174,6 +275,13 @@ def weight(known: dict[str, float], kind: str) -> float:
     return known[kind] if kind in known else _signed(kind, 1.0 if kind.startswith("word") else -1.0)
 
 
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers beyond all characters, of any length, become U+FFFD."""
+    if "&#" in text:
+        text = TOO_LONG.sub("\ufffd", ZEROS.sub("&#", text))
+    return html.unescape(text)
+
+
 def main_text(page: str | None, known: dict[str, float]) -> str:
     """The article: blocks in page order, joined by one line break; empty if there is none."""
     if not page:
@@ -194,7 +302,7 @@ def main_text(page: str | None, known: dict[str, float]) -> str:
             blocks.append([])
         elif text and not kind.endswith(" off"):
             blocks[-1].append(text)
-    lines = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
+    lines = (" ".join(unescaped("".join(b)).split()) for b in blocks)
     return "\n".join(line for line in lines if line)
 
 
