@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -126,3 +127,19 @@ def test_shape_of_the_whole_word():
     head = "a" * 300
     for tail in ("@x.y.z", "0123456789" * 200, "{}[]" * 100):
         assert secrets.shape_features(head + tail) != secrets.shape_features(head)
+
+
+def test_words_of_marks_take_linear_time():
+    word = "x" + "." * 1_000_000 + "x"
+    start = time.perf_counter()
+    assert secrets.core_of(word) == (0, len(word))
+    secrets.shape_features(word)
+    assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("word, core", [
+    ("plain", "plain"), ('"quoted",', "quoted"), ("key='abc';", "abc"), ("(api_key:abc)", "abc"), ("...", "..."), ("a=", "a="), ("x..y..", "x..y"),
+])
+def test_cores(word, core):
+    start, end = secrets.core_of(word)
+    assert word[start:end] == core

@@ -35,7 +35,8 @@ REDACTED = "[SECRET]"
 
 WORDS = re.compile(WORD)
 # What stands around a value inside its word.
-CORE = re.compile(r"^[\"'`(\[{<]*(?:[A-Za-z_-]{2,20}[\"']?[:=][\"']?)?(.*?)[\"'`)\]}>,;.!?*#%&$|:]*$", re.DOTALL)
+LEAD = re.compile(r"[\"'`(\[{<]*(?:[A-Za-z_-]{2,20}[\"']?[:=][\"']?)?")
+TAIL = "\"'`)]}>,;.!?*#%&$|:"
 
 PLAIN = [("plain", f"plain{n}") for n in range(6)]
 
@@ -72,8 +73,8 @@ def _number(name: str) -> int:
 
 def core_of(word: str) -> tuple[int, int]:
     """Where in the word its value starts and ends, without quotes, brackets, marks and a leading name."""
-    match = CORE.match(word)
-    return match.span(1) if match and match[1] else (0, len(word))
+    start, end = LEAD.match(word).end(), len(word.rstrip(TAIL))
+    return (start, end) if start < end else (0, len(word))
 
 
 def shape_features(word: str) -> tuple[str, ...]:
