@@ -1,11 +1,13 @@
 """The compression classifier on held-out labels and odd rows."""
 
 import zlib
+from math import exp
 
 import numpy as np
 import pytest
+import zstandard
 
-from tradeloom.llm.quality import Model, Scorer, calibrate, curve, learn, op7_quality_classifier, score_rows
+from tradeloom.llm.quality import DICTIONARY_BYTES, Model, Scorer, calibrate, curve, dictionary, learn, op7_quality_classifier, score_rows
 
 SF = "/root/testdata/sf0.1"
 
@@ -84,3 +86,33 @@ def test_whole_labelled_texts_are_learned(spark):
     for part in (b"good prose here", b"late words of praise"):
         assert part in model.good
     assert b"###" in model.bad and b"late @@@" in model.bad
+
+
+def test_scores_against_plain_compression(spark):
+    """Every document by itself: pieces of the text, a new compressor for each, and the curve."""
+    small = "/root/testdata/sf0.001"
+    documents, labels = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("documents", "labels"))
+    model = learn(documents, labels)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+
+    def compressed(piece, content):
+        return len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(content)).compress(piece))
+
+    for r in op7_quality_classifier(spark, small).collect():
+        data = (texts[r.doc_id] or "").encode()
+        n = (len(data) + 1999) // 2000
+        cuts = [len(data) * i // n for i in range(n + 1)] if n else [0]
+        saved = sum(compressed(data[a:b], model.bad) - compressed(data[a:b], model.good) for a, b in zip(cuts, cuts[1:]))
+        score = 1 / (1 + exp(-(model.slope * saved / max(len(data), 1) + model.offset)))
+        assert r.score == pytest.approx(score, rel=1e-3, abs=1e-3)
+
+
+def test_dictionaries_leave_out_no_text():
+    short = [f"text number {i} of a few words" for i in range(40)]
+    assert all(t.encode() in dictionary(short) for t in short)
+    # few texts, far longer than the dictionary: chosen from all of them
+    rng = np.random.default_rng(2)
+    phrases = ["".join(rng.choice(list("abcdefghijklmnop"), 40)) for _ in range(50)]
+    chosen = dictionary(["".join(rng.choice(list("abcdefgh "), 6000)) + f" {phrase} " * 200 for phrase in phrases])
+    assert len(chosen) <= DICTIONARY_BYTES
+    assert sum(phrase.encode() in chosen for phrase in phrases) >= 45
