@@ -16,7 +16,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 # Rows that Spark hands to Python at once; with long texts the bytes of a batch stay small.
 BATCH_ROWS = 400
 
-__all__ = ["BATCH_ROWS", "WORD", "count_words", "doc_fold", "kept_by_worker", "map_batches", "number_rows", "stage", "table", "words"]
+__all__ = ["BATCH_ROWS", "WORD", "count_words", "doc_fold", "kept_by_worker", "map_batches", "number_rows", "stage", "table", "unstage", "words"]
+
+
+def unstage(*frames: DataFrame | None) -> None:
+    """Delete the stored copies of these frames, each from `stage`, once nothing reads them any more.
+
+    The driver's garbage goes too, as Spark deletes the files of a shuffle only when its plan is collected.
+    """
+    spark = None
+    for frame in frames:
+        for file in frame.inputFiles()[:1] if frame is not None else []:
+            folder, spark = file.rsplit("/", 1)[0], frame.sparkSession
+            if "/staged/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if spark is not None:
+        spark._jvm.System.gc()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tradeloom.llm.common import map_batches, stage, table
+from tradeloom.llm.common import map_batches, stage, table, unstage
 
 # Fixed by the contract: shingles of five words; two sets link where 7 * overlap >= 3 * (sizes).
 SHINGLE_WORDS = 5
@@ -29,6 +29,8 @@ FILTER_BITS = 1 << 24
 WORDS_AT_ONCE = 100_000
 # Bits of a set's parity signature, in words of 64.
 SIGNATURE_WORDS = 6
+# Shingles before an entry that are compared to tell whether a pair has met already.
+EARLIER = 16
 
 _RANDOM = np.random.RandomState(20240601)
 _BYTES = _RANDOM.randint(1, 1 << 63, 256, dtype=np.uint64)
@@ -158,7 +160,9 @@ def components(edges: DataFrame) -> DataFrame:
         further = labels.select(F.col("node").alias("label"), F.col("label").alias("_next"))
         jumped = labels.join(further, "label").select("node", F.col("_next").alias("label"))
         spread = both.join(jumped.withColumnRenamed("node", "b"), "b").select(F.col("a").alias("node"), "label")
-        labels = stage(jumped.unionByName(spread).groupBy("node").agg(F.min("label").alias("label")), "labels")
+        before, labels = labels, stage(jumped.unionByName(spread).groupBy("node").agg(F.min("label").alias("label")), "labels")
+        unstage(before)
+    unstage(both)
     return labels
 
 
@@ -192,9 +196,9 @@ def prefix_index(listed: DataFrame, sizes: DataFrame) -> DataFrame:
 
     Counted shingles come first, by how many sets have them, then by hash; the others
     follow by hash. A shingle that only one set lists can have no part in a link, so it has no entry, but counts
-    for the places of the others.
+    for the places of the others. The index is stored.
     """
-    sets = listed.groupBy("node", "other").agg(F.min("tokens").alias("tokens"))
+    sets = stage(listed.groupBy("node", "other").agg(F.min("tokens").alias("tokens")), "listed")
     entries = sets.select("node", F.explode("tokens").alias("token"))
     counts = entries.groupBy("token").agg(F.count("*").alias("sets")).filter(F.col("sets") > 1)
     shared = entries.join(counts, "token").join(sizes.select("node", "n", "counted"), "node")
@@ -215,7 +219,10 @@ def prefix_index(listed: DataFrame, sizes: DataFrame) -> DataFrame:
     place = F.when(F.col("_counted"), F.col("counted") - F.col("_shared") + F.col("_nth") - 1)
     place = F.coalesce(place, F.col("counted") + F.col("_nth") - F.col("_shared") - 1)
     prefix = F.col("n") - F.floor((F.col("n") * 3 + 3) / 4) + 1
-    return placed.select("token", "node", "n", place.cast("bigint").alias("place"), "before").filter(F.col("place") < prefix)
+    index = placed.select("token", "node", "n", place.cast("bigint").alias("place"), "before").filter(F.col("place") < prefix)
+    index = stage(index, "index")
+    unstage(sets)
+    return index
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", count_links: bool = False) -> DataFrame:
@@ -232,8 +239,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", coun
     sizes = rows.filter(F.col("n") > 0).groupBy("node", "other", "n", "counted").agg(F.min(key).alias("first"))
     sizes = stage(sizes, "sizes")
     listed = _batches(df, text, [], _listed, "node bigint, other bigint, tokens array<bigint>")
-    index = stage(prefix_index(listed, sizes), "index")
-    labels, active, shingles = _find_links(df, text, index)
+    labels, active, shingles = _find_links(df, text, prefix_index(listed, sizes))
+    if not count_links:
+        unstage(active, shingles)
     known = sizes.join(labels, "node", "left").select("node", "other", F.coalesce("label", "node").alias("label"), "first")
     smallest = stage(known.groupBy("label").agg(F.min("first").alias("component_id")), "smallest")
     found = stage(known.join(smallest, "label").select("node", "other", "component_id"), "found")
@@ -259,26 +267,37 @@ def _find_links(df: DataFrame, text: str, index: DataFrame) -> tuple[DataFrame,
 
     lists = leaders(index)
     active = stage(index.join(lists, "token"), "active")
+    unstage(index, lists)
     shingles = _whole_sets(df, text, active.select("node").distinct())
     compared = links = labels = None
-    entries = active
+    entries, stars_of_rounds = active, []
     for _ in range(LEADER_ROUNDS):
         followers = entries.filter(F.col("node") != F.col("leader"))
         stars = _pairs(followers.select(
             F.col("leader").alias("x"), F.col("leader_n").alias("x_size"), F.col("node").alias("y"), F.col("n").alias("y_size")
         ))
         found = stage(_overlaps(stars, shingles), "stars")
+        stars_of_rounds.append(found)
         compared = found if compared is None else compared.unionByName(found)
         links = compared.filter(_linked(F.col("overlap"), F.col("a_size"), F.col("b_size"))).select("a", "b")
+        unstage(labels)
         labels = components(links)
         # the sets of a list that its leader is not connected with follow a leader of their own
         away = _with_labels(active, labels).filter(F.col("label") != F.col("leader_label"))
-        entries = away.select("token", "node", "n", "place", "before")
-        entries = stage(entries.join(leaders(entries), "token"), "followers")
-    remaining = stage(_remaining_pairs(_with_labels(active, labels), compared, shingles), "remaining")
+        followed, led = entries, away.select("token", "node", "n", "place", "before")
+        first = leaders(led)
+        entries = stage(led.join(first, "token"), "followers")
+        unstage(first, None if followed is active else followed)
+    unstage(entries)
+    remaining, *done = _remaining_pairs(_with_labels(active, labels), compared, shingles)
+    remaining = stage(remaining, "remaining")
+    unstage(*done)
     more = _overlaps(remaining, shingles).filter(_linked(F.col("overlap"), F.col("a_size"), F.col("b_size")))
     links = stage(links.unionByName(more.select("a", "b")), "links")
-    return components(links), active, shingles
+    unstage(remaining, labels, *stars_of_rounds)
+    labels = components(links)
+    unstage(links)
+    return labels, active, shingles
 
 
 def _linked_copies(active: DataFrame, shingles: DataFrame, copies: DataFrame) -> DataFrame:
@@ -289,7 +308,7 @@ def _linked_copies(active: DataFrame, shingles: DataFrame, copies: DataFrame) ->
     seen = ("node", "n", "place", "before", "signature")
     split = stage(active.join(shingles.select("node", "signature"), "node").select("token", *seen, _block().alias("block")), "split")
     probes = split.select("token", *[F.col(c).alias(f"y_{c}") for c in seen], _near_blocks().alias("block"))
-    met = split.join(probes, ["token", "block"]).filter((F.col("node") < F.col("y_node")) & _possible())
+    met = split.join(probes, ["token", "block"]).filter((F.col("node") < F.col("y_node")) & _meets_first() & _possible())
     pairs = _pairs(met.select(
         F.col("node").alias("x"), F.col("n").alias("x_size"), F.col("y_node").alias("y"), F.col("y_n").alias("y_size")
     ))
@@ -309,8 +328,13 @@ def _near_blocks() -> Column:
     return F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1))
 
 
+def _meets_first() -> Column:
+    """Whether an entry and a probe of its list have not met by the shingle before."""
+    return ~F.coalesce(F.col("before") == F.col("y_before"), F.lit(False))
+
+
 def _possible() -> Column:
-    """Whether places, sizes and signatures of an entry and of a probe of its list allow a link that is met first here."""
+    """Whether places, sizes and signatures of an entry and of a probe of its list allow a link whose first shingle is here."""
     x_size, y_size = F.col("n"), F.col("y_n")
     from_here = F.least(x_size - F.col("place"), y_size - F.col("y_place"))
     differ = sum(
@@ -318,8 +342,7 @@ def _possible() -> Column:
         F.lit(0),
     )
     fits = (F.least(x_size, y_size) * 4 >= F.greatest(x_size, y_size) * 3) & (differ * 7 <= x_size + y_size)
-    is_first = ~F.coalesce(F.col("before") == F.col("y_before"), F.lit(False))
-    return is_first & _linked(from_here, x_size, y_size) & fits
+    return _linked(from_here, x_size, y_size) & fits
 
 
 def _with_labels(entries: DataFrame, labels: DataFrame) -> DataFrame:
@@ -329,13 +352,14 @@ def _with_labels(entries: DataFrame, labels: DataFrame) -> DataFrame:
     return own.join(of_leader, "leader", "left").withColumn("leader_label", F.coalesce("leader_label", "leader"))
 
 
-def _remaining_pairs(entries: DataFrame, compared: DataFrame, shingles: DataFrame) -> DataFrame:
+def _remaining_pairs(entries: DataFrame, compared: DataFrame, shingles: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Pairs of a list whose link would connect two components and that no bound rules out.
 
-    One of the two is not connected with the leader. Lists are split into blocks by size, of which a
+    After the pairs come the stored frames that they are read from. One of the two is not connected with the leader. Lists are split into blocks by size, of which a
     probe reads its own and the two beside it. A pair is needed only in the list of its first common shingle:
-    never where both sets have the same shingle before, and elsewhere only if their
-    places allow it. The overlaps of both with the leader bound their own, and so do their signatures.
+    never where both sets have one of the `EARLIER` shingles before in common, and elsewhere only if their
+    places allow it. These shingles are taken from the open lists alone: each list of two sets of different components
+    is open. The overlaps of both with the leader bound their own, and so do their signatures.
     """
     overlap = compared.select(F.col("a").alias("leader"), F.col("b").alias("node"), "overlap").unionByName(
         compared.select(F.col("b").alias("leader"), F.col("a").alias("node"), "overlap")
@@ -345,21 +369,23 @@ def _remaining_pairs(entries: DataFrame, compared: DataFrame, shingles: DataFram
     known = entries.join(open_lists, "token").join(overlap.distinct(), ["leader", "node"], "left")
     shared = F.when(F.col("node") == F.col("leader"), F.col("n")).otherwise(F.col("overlap"))
     split = known.join(shingles.select("node", "signature"), "node").select(
-        "token", "node", "n", "place", "before", "label", "leader_label", "signature", shared.alias("shared"), _block().alias("block")
+        "token", "node", "n", "place", "label", "leader_label", "signature", shared.alias("shared"), _block().alias("block")
     )
-    split = stage(split, "split")
-    seen = ("node", "n", "place", "before", "label", "shared", "signature")
+    earlier = Window.partitionBy("node").orderBy("place").rowsBetween(-EARLIER, -1)
+    split = stage(split.withColumn("earlier", F.collect_list("token").over(earlier)), "split")
+    seen = ("node", "n", "place", "earlier", "label", "shared", "signature")
     probes = split.filter(away).select("token", *[F.col(c).alias(f"y_{c}") for c in seen], _near_blocks().alias("block"))
     x_size, y_size, x_shared, y_shared = F.col("n"), F.col("y_n"), F.col("shared"), F.col("y_shared")
     from_leader = F.least(x_shared + y_size - y_shared, y_shared + x_size - x_shared)
     enough = F.coalesce(_linked(from_leader, x_size, y_size), F.lit(True))
     once = (F.col("label") == F.col("leader_label")) | (F.col("node") < F.col("y_node"))
     met = split.join(probes, ["token", "block"])
-    met = met.filter((F.col("label") != F.col("y_label")) & once & enough & _possible())
+    is_first = ~F.arrays_overlap("earlier", "y_earlier")
+    met = met.filter((F.col("label") != F.col("y_label")) & once & enough & _possible() & is_first)
     pairs = _pairs(met.select(
         F.col("node").alias("x"), x_size.alias("x_size"), F.col("y_node").alias("y"), y_size.alias("y_size")
     ))
-    return pairs.join(compared.select("a", "b").distinct(), ["a", "b"], "left_anti")
+    return pairs.join(compared.select("a", "b").distinct(), ["a", "b"], "left_anti"), open_lists, split
 
 
 def _whole_sets(df: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
