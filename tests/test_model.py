@@ -1,3 +1,4 @@
+import re
 from datetime import date, datetime
 from decimal import Decimal
 
@@ -149,6 +150,14 @@ def test_fact_sales_measures(model):
     assert first.date_key == 20240105 and first.customer_key == 1 and first.salesperson_key == 1
 
 
+def test_invoices_are_joined_last(spark):
+    # what is read from the invoice would otherwise be shuffled again for the returns and for the products
+    header, items, returns, _, dims = sources(spark)
+    plan = gold.sales_lines(items, header, returns, *dims)._jdf.queryExecution().optimizedPlan().toString()
+    on_the_way = re.findall(r"^[: ]*(?:\+- )?Join LeftOuter, \((\w+)#", plan, flags=re.MULTILINE)
+    assert on_the_way[:3] == ["invoice_id", "product_id", "invoice_item_id"]
+
+
 def test_region_is_the_salespersons(model):
     # customers live in region 9 (key 2), salespersons work in region 7 (key 1)
     assert {r.region_key for r in model["sales"].filter("invoice_id <> 99").collect()} == {1}
