@@ -79,3 +79,11 @@ def test_filter_and_columns_reach_the_scan(spark):
 def test_base_filters_on_status_before_the_item_join(spark):
     plan = plan_of(Model(spark, SF).staged("header").base_by_product.groupBy("product_key").count())
     assert "EqualTo(invoice_status,issued)" in plan and "month_name" not in plan
+
+
+def test_stored_base_has_the_columns_that_are_read(spark):
+    m = Model(spark, "no such folder")
+    m.base = spark.createDataFrame([(1, "N1", 2)], "invoice_id long, invoice_number string, net_revenue long")
+    m.stage_base("invoice_id", "net_revenue")
+    assert m.base is m.base_by_region and m.base.columns == ["invoice_id", "net_revenue"]
+    assert [tuple(r) for r in m.base.collect()] == [(1, 2)]
