@@ -120,6 +120,11 @@ def test_chunks_hold_all_of_the_text():
         assert "".join(prepare(text)).replace("▁", " ").replace(segment.SPACE_SIGN, "▁") == (" " + text if text else "")
 
 
+def test_spelling_joins_the_bytes_of_pieces(pieces):
+    for ids in [[], [5], pieces.byte_ids[:4], list(range(len(pieces.bytes))) * 2]:
+        assert pieces.spell(np.array(ids, dtype=np.int64)) == b"".join(pieces.bytes[i] for i in ids)
+
+
 def test_log_inclusion():
     for x in (-50.0, -20.0, -1.0, 0.0, 3.0, 4.9, 6.0, np.inf):
         exact = 0.0 if x > 40 else log(-np.expm1(-exp(x)))

@@ -64,6 +64,7 @@ class Pieces:
             self.bytes[i] = piece.replace(SPACE, " ").encode()
         for b, i in enumerate(self.byte_ids):
             self.bytes[i] = bytes([b])
+        self.spelled = pa.array(self.bytes, pa.large_binary())
         self.longest = max(len(p) for p, _, _ in pieces)
         # by length: hashes in order, and their ids
         self.table: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
@@ -78,11 +79,16 @@ class Pieces:
             order = np.argsort(h)
             self.table.append((h[order], np.array([i for _, i in some], dtype=np.int64)[order]))
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of a segmentation; the space that encoding puts in front is taken off."""
-        data = b"".join([self.bytes[i] for i in ids])
+        data = self.spell(np.asarray(ids, dtype=np.int64))
         return data[1:].decode("utf-8", "replace") if data[:1] == b" " else data.decode("utf-8", "replace")
 
+    def spell(self, ids: np.ndarray) -> bytes:
+        """The bytes of pieces in a row: those of Arrow's values lie one after the other."""
+        _, ends, values = self.spelled.take(pa.array(ids)).buffers()
+        return values.to_pybytes()[: np.frombuffer(ends, dtype=np.int64)[len(ids)]] if len(ids) else b""
+
 
 def _extend(h: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Hashes of strings that are longer by one character."""
@@ -474,7 +480,7 @@ def encode(
         sizes = np.array([len(r[0]) for r in rows], dtype=np.int64)
         flat = np.concatenate([r[0] for r in rows]).astype(np.int32) if rows else np.empty(0, np.int32)
         ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
-        trip = [pieces.decode(r[0].tolist()) == texts[i] for i, r in zip(owner, rows)]
+        trip = [pieces.decode(r[0]) == texts[i] for i, r in zip(owner, rows)]
         columns = [
             keys.take(pa.array(owner, pa.int64())),
             pa.array([n for some in found for n in range(1, len(some) + 1)], pa.int32()),
