@@ -3,6 +3,7 @@
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from test_jaccard import brute
 from test_secrets import plain_base
@@ -10,7 +11,7 @@ from test_sharding_rules_mixing import waterfill
 
 import corpus_pipeline
 from corpus_pipeline import STAGES
-from tradeloom.llm import jaccard, mixing, quality, secrets
+from tradeloom.llm import common, jaccard, mixing, quality, secrets
 from tradeloom.llm.common import stage
 
 SF = "/root/testdata/sf0.01"
@@ -129,3 +130,27 @@ def test_scan_that_is_cut_anew(spark, tmp_path, monkeypatch, number, module, nam
     finally:
         for key in conf:
             spark.conf.unset(key)
+
+
+def test_a_worker_frees_what_another_stage_kept():
+    """A Python worker outlives its stage: what the segmentation kept must not count in the next stage's memory."""
+    common._KEPT.clear()
+    kept = common.kept_by_worker("one", lambda: ["table"])
+    common.drop_kept("one")
+    assert common.kept_by_worker("one", list) is kept
+    common.drop_kept(None)
+    assert not common._KEPT
+
+
+def test_every_task_frees_what_it_does_not_use(spark):
+    def keep(batches):
+        common.kept_by_worker("one", lambda: ["table"])
+        yield from batches
+
+    def look(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(common._KEPT)] * batch.num_rows, pa.int64())], names=["id"])
+
+    ids = spark.range(64).repartition(8)
+    common.map_batches(ids, keep, "id long", "one").collect()
+    assert {r.id for r in common.map_batches(ids, look, "id long").collect()} == {0}

@@ -491,7 +491,7 @@ def encode(
         ]
         return pa.RecordBatch.from_arrays(columns, names=[key, *[c.split()[0] for c in ENCODED.split(", ")]])
 
-    return map_batches(df.select(key, F.col(text).alias("_text")), run, f"`{key}` {kind}, {ENCODED}")
+    return map_batches(df.select(key, F.col(text).alias("_text")), run, f"`{key}` {kind}, {ENCODED}", token)
 
 
 def decode(df: DataFrame, ids: str = "ids", model: str = MODEL) -> DataFrame:
