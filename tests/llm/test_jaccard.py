@@ -147,3 +147,24 @@ def test_links_of_every_row_are_counted(spark):
     assert found(df) == brute(rows)
     assert {r.doc_id: r.n_links for r in df.collect()} == expected
     assert max(expected.values()) > 20 and df.columns == ["doc_id", "n_shingles", "component_id", "n_links"]
+
+
+def test_texts_are_hashed_twice_and_shuffles_do_not_pile_up(spark, tmp_path, monkeypatch):
+    """One pass gives sizes and lists, one the whole sets; a stored frame leaves no shuffle behind."""
+    passes, kept, of = [], [], jaccard._batches
+
+    def counted(df, text, columns, row, schema):
+        passes.append(row.__name__)
+        return of(df, text, columns, row, schema)
+
+    def settled(df, label):
+        kept.append(label)
+        return common_settled(df, label)
+
+    common_settled = jaccard.settled
+    monkeypatch.setattr(jaccard, "_batches", counted)
+    monkeypatch.setattr(jaccard, "settled", settled)
+    rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (3, None), (None, "x"), (3, "other words than these")]
+    assert found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
+    assert passes == ["_listed", "whole"]
+    assert {"hashed", "listed", "index", "shingles", "stars", "split"} <= set(kept)
