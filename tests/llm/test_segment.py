@@ -140,3 +140,15 @@ def test_forgotten_words_are_built_again(pieces, monkeypatch):
     found = [sampler.batch([t], [i], 2)[0] for i, t in enumerate(texts)]
     assert [[(r[0].tolist(), r[1:]) for r in rows] for rows in found] == [[(r[0].tolist(), r[1:]) for r in rows] for rows in usual]
     assert sampler.lattices.n_edges < 1000
+
+
+def test_search_stops_where_no_piece_goes_on(pieces):
+    """The table of a length has all beginnings of pieces, told apart, and no text leads further than its pieces do."""
+    spelled = {pieces.bytes[i].decode().replace(" ", segment.SPACE): i for h, ids, _ in pieces.table for i in ids[ids >= 0].tolist()}
+    assert len(spelled) == sum(int((ids >= 0).sum()) for _, ids, _ in pieces.table)
+    for length in (1, 2, 5, pieces.longest):
+        hashes, ids, longer = pieces.table[length]
+        begins = {p[:length] for p in spelled if len(p) >= length}
+        assert len(hashes) == len(begins) and (np.diff(hashes) > 0).all()
+        assert longer.sum() == len({p[:length] for p in spelled if len(p) > length})
+    assert not pieces.table[pieces.longest][2].any()

@@ -66,18 +66,21 @@ class Pieces:
             self.bytes[i] = bytes([b])
         self.spelled = pa.array(self.bytes, pa.large_binary())
         self.longest = max(len(p) for p, _, _ in pieces)
-        # by length: hashes in order, and their ids
-        self.table: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.uint64), np.empty(0, np.int64))]
+        # by length: hashes of all that pieces begin with, in order; the piece's id or -1; whether a longer piece begins so
+        self.table: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = [(np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, bool))]
+        ids = {p: i for p, i, _ in pieces}
+        longer = {p[:k] for p, _, _ in pieces for k in range(1, len(p))}
+        starts = [(p, ids.get(p, -1), p in longer) for p in sorted(longer.union(ids))]
         for length in range(1, self.longest + 1):
-            some = [(p, i) for p, i, _ in pieces if len(p) == length]
-            points = np.array([[ord(c) for c in p] for p, _ in some], dtype=np.uint64).reshape(-1, length)
+            some = [s for s in starts if len(s[0]) == length]
+            points = np.array([[ord(c) for c in p] for p, _, _ in some], dtype=np.uint64).reshape(-1, length)
             h = np.zeros(len(some), dtype=np.uint64)
             for k in range(length):
                 h = _extend(h, points[:, k])
             if len(np.unique(h)) < len(h):
-                raise ValueError("two pieces share a hash")
+                raise ValueError("two beginnings of pieces share a hash")
             order = np.argsort(h)
-            self.table.append((h[order], np.array([i for _, i in some], dtype=np.int64)[order]))
+            self.table.append((h[order], np.array([i for _, i, _ in some], dtype=np.int64)[order], np.array([m for *_, m in some], dtype=bool)[order]))
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of a segmentation; the space that encoding puts in front is taken off."""
@@ -168,16 +171,21 @@ class Lattices:
             if not len(at):
                 break
             h = _extend(h, points[at + size - 1])
-            hashes, numbers = self.pieces.table[size]
-            if not len(hashes):
-                continue
+            hashes, numbers, longer = self.pieces.table[size]
             place = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            hit = hashes[place] == h
-            starts.append(at[hit])
-            ids.append(numbers[place[hit]])
-            sizes.append(np.full(int(hit.sum()), size))
+            begins = np.flatnonzero(hashes[place] == h)
+            place = place[begins]
+            number = numbers[place]
+            is_piece = number >= 0
+            found = at[begins[is_piece]]
+            starts.append(found)
+            ids.append(number[is_piece])
+            sizes.append(np.full(len(found), size))
             if size == 1:
-                has_single[at[hit]] = True
+                has_single[found] = True
+            # only where a longer piece begins with these characters is it worth to look further
+            further = begins[longer[place]]
+            at, h = at[further], h[further]
         lone = np.flatnonzero(~has_single)
         starts.append(lone)
         unknown = points[lone].astype(np.int64)
