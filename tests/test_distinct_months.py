@@ -72,3 +72,11 @@ def test_earlier_months_need_no_join(spark):
     kpis = months(spark, ("a", 2030, 11, 1)).selectExpr("'2030-11' AS year_month", "year", "month", "cast(v AS decimal(12,2)) AS net_revenue", "1 AS region_key", "'r' AS region_name")
     for compared in (measures.month_over_month(kpis), measures.year_over_year(kpis), measures.region_month_over_month(kpis)):
         assert "Join" not in plan(compared) and "specifiedwindowframe(RangeFrame" in plan(compared)
+
+
+def test_sums_travel_apart_from_the_ids(spark):
+    """One row per group and task holds the sums; the rows of the words have none."""
+    df = spark.createDataFrame([("a", 1, 2), ("a", 700, 3), ("a", None, 4), ("b", None, None)], "g string, i long, v int")
+    counted = with_distinct_counts(df, ["g"], {"ids": "i"}, {"total": "v"})
+    assert sorted(tuple(r) for r in counted.collect()) == [("a", 2, 9), ("b", 0, None)]
+    assert "_id, -1, " in counted._jdf.queryExecution().analyzed().toString()

@@ -5,7 +5,7 @@ import pytest
 from check import TABLES, compare
 
 from __spark_entry__ import entry, oracle_sql, queries
-from workload.registry import QUERIES, Model
+from workload.registry import KPI_COLUMNS, QUERIES, Model
 
 SF = "/root/testdata/sf0.001"
 
@@ -87,3 +87,10 @@ def test_stored_base_has_the_columns_that_are_read(spark):
     m.stage_base("invoice_id", "net_revenue")
     assert m.base is m.base_by_region and m.base.columns == ["invoice_id", "net_revenue"]
     assert [tuple(r) for r in m.base.collect()] == [(1, 2)]
+
+
+def test_kpis_store_the_columns_that_are_read(spark):
+    m = Model(spark, SF).staged("items", "header", "returns", columns=KPI_COLUMNS)
+    assert (m.items.columns, m.returns.columns) == (KPI_COLUMNS["items"], KPI_COLUMNS["returns"])
+    whole = Model(spark, SF).staged("items", "header", "returns")
+    assert sorted(m.commercial_kpis.collect()) == sorted(whole.commercial_kpis.collect())
