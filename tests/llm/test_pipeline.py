@@ -154,3 +154,37 @@ def test_every_task_frees_what_it_does_not_use(spark):
     ids = spark.range(64).repartition(8)
     common.map_batches(ids, keep, "id long", "one").collect()
     assert {r.id for r in common.map_batches(ids, look, "id long").collect()} == {0}
+
+
+def test_rows_of_files_are_named_without_a_copy(spark, tmp_path, monkeypatch):
+    """A row's name is its file and its place there, whatever the scan; the texts are not stored again for it."""
+    docs = spark.range(1000).selectExpr("id AS doc_id", "repeat('x', 50) AS text", "id AS _path")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    stored = []
+    monkeypatch.setattr(corpus_pipeline, "stage", lambda df, label: stored.append(label) or stage(df, label))
+    named = corpus_pipeline.named_rows(docs)
+    expected = sorted((r.doc_id, r[corpus_pipeline.ROW]) for r in named.collect())
+    assert not stored and len({row for _, row in expected}) == 1000 and named.columns == [*docs.columns, corpus_pipeline.ROW]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        assert sorted((r.doc_id, r[corpus_pipeline.ROW]) for r in named.collect()) == expected
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_rows_without_a_place_are_named_in_a_copy(spark, tmp_path):
+    docs = spark.range(10).selectExpr("id AS doc_id", "'x' AS text")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for odd, n in [(docs.union(docs), 20), (docs.filter("doc_id > 3"), 6), (docs.distinct(), 10), (docs.limit(0), 0)]:
+        rows = corpus_pipeline.named_rows(odd).collect()
+        assert len(rows) == n == len({r[corpus_pipeline.ROW] for r in rows})
+
+
+@pytest.mark.parametrize("number", [1, 3])
+def test_texts_join_alike_at_every_size(spark, number):
+    """A list of rows that is small enough to broadcast must not make a small run cheaper than its share of a large one."""
+    found = STAGES[number][1](spark, spark.read.parquet(f"{SF}/documents.parquet"), SF)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
