@@ -152,3 +152,23 @@ def test_search_stops_where_no_piece_goes_on(pieces):
         assert len(hashes) == len(begins) and (np.diff(hashes) > 0).all()
         assert longer.sum() == len({p[:length] for p in spelled if len(p) > length})
     assert not pieces.table[pieces.longest][2].any()
+
+
+def test_words_are_cut_alike_by_both_ways():
+    """Ordinary texts are cut without the pattern, with the same words."""
+    odd = ["a", "a b", " a", "a ", "a\n", "\na", "a \n b", "a\n\nb c", "a  b", "\n", " ", "x\0y z", f"a{segment.SPACE}b c", "é ü\n", "a \n", "\n \n"]
+    for text in odd:
+        shown = text.replace(segment.SPACE, segment.SPACE_SIGN)
+        assert segment.prepare(text) == segment.CHUNKS.findall(segment.SPACE + shown.replace(" ", segment.SPACE)), repr(text)
+        assert "".join(segment.prepare(text)) == segment.SPACE + shown.replace(" ", segment.SPACE)
+
+
+def test_largest_of_each_group():
+    rng = np.random.default_rng(3)
+    groups = np.repeat([2, 5, 6, 9], [1, 40, 2, 300])
+    values = rng.normal(size=len(groups))
+    for wanted in (1, 2, 3):
+        expected = [i for g in (2, 5, 6, 9) for i in sorted(np.flatnonzero(groups == g), key=lambda i: -values[i])[:wanted]]
+        assert segment.Sampler._largest(values, groups, wanted).tolist() == sorted(expected)
+    assert segment.Sampler._largest(np.array([1.0, 2.0, 2.0]), np.array([4, 4, 4]), 1).tolist() == [1, 2]
+    assert len(segment.Sampler._largest(np.empty(0), np.empty(0, dtype=np.int64), 2)) == 0
