@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -103,3 +104,16 @@ def test_scores_beyond_64_bits(spark):
     row = [("en", ["a", "b"], 4 * 10**12, [5 * 10**12], [6 * 10**12], False, 9 * 10**13)]
     df = spark.createDataFrame(row, "lang string, words array<string>, f bigint, prefixes array<bigint>, suffixes array<bigint>, covered boolean, n bigint")
     assert phrases.collocations(df).first().score == 1000 * 4 * 10**12 * 9 * 10**13 // (30 * 10**24)
+
+
+def test_numbers_are_packed_by_byte(spark):
+    """Bytes of the same weight lie together: they compress to far less than the numbers as they are."""
+    numbers = np.exp(np.random.default_rng(1).random(50_000) * np.log(60_000)).astype(np.int32)
+    numbers[:3] = -1, 2**31 - 2, 0
+    assert phrases.unpacked(phrases.packed(numbers)).tolist() == numbers.tolist()
+    assert phrases.unpacked(phrases.packed(numbers[:0])).tolist() == []
+    size = lambda data: len(pa.compress(data, "lz4", asbytes=True))
+    assert size(phrases.packed(numbers)) < 0.75 * size(numbers.tobytes())
+    df = spark.createDataFrame([("en", "a b, " * 400)], "lang string, text string")
+    (chunk,) = phrases.token_chunks(df).collect()
+    assert phrases.unpacked(chunk.tokens).tolist() == [0, 1, -1] * 400 + [-1]

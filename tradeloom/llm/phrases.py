@@ -119,14 +119,23 @@ def chunks_of(texts: Iterator[tuple[str, str]], overlap: int) -> Iterator[tuple[
     yield from held.items()
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers from -1 on, first the lowest byte of each, then the next: high bytes are alike, which compresses well."""
+    return (numbers.astype(np.int32) + 1).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int32) - 1
+
+
 def token_chunks(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int = LONGEST) -> DataFrame:
-    """`chunk, lang, seen, words, counts, tokens`: the distinct words of a chunk, how often each is new in it, and all tokens."""
+    """`chunk, lang, seen, words, counts, tokens`: the distinct words of a chunk, how often each is new in it, and all tokens, packed."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << NUMBER_BITS
         texts = (pair for b in batches for pair in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()))
         for number, (name, chunk) in enumerate(chunks_of(texts, longest - 1)):
-            columns = [[first + number], [name], [chunk.seen], [chunk.words], [chunk.counts()], [chunk.tokens.tobytes()]]
+            columns = [[first + number], [name], [chunk.seen], [chunk.words], [chunk.counts()], [packed(np.frombuffer(chunk.tokens, np.int32))]]
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(columns, kinds)], ["chunk", "lang", "seen", "words", "counts", "tokens"]
@@ -177,7 +186,7 @@ def _word_pairs(chunks: DataFrame, kept: DataFrame) -> DataFrame:
     """The groups of two words of every chunk: `here, a, b, count`."""
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
-        tokens = np.frombuffer(left.column("tokens")[0].as_buffer(), np.int32)
+        tokens = unpacked(left.column("tokens")[0].as_buffer())
         _, _, a, b, counts = _next_level(np.arange(len(tokens)), tokens, right, left.column("seen")[0].as_py(), 1)
         here = (left.column("chunk")[0].as_py() << NUMBER_BITS) + np.arange(len(a))
         return pa.Table.from_arrays([pa.array(c, pa.int64()) for c in (here, a, b, counts)], ["here", "a", "b", "count"])
@@ -190,12 +199,12 @@ def _occurrences(relation: DataFrame, kept: DataFrame, length: int) -> DataFrame
     """The candidates of `length` words by chunk: `chunk, seen, at, candidate` and their groups `a, b, counts`.
 
     `kept` has the frequent groups of the level before in each chunk. For three words the relation is the tokens, and `kept`
-    those of both levels before. `at` is a bit for every position, as candidates are sorted by it.
+    those of both levels before. Candidates are packed. `at` is a bit for every position, as candidates are sorted by it.
     """
 
     def merge(left: pa.Table, right: pa.Table) -> pa.Table:
         seen = left.column("seen")[0].as_py()
-        candidate = np.frombuffer(left.column("candidate")[0].as_buffer(), np.int32)
+        candidate = unpacked(left.column("candidate")[0].as_buffer())
         if length == 3:
             at, candidate, *_ = _next_level(np.arange(len(candidate)), candidate, right, seen, 1)
         else:
@@ -203,7 +212,7 @@ def _occurrences(relation: DataFrame, kept: DataFrame, length: int) -> DataFrame
         begin, found, a, b, counts = _next_level(at, candidate, right, seen, length - 1)
         places = np.zeros(int(begin.max(initial=-1)) + 1, bool)
         places[begin] = True
-        binary = [pa.array([v.tobytes()], pa.binary()) for v in (np.packbits(places), found.astype(np.int32))]
+        binary = [pa.array([v], pa.binary()) for v in (np.packbits(places).tobytes(), packed(found))]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, pa.int64())) for v in (a, b, counts)]
         keys = [pa.array([left.column(c)[0].as_py()], k) for c, k in (("chunk", pa.int64()), ("seen", pa.int32()))]
         return pa.Table.from_arrays([*keys, *binary, *lists], ["chunk", "seen", "at", "candidate", "a", "b", "counts"])
