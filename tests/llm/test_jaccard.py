@@ -168,3 +168,46 @@ def test_texts_are_hashed_twice_and_shuffles_do_not_pile_up(spark, tmp_path, mon
     assert found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == brute(rows)
     assert passes == ["_listed", "whole"]
     assert {"hashed", "listed", "index", "shingles", "stars", "split"} <= set(kept)
+
+
+def test_slices_hold_every_hash_once():
+    hashes = np.unique(np.random.default_rng(3).integers(0, 1 << 64, 4000, dtype=np.uint64, endpoint=False))
+    for part in (1.0, jaccard.COUNTED_PART):
+        slices = jaccard._sliced(hashes, part)
+        assert len(slices) == jaccard.SLICES and (np.concatenate(slices) == hashes.view(np.int64)).all()
+        first = slices[0].view(np.uint64)
+        assert 0 < len(first) < len(hashes) * part * 1.5 / jaccard.SLICES
+    assert [len(s) for s in jaccard._sliced(hashes[:0])] == [0] * jaccard.SLICES
+
+
+def test_wide_rows_are_shuffled_a_slice_at_a_time(spark, monkeypatch):
+    """Lists, overlaps and remaining pairs are stored by slices; only entries of lists of several sets are kept."""
+    kept, of = [], jaccard.settled
+
+    def settled(df, label):
+        stored = of(df, label)
+        kept.append((label, stored.count()))
+        return stored
+
+    monkeypatch.setattr(jaccard, "settled", settled)
+    alone = [(i, " ".join(f"{i}-{k}" for k in range(40))) for i in range(20)]
+    base = [f"w{k}" for k in range(60)]
+    near = [(100 + i, " ".join([*base[:30], f"x{i}", *base[30:]])) for i in range(3)]
+    rows = [*alone, *near, *[(200 + k, text) for k in range(3) for _, text in near]]
+    assert found(near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))) == brute(rows)
+    stored = Counter(label for label, _ in kept)
+    assert stored["listed"] == jaccard.SLICES and stored["overlaps"] == 3 * jaccard.SLICES
+    assert stored["pairs"] == 3 + jaccard.SLICES  # of three comparisons, and the remaining ones by slices
+    shared = sum(n for label, n in kept if label == "listed")
+    assert 0 < shared <= 3 * 58  # no entry of a set alone, and copies once
+
+
+def test_copies_of_a_task_are_listed_once_and_lie_in_any_task(spark):
+    schema = "node bigint, other bigint, n bigint, counted bigint, " + ", ".join(f"{s} array<bigint>" for s in jaccard._columns_of_slices("tokens"))
+    text = " ".join(f"w{k}" for k in range(80))
+    df = spark.createDataFrame([(i, text) for i in range(12)], "doc_id long, text string").coalesce(1)
+    rows = jaccard._batches(df, "text", ["doc_id"], jaccard._listed, schema).collect()
+    assert len(rows) == 12 and {r.n for r in rows} == {76}
+    assert sum(any(r[s] for s in jaccard._columns_of_slices("tokens")) for r in rows) == 1
+    copies = [(i, text if i % 3 else text.replace("w40", "x")) for i in range(30)]
+    assert found(near_duplicates(spark.createDataFrame(copies, "doc_id long, text string").repartition(7), count_links=False)) == brute(copies)
