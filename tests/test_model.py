@@ -6,6 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from tradeloom import session
 from tradeloom.functions.amounts import allocate, safe_ratio
 from tradeloom.functions.text import kpi_card
 from tradeloom.plans import diamond, gold, measures, reports
@@ -150,6 +151,21 @@ def test_fact_sales_measures(model):
     assert first.date_key == 20240105 and first.customer_key == 1 and first.salesperson_key == 1
 
 
+def test_sales_by_steps_hold_one_shuffle_of_the_items_at_a_time(spark, rows, tmp_path, monkeypatch):
+    header, items, returns, _, dims = sources(spark)
+    odd = [(None, 2, 2, 20, d("1"), d("10"), d("0")), (12, 1, 3, None, d("4"), d("10"), d("0"))]  # no id, and an id twice
+    items = items.unionByName(spark.createDataFrame(odd, items.schema))
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    stored = gold.fact_sales(items, header, returns, *dims, by_steps=True)
+    expected = rows(gold.fact_sales(items, header, returns, *dims).drop("sales_key"))
+    assert rows(stored.drop("sales_key")) == expected and len(expected) == 7
+    assert sorted(r.sales_key for r in stored.collect()) == list(range(1, 8))
+    # the copies that nothing reads any more are gone, and what is left to do is one join of two stored tables
+    assert sorted(p.name.split("-")[0] for p in tmp_path.glob("staged/*/*")) == ["invoices", "priced"]
+    plan = stored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "Aggregate" not in plan and "Window" not in plan
+
+
 def test_invoices_are_joined_last(spark):
     # what is read from the invoice would otherwise be shuffled again for the returns and for the products
     header, items, returns, _, dims = sources(spark)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
-from tradeloom.session import stage
+from tradeloom.session import settled, stage, unstage
 
 # A word: characters other than the ASCII white space. Fixed by the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,29 +22,6 @@ __all__ = [
 ]
 
 
-def settled(df: DataFrame, label: str) -> DataFrame:
-    """The stored frame. Its shuffles are not read again, and Spark deletes their files when the driver forgets them."""
-    stored = stage(df, label)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return stored
-
-
-def unstage(*frames: DataFrame | None) -> None:
-    """Delete the stored copies of these frames, each from `stage`, once nothing reads them any more.
-
-    The driver's garbage goes too, as Spark deletes the files of a shuffle only when its plan is collected.
-    """
-    spark = None
-    for frame in frames:
-        for file in frame.inputFiles()[:1] if frame is not None else []:
-            folder, spark = file.rsplit("/", 1)[0], frame.sparkSession
-            if "/staged/" in folder:
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    if spark is not None:
-        spark._jvm.System.gc()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

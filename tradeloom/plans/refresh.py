@@ -129,7 +129,7 @@ def refresh_gold(spark: SparkSession, root: str, check: bool = True) -> dict[str
     person = store("dim_salesperson", gold.dim_salesperson(silver["salespersons"], silver["regions"]))
     calendar = store("dim_date", gold.dim_date(header, returns, targets))
     dims = [customer, product, person, payment, region]
-    sales = store("fact_sales", gold.fact_sales(items, header, returns, *dims), {ISSUED_REVENUE: diamond.issued_revenue()})
+    sales = store("fact_sales", gold.fact_sales(items, header, returns, *dims, by_steps=True), {ISSUED_REVENUE: diamond.issued_revenue()})
     returned = store("fact_returns", gold.fact_returns(returns, header, *dims))
     aims = store("fact_sales_targets", gold.fact_sales_targets(targets, person, region))
 
